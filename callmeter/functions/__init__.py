@@ -1,0 +1 @@
+"""Column-level building blocks; everything here stays inside code generation."""

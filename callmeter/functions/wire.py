@@ -1,0 +1,45 @@
+"""The JSON form of an event on the wire."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from callmeter.schema import WIRE_SCHEMA
+
+# Fixed value: ISO-8601 with microseconds and a numeric offset.
+ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"
+
+
+def encode_event(df: DataFrame) -> Column:
+    """One flat JSON object per row; nulls are written out, as the decoder expects all keys."""
+    names = [f.name for f in WIRE_SCHEMA.fields if f.name in df.columns]
+    return F.to_json(
+        F.struct(*names),
+        {"timestampFormat": ISO_TIMESTAMP, "ignoreNullFields": "false"},
+    )
+
+
+def decode_events(df: DataFrame, value: str = "value", bad: str = "fail") -> DataFrame:
+    """Parse JSON messages; columns other than the message are kept.
+
+    ``bad`` says what a malformed message does: ``fail`` the job, become a row of ``null``
+    values, or ``drop``.
+    """
+    if bad not in ("fail", "null", "drop"):
+        raise ValueError(f"bad must be fail, null or drop, not {bad!r}")
+    # Timestamps are parsed by the cast, which takes any ISO-8601 fraction and offset.
+    ddl = ", ".join(
+        f"{f.name} {'string' if f.name == 'timestamp' else f.dataType.simpleString()}"
+        for f in WIRE_SCHEMA.fields
+    )
+    mode = "FAILFAST" if bad == "fail" else "PERMISSIVE"
+    parsed = F.from_json(F.col(value).cast("string"), ddl, {"mode": mode})
+    kept = [c for c in df.columns if c != value]
+    rows = df.select(*kept, parsed.alias("_event"))
+    fields = [
+        F.col(f"_event.{f.name}").cast(f.dataType).alias(f.name) for f in WIRE_SCHEMA.fields
+    ]
+    if bad == "drop":
+        rows = rows.filter(F.col("_event.event_id").isNotNull())
+    return rows.select(*kept, *fields)

@@ -1,0 +1,67 @@
+"""Difference in differences."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from callmeter.functions import dates
+
+
+def rollout_panel(
+    df: DataFrame,
+    rollout: dt.date | str,
+    tier: str,
+    region: str,
+    date: str = "event_date",
+) -> DataFrame:
+    """Keep treated and control rows and flag them.
+
+    Treated is one tier in one region. Controls are the same tier elsewhere and the other
+    tiers in that region; all other rows belong to neither.
+    """
+    in_tier, in_region = F.col("user_tier") == tier, F.col("region") == region
+    return df.filter(in_tier | in_region).withColumns({
+        "treated": in_tier & in_region,
+        "post": F.col(date) >= dates.day(rollout),
+    })
+
+
+def diff_in_diff(
+    panel: DataFrame, outcome: str, treated: str = "treated", post: str = "post"
+) -> DataFrame:
+    """One row: size and mean of the four cells, ``did``, its standard error and ``t_stat``.
+
+    ``did = (treated after - treated before) - (control after - control before)``, with the
+    standard error of four independent means. All of it is one aggregation.
+    """
+    cells = {
+        "treated_pre": F.col(treated) & ~F.col(post),
+        "treated_post": F.col(treated) & F.col(post),
+        "control_pre": ~F.col(treated) & ~F.col(post),
+        "control_post": ~F.col(treated) & F.col(post),
+    }
+
+    def value(cell: Column) -> Column:
+        return F.when(cell, F.col(outcome).cast("double"))
+
+    aggregates = []
+    for name, cell in cells.items():
+        aggregates += [
+            F.count(value(cell)).alias(f"{name}_n"),
+            F.avg(value(cell)).alias(f"{name}_mean"),
+            F.var_samp(value(cell)).alias(f"{name}_var"),
+        ]
+    did = (F.col("treated_post_mean") - F.col("treated_pre_mean")) - (
+        F.col("control_post_mean") - F.col("control_pre_mean")
+    )
+    terms = [F.try_divide(F.col(f"{n}_var"), F.col(f"{n}_n").cast("double")) for n in cells]
+    se = F.sqrt(terms[0] + terms[1] + terms[2] + terms[3])
+    return (
+        panel.agg(*aggregates)
+        .withColumns({"did": did, "se": se})
+        .withColumn("t_stat", F.try_divide("did", "se"))
+        .select(*[f"{n}_n" for n in cells], *[f"{n}_mean" for n in cells], "did", "se", "t_stat")
+    )

@@ -1,0 +1,93 @@
+"""Which minute slots have events, which do not, and ids for the missing ones."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmeter.functions import dates
+from callmeter.functions.numeric import ratio
+from callmeter.functions.slot_ids import slot_event_id
+from callmeter.operators.filters import time_range
+
+
+def slot_calendar(
+    spark: SparkSession, start: dt.datetime, end: dt.datetime, every_seconds: int = 60
+) -> DataFrame:
+    """Every slot in ``[start, end)``, generated in parallel from a range of numbers."""
+    seconds = (end - start).total_seconds()
+    n = max(0, int(-(-seconds // every_seconds)))
+    first = F.unix_micros(dates.instant(start))
+    return spark.range(n).select(
+        F.timestamp_micros(first + F.col("id") * F.lit(every_seconds * 1_000_000)).alias("slot")
+    )
+
+
+def slots_between(bounds: DataFrame, every_seconds: int = 60) -> DataFrame:
+    """Every slot in ``[start, end)`` for a frame with the columns ``start`` and ``end``.
+
+    Days first, then the slots of each day, so that a long span is spread over tasks.
+    """
+    step = F.expr(f"interval {int(every_seconds)} seconds")
+    days = bounds.filter(F.col("start") < F.col("end")).select(
+        "start",
+        "end",
+        F.explode(F.expr("sequence(0, datediff(end, start) + 1)")).alias("n"),
+    )
+    days = days.repartition("n").select(
+        (F.col("start") + F.expr("make_dt_interval(n)")).alias("day_start"),
+        F.least(F.col("start") + F.expr("make_dt_interval(n + 1)"), F.col("end")).alias("day_end"),
+    ).filter(F.col("day_start") < F.col("day_end"))
+    slots = days.select(
+        "day_end", F.explode(F.sequence("day_start", "day_end", step)).alias("slot")
+    )
+    return slots.filter(F.col("slot") < F.col("day_end")).select("slot")
+
+
+def existing_slots(df: DataFrame, start=None, end=None, ts: str = "timestamp") -> DataFrame:
+    """Distinct minutes with at least one event, optionally only in ``[start, end)``."""
+    if start is not None:
+        df = time_range(df, start, end, ts)
+    return df.select(dates.minute_slot(ts).alias("slot")).distinct()
+
+
+def missing_slots(calendar: DataFrame, existing: DataFrame) -> DataFrame:
+    """Slots of the calendar without an event, in order."""
+    return calendar.join(existing, "slot", "left_anti").orderBy("slot")
+
+
+def slot_coverage(calendar: DataFrame, existing: DataFrame) -> DataFrame:
+    """One row: expected, existing and missing slots."""
+    flagged = calendar.join(existing.withColumn("hit", F.lit(1)), "slot", "left")
+    expected, found = F.count(F.lit(1)), F.count("hit")
+    return flagged.agg(
+        expected.alias("expected"), found.alias("existing"), (expected - found).alias("missing")
+    )
+
+
+def backfill_keys(missing: DataFrame) -> DataFrame:
+    """Missing slots with the id their backfilled event must carry."""
+    return missing.withColumn("event_id", slot_event_id("slot"))
+
+
+def append_events(backfill: DataFrame, top_up: DataFrame) -> DataFrame:
+    """Backfilled and other new events as one batch, matched by column name."""
+    return backfill.unionByName(top_up, allowMissingColumns=True)
+
+
+def hourly_profile(df: DataFrame, ts: str = "timestamp") -> DataFrame:
+    """Measured traffic by hour of day, weekdays and weekends apart."""
+    hourly = df.groupBy(
+        F.to_date(ts).alias("day"), F.hour(ts).alias("hour"), dates.is_weekend(ts).alias("is_weekend")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    return (
+        hourly.groupBy("hour", "is_weekend")
+        .agg(
+            F.sum("n").alias("requests"),
+            F.count(F.lit(1)).alias("days"),
+            ratio(F.sum("n"), F.count(F.lit(1))).alias("requests_per_day"),
+        )
+        .orderBy("is_weekend", "hour")
+    )

@@ -1,0 +1,159 @@
+"""Isolation forest (Liu, Ting, Zhou 2008) on Spark.
+
+Each tree is grown on a small random subsample, so training needs one pass that draws the
+subsamples and then one small task per tree. Scoring runs over partitions of the data, with the
+finished trees, whose size is bounded by ``trees * 2 * subsample`` nodes, shipped to the tasks.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from callmeter.operators.rank_select import exact_percentile
+
+_NODE_SCHEMA = (
+    "tree int, node int, feature int, threshold double, left int, right int, path double"
+)
+
+
+def average_path(n: int) -> float:
+    """Mean depth of an unsuccessful search in a binary search tree of ``n`` keys."""
+    if n <= 1:
+        return 0.0
+    if n == 2:
+        return 1.0
+    return 2.0 * (math.log(n - 1) + 0.5772156649015329) - 2.0 * (n - 1) / n
+
+
+def draw_subsamples(
+    df: DataFrame, features: Sequence[str], key: str, n: int, trees: int, size: int, seed: int
+) -> DataFrame:
+    """``size`` rows per tree, drawn without replacement by hash of key, tree and seed.
+
+    A row first joins a tree with a probability a little above ``size / n``, so only about
+    ``trees * size`` rows reach the ranking, which then keeps exactly ``size`` of them.
+    """
+    rate = min(1.0, (size + 10.0 * math.sqrt(size)) / max(n, 1))
+    span = 1 << 40
+    draw = F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), F.lit(span))
+    drawn = (
+        df.select(key, *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+        .withColumn("draw", draw)
+        .filter(F.col("draw") < int(rate * span))
+    )
+    order = W.partitionBy("tree").orderBy("draw", key)
+    return drawn.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= size)
+
+
+def grow_trees(sample: DataFrame, features: Sequence[str], size: int, seed: int) -> DataFrame:
+    """Node table of one random tree per ``tree``."""
+    features = list(features)
+    limit = max(1, math.ceil(math.log2(max(size, 2))))
+    rest_of_path = [average_path(n) for n in range(size + 1)]
+
+    def grow(pdf):
+        import numpy as np
+
+        tree = int(pdf["tree"].iloc[0])
+        rng = np.random.default_rng([seed, tree])
+        x = pdf.sort_values("r")[features].to_numpy(dtype="float64")
+        nodes = []
+        todo = [(np.arange(len(x)), 0, -1, "")]
+        while todo:
+            rows, depth, parent, side = todo.pop()
+            node = len(nodes)
+            if parent >= 0:
+                nodes[parent][side] = node
+            low, high = x[rows].min(axis=0), x[rows].max(axis=0)
+            usable = np.flatnonzero(high > low)
+            entry = {"tree": tree, "node": node, "feature": -1, "threshold": 0.0,
+                     "left": node, "right": node, "path": depth + rest_of_path[len(rows)]}
+            nodes.append(entry)
+            if depth >= limit or len(rows) <= 1 or len(usable) == 0:
+                continue
+            f = int(rng.choice(usable))
+            cut = float(rng.uniform(low[f], high[f]))
+            goes_left = x[rows, f] <= cut
+            entry.update(feature=f, threshold=cut, path=0.0)
+            todo.append((rows[~goes_left], depth + 1, node, "right"))
+            todo.append((rows[goes_left], depth + 1, node, "left"))
+        return pd.DataFrame(nodes)
+
+    return sample.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA)
+
+
+@dataclass(frozen=True)
+class IsolationForestModel:
+    features: tuple[str, ...]
+    nodes: pd.DataFrame
+    subsample: int
+    threshold: float | None = None
+
+    def score(self, df: DataFrame) -> DataFrame:
+        """Add ``anomaly_score`` in (0, 1); rows easier to isolate score higher."""
+        import numpy as np
+
+        features = list(self.features)
+        table = self.nodes.sort_values(["tree", "node"])
+        # Trees are laid end to end; a leaf points at itself, so walking on changes nothing.
+        sizes = table.groupby("tree").size().to_numpy()
+        offset = np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
+        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        feature = np.maximum(table["feature"].to_numpy(), 0)
+        threshold = table["threshold"].to_numpy()
+        left = table["left"].to_numpy() + offset
+        right = table["right"].to_numpy() + offset
+        path = table["path"].to_numpy()
+        depth = max(1, math.ceil(math.log2(max(self.subsample, 2))))
+        norm = average_path(self.subsample) or 1.0
+
+        def score_batches(batches):
+            for pdf in batches:
+                x = pdf[features].to_numpy(dtype="float64")
+                at = np.broadcast_to(roots, (len(x), len(roots))).copy()
+                row = np.arange(len(x))[:, None]
+                for _ in range(depth):
+                    at = np.where(x[row, feature[at]] <= threshold[at], left[at], right[at])
+                yield pdf.assign(anomaly_score=2.0 ** (-path[at].mean(axis=1) / norm))
+
+        schema = T.StructType([*df.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
+        return df.mapInPandas(score_batches, schema)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Add ``anomaly_score`` and ``is_anomaly``."""
+        if self.threshold is None:
+            raise ValueError("the model has no threshold; fit it first")
+        return self.score(df).withColumn("is_anomaly", F.col("anomaly_score") > self.threshold)
+
+
+def fit_isolation_forest(
+    df: DataFrame,
+    features: Sequence[str],
+    key: str,
+    trees: int = 100,
+    subsample: int = 256,
+    contamination: float = 0.05,
+    seed: int = 42,
+) -> IsolationForestModel:
+    """Fit on rows without nulls; the share ``contamination`` of them scores above the threshold.
+
+    ``key`` must identify a row. Only the finished trees and the threshold come to the driver.
+    """
+    rows = df.na.drop(subset=[key, *features]).select(key, *features)
+    n = rows.count()
+    if n == 0:
+        raise ValueError("no complete rows to fit on")
+    size = min(subsample, n)
+    sample = draw_subsamples(rows, features, key, n, trees, size, seed)
+    nodes = grow_trees(sample, features, size, seed).toPandas()
+    model = IsolationForestModel(tuple(features), nodes, size)
+    cut = exact_percentile(model.score(rows), [], "anomaly_score", 1.0 - contamination, "cut")
+    return IsolationForestModel(tuple(features), nodes, size, cut.first()["cut"])

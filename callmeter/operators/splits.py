@@ -1,0 +1,49 @@
+"""Stratified train and test parts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
+from callmeter.operators.rank_select import running_counts, small_side
+
+# Leading hex digits of the hash that form a bucket: 65,536 buckets per label.
+PREFIX = 4
+
+
+def stratified_split(
+    df: DataFrame, label: str, key: str, test: float = 0.3, seed: int = 42, exact: bool = True
+) -> DataFrame:
+    """Add ``is_test``, true for the share ``test`` of every label.
+
+    Rows are ordered by a hash of the unique ``key`` and ``seed``, so the split does not
+    depend on partitioning. ``exact`` puts ``round(test * n)`` rows of each label into the
+    test part: counting by hash prefix locates the last such row of each label, and every
+    other row is only compared with it, without a shuffle. Otherwise each row is decided by
+    its hash alone.
+    """
+    digest = F.md5(F.concat_ws("|", F.col(key).cast("string"), F.lit(str(seed))))
+    if not exact:
+        share = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+        return df.withColumn("is_test", share < test)
+
+    place = F.struct(digest.alias("digest"), F.col(key).alias("key"))
+    ordered = df.select(label, place.alias("place"), F.substring(digest, 1, PREFIX).alias("bucket"))
+
+    counted = ordered.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("rows"))
+    wanted = F.floor(F.col("group_rows") * F.lit(float(test)) + 0.5)
+    border = (
+        running_counts(counted, [label], "bucket")
+        .filter((F.col("before") < wanted) & (wanted <= F.col("before") + F.col("rows")))
+        .select(label, "bucket", (wanted - F.col("before")).alias("take"))
+    )
+    in_bucket = W.partitionBy(label, "bucket").orderBy("place")
+    last = (
+        ordered.join(small_side(border), [label, "bucket"])
+        .withColumn("rank", F.row_number().over(in_bucket))
+        .filter(F.col("rank") == F.col("take"))
+        .select(label, F.col("place").alias("_last"))
+    )
+    is_test = F.coalesce(place <= F.col("_last"), F.lit(False))
+    return df.join(small_side(last), label, "left").select(*df.columns, is_test.alias("is_test"))

@@ -1,0 +1 @@
+"""Reports, marts and training runs assembled from the operators."""

@@ -1,0 +1,470 @@
+"""Every query by name, over the tables below a data folder.
+
+Each callable takes ``(spark, sf_dir)``. Values are returned in plain types (bigint, double,
+string, date, boolean, timestamp without zone) and unrounded ones with six digits.
+"""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from callmeter.functions.numeric import half_up
+from callmeter.functions.wire import decode_events
+from callmeter.operators import cohorts, filters, gaps, quality, splits, users
+from callmeter.operators.keyed import latest_per_key
+from callmeter.operators.measures import user_days
+from callmeter.plans import marts, reports, training
+from callmeter.schema import WIRE_SCHEMA, conform
+from callmeter.session import scratch_path
+from callmeter.sources import events_table, kafka, testtables
+from callmeter.streaming import jobs
+
+# The day the test data is looked at from, and the length of inactivity that fits its 30 days.
+AS_OF = "2024-01-31"
+INACTIVE_DAYS = 7
+ROLLOUT = {"rollout": "2024-01-15", "tier": "enterprise", "region": "AMERICA"}
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+
+def _plain(field: T.StructField) -> Column:
+    value = F.col(field.name)
+    if isinstance(field.dataType, (T.IntegerType, T.ShortType)):
+        value = value.cast("long")
+    elif isinstance(field.dataType, T.DecimalType):
+        value = value.cast("double")
+    elif isinstance(field.dataType, T.TimestampType):
+        value = value.cast("timestamp_ntz")
+    return value.alias(field.name)
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
+    return df.withColumns({c: half_up(c, digits) for c in doubles})
+
+
+def query(build: Query) -> Query:
+    """Register a query under its function name, with its output in plain types."""
+
+    @functools.wraps(build)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        df = build(spark, sf_dir)
+        return df.select(*[_plain(f) for f in df.schema.fields])
+
+    QUERIES[build.__name__] = run
+    return run
+
+
+usage = testtables.usage_events
+
+
+# Reports
+
+
+@query
+def endpoint_metrics(spark, sf_dir):
+    return reports.endpoint_metrics(usage(spark, sf_dir))
+
+
+@query
+def current_metrics(spark, sf_dir):
+    return reports.current_metrics(usage(spark, sf_dir))
+
+
+@query
+def narrative_metrics(spark, sf_dir):
+    return reports.narrative_metrics(usage(spark, sf_dir))
+
+
+@query
+def narrative(spark, sf_dir):
+    return reports.narrative(usage(spark, sf_dir))
+
+
+@query
+def time_series(spark, sf_dir):
+    return reports.time_series(usage(spark, sf_dir), AS_OF, days=21)
+
+
+@query
+def time_series_from_rollup(spark, sf_dir):
+    return reports.time_series(user_days(usage(spark, sf_dir)), AS_OF, days=21)
+
+
+@query
+def mark_partial(spark, sf_dir):
+    # Looked at on the last day of the data, which is then still in progress.
+    daily = reports.time_series(usage(spark, sf_dir), AS_OF, days=30)
+    return filters.mark_partial(daily, "2024-01-30").select(
+        "event_date", "requests", "is_partial", "is_bridge"
+    )
+
+
+@query
+def user_tiers(spark, sf_dir):
+    return reports.user_tiers(usage(spark, sf_dir))
+
+
+@query
+def errors_top(spark, sf_dir):
+    return reports.errors_top(usage(spark, sf_dir))
+
+
+@query
+def churn_risk(spark, sf_dir):
+    return users.at_risk(usage(spark, sf_dir))
+
+
+@query
+def user_day_rollup(spark, sf_dir):
+    rows = _rounded(user_days(usage(spark, sf_dir)), 2)
+    return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
+
+
+@query
+def dau(spark, sf_dir):
+    return reports.dau(usage(spark, sf_dir))
+
+
+@query
+def token_usage(spark, sf_dir):
+    return reports.token_usage(usage(spark, sf_dir))
+
+
+@query
+def daily_errors(spark, sf_dir):
+    return reports.daily_errors(usage(spark, sf_dir))
+
+
+@query
+def daily_tier_panel(spark, sf_dir):
+    return reports.daily_tier_panel(usage(spark, sf_dir))
+
+
+@query
+def daily_latency_error(spark, sf_dir):
+    return _rounded(reports.daily_latency_error(usage(spark, sf_dir)))
+
+
+@query
+def rolling_features(spark, sf_dir):
+    return _rounded(reports.rolling_daily(usage(spark, sf_dir)))
+
+
+@query
+def anomaly_features(spark, sf_dir):
+    return _rounded(reports.anomaly_features(usage(spark, sf_dir)))
+
+
+# Filters and single rows
+
+
+@query
+def latest_day(spark, sf_dir):
+    return filters.latest_day(usage(spark, sf_dir)).select("event_id", "event_date", "user_id")
+
+
+@query
+def newest_sample(spark, sf_dir):
+    return filters.newest(usage(spark, sf_dir)).select(
+        "event_id", "timestamp", "user_id", "user_tier", "endpoint", "latency_ms", "status_code",
+        "input_tokens", "output_tokens",
+    )
+
+
+@query
+def latest_event_per_user(spark, sf_dir):
+    rows = usage(spark, sf_dir).select(
+        "user_id", "event_date", "timestamp", "event_id", "user_tier", "endpoint")
+    return latest_per_key(rows, "user_id", ["event_date", "timestamp", "event_id"])
+
+
+@query
+def distinct_tiers(spark, sf_dir):
+    return usage(spark, sf_dir).select("user_tier").distinct()
+
+
+# Cohorts
+
+
+@query
+def cohort_retention(spark, sf_dir):
+    return cohorts.cohort_retention(usage(spark, sf_dir), grain="week")
+
+
+def _order_cohorts(spark, sf_dir):
+    orders = testtables.table(spark, sf_dir, "orders")
+    return cohorts.cohort_retention(orders, "o_custkey", "o_orderdate", grain="month")
+
+
+@query
+def cohort_retention_orders(spark, sf_dir):
+    return _order_cohorts(spark, sf_dir)
+
+
+@query
+def cohort_matrix(spark, sf_dir):
+    wide = cohorts.cohort_matrix(_order_cohorts(spark, sf_dir))
+    # Empty cells are null, so the counts are given as doubles.
+    return wide.select("cohort_month", *[F.col(c).cast("double").alias(c) for c in wide.columns[1:]])
+
+
+@query
+def retained_within(spark, sf_dir):
+    return cohorts.retained_within(usage(spark, sf_dir), days=7)
+
+
+# Event table
+
+
+@query
+def conform_events(spark, sf_dir):
+    rows = conform(usage(spark, sf_dir))
+    return rows.select(
+        "event_id", "timestamp", "user_id", "user_tier", "endpoint", "input_tokens",
+        "output_tokens", "latency_ms", "status_code", "error_type", "region", "rate_limited",
+        "will_churn", F.col("churn_day").cast("double").alias("churn_day"),
+        F.col("ingested_at").isNotNull().alias("has_ingested_at"),
+    )
+
+
+@query
+def wire_roundtrip(spark, sf_dir):
+    sent = usage(spark, sf_dir).withColumns({
+        "model_variant": F.lit(None).cast("string"), "sdk_version": F.lit("1.3.0"),
+        "session_id": F.concat(F.lit("s"), F.col("event_id")),
+        "latency_ms": F.col("latency_ms").cast("decimal(10,2)"),
+        "event_id": F.col("event_id").cast("string"), "user_id": F.col("user_id").cast("string"),
+    })
+    received = decode_events(kafka.messages(sent))
+    return received.select(
+        *[c for c in WIRE_SCHEMA.names if c != "churn_day"],
+        F.col("churn_day").cast("double").alias("churn_day"),
+    )
+
+
+@query
+def insert_new(spark, sf_dir):
+    # The table holds the first half of the month. The batch overlaps it, and each of its
+    # events comes twice: the later copy, with another latency, must lose.
+    rows = usage(spark, sf_dir).select("event_id", "timestamp", "user_id", "latency_ms")
+    table = rows.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    batch = rows.filter(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
+    again = batch.withColumns({
+        "timestamp": F.col("timestamp") + F.expr("interval 5 minutes"),
+        "latency_ms": F.col("latency_ms") + 1,
+    })
+    return events_table.new_rows(batch.unionByName(again), table)
+
+
+@query
+def retain_recent(spark, sf_dir):
+    return events_table.retain_recent(usage(spark, sf_dir), "2024-01-31 12:00:00", 10).select(
+        "event_id", "timestamp", "user_id"
+    )
+
+
+@query
+def cull_report(spark, sf_dir):
+    return events_table.cull_report(usage(spark, sf_dir), "2024-01-31 12:00:00", 10)
+
+
+# Slots
+
+
+def _calendar(spark, sf_dir):
+    minute = F.date_trunc("minute", F.col("timestamp"))
+    bounds = usage(spark, sf_dir).agg(
+        F.min(minute).alias("start"), (F.max(minute) + F.expr("interval 1 minute")).alias("end")
+    )
+    return gaps.slots_between(bounds)
+
+
+@query
+def slot_calendar(spark, sf_dir):
+    return _calendar(spark, sf_dir)
+
+
+@query
+def existing_slots(spark, sf_dir):
+    return gaps.existing_slots(usage(spark, sf_dir), "2024-01-10", "2024-01-20 06:30:00")
+
+
+@query
+def missing_slots(spark, sf_dir):
+    return gaps.missing_slots(_calendar(spark, sf_dir), gaps.existing_slots(usage(spark, sf_dir)))
+
+
+@query
+def slot_coverage(spark, sf_dir):
+    return gaps.slot_coverage(_calendar(spark, sf_dir), gaps.existing_slots(usage(spark, sf_dir)))
+
+
+@query
+def slot_event_id(spark, sf_dir):
+    return gaps.backfill_keys(gaps.existing_slots(usage(spark, sf_dir)))
+
+
+@query
+def hourly_profile(spark, sf_dir):
+    return _rounded(gaps.hourly_profile(usage(spark, sf_dir)))
+
+
+# Quality
+
+
+@query
+def dq_suite(spark, sf_dir):
+    return quality.check_rows(usage(spark, sf_dir))
+
+
+@query
+def dq_violations(spark, sf_dir):
+    checks = [
+        quality.not_null("error_type"), quality.unique("user_id"),
+        quality.in_set("user_tier", ["free", "pro"]), quality.between("latency_ms", 2, 50),
+        quality.mean_between("input_tokens", 5000, 9000), quality.unique("event_id"),
+        quality.in_set("error_type", ["RateLimitError", "APIError"]),
+    ]
+    return quality.check_rows(usage(spark, sf_dir), checks)
+
+
+@query
+def dq_report(spark, sf_dir):
+    report = quality.run_suite(usage(spark, sf_dir), AS_OF)
+    return report.select("run_time", "row_count", "passed", "total",
+                         F.size("checks").alias("check_count"))
+
+
+@query
+def dq_marts(spark, sf_dir):
+    events = usage(spark, sf_dir)
+    return marts.check_marts({
+        "dau": reports.dau(events),
+        "endpoints": reports.endpoint_metrics(events),
+        "user_tiers": reports.user_tiers(events),
+    })
+
+
+@query
+def label_guard(spark, sf_dir):
+    return quality.label_guard(users.churn_features(usage(spark, sf_dir), AS_OF))
+
+
+# Users and models
+
+
+@query
+def user_activity(spark, sf_dir):
+    rows = _rounded(users.user_activity(usage(spark, sf_dir)))
+    return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
+
+
+@query
+def churn_features(spark, sf_dir):
+    rows = _rounded(users.churn_features(usage(spark, sf_dir), AS_OF))
+    return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
+
+
+@query
+def one_hot(spark, sf_dir):
+    regions = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+    rows = users.one_hot(testtables.users(spark, sf_dir), "region", regions, "region")
+    return rows.select([F.col(c).alias(c.lower().replace(" ", "_")) for c in rows.columns])
+
+
+@query
+def user_lifetimes(spark, sf_dir):
+    return users.user_lifetimes(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS)
+
+
+@query
+def kaplan_meier(spark, sf_dir):
+    return _rounded(training.survival_curves(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS))
+
+
+@query
+def kaplan_meier_inverted(spark, sf_dir):
+    return _rounded(
+        training.survival_curves(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS, inverted=True))
+
+
+@query
+def stratified_split(spark, sf_dir):
+    features = users.churn_features(usage(spark, sf_dir), AS_OF).select("user_id", "churned")
+    return splits.stratified_split(features, "churned", "user_id")
+
+
+@query
+def diff_in_diff(spark, sf_dir):
+    return _rounded(training.rollout_effect(usage(spark, sf_dir), **ROLLOUT))
+
+
+@query
+def rollout_report(spark, sf_dir):
+    return training.rollout_report(training.rollout_effect(usage(spark, sf_dir), **ROLLOUT))
+
+
+@query
+def isolation_forest(spark, sf_dir):
+    return training.anomaly_model(usage(spark, sf_dir))[1]
+
+
+@query
+def churn_model(spark, sf_dir):
+    return training.churn_model(usage(spark, sf_dir), AS_OF).metrics()
+
+
+@query
+def churn_importances(spark, sf_dir):
+    return training.churn_model(usage(spark, sf_dir), AS_OF).importances()
+
+
+# Streams, run until the events are used up; their output is read back as a table.
+
+
+def _event_stream(spark, sf_dir):
+    raw = (
+        spark.readStream.schema(testtables.EVENTS_SCHEMA)
+        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    )
+    return testtables.event_columns(raw)
+
+
+def _drained(spark, stream, name):
+    out = scratch_path(spark, name)
+    jobs.drain_to_table(stream, out, scratch_path(spark, f"{name}-checkpoint")).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(out)
+
+
+@query
+def streaming_metrics(spark, sf_dir):
+    live = jobs.live_metrics(_event_stream(spark, sf_dir), every="1 hour", delay="1 hour")
+    return _rounded(_drained(spark, live.drop("approx_users"), "streaming-metrics"))
+
+
+@query
+def stream_dedup(spark, sf_dir):
+    twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
+    kept = jobs.dedup_stream(twice.select("event_id", "timestamp", "user_id", "endpoint"))
+    return _drained(spark, kept, "stream-dedup")
+
+
+@query
+def ingest_stream(spark, sf_dir):
+    twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
+    rows = twice.join(testtables.users(spark, sf_dir), "user_id")
+    sink = scratch_path(spark, "ingest-stream")
+    jobs.ingest_stream(
+        rows, sink, scratch_path(spark, "ingest-stream-checkpoint"), strict=False
+    ).awaitTermination()
+    return events_table.read_events(spark, sink).select(
+        "event_id", "timestamp", "event_date", "user_id", "user_tier", "endpoint", "latency_ms",
+        "status_code", "error_type", "region", "will_churn",
+    )

@@ -1,0 +1,79 @@
+"""Materialized tables: the staged events as a view, everything derived as Parquet tables."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from callmeter.functions import dates
+from callmeter.operators.cohorts import cohort_retention
+from callmeter.operators.measures import user_days
+from callmeter.operators.quality import Check, check_rows, in_set, not_null, unique
+from callmeter.plans import reports
+from callmeter.schema import ENDPOINTS, USER_TIERS
+
+STAGING_VIEW = "stg_api_events"
+ROLLUP = "user_days"
+
+# Marts read from the events, and marts that the much smaller rollup is enough for.
+FROM_EVENTS = {"endpoints": reports.endpoint_metrics}
+FROM_ROLLUP = {
+    "dau": reports.dau,
+    "token_usage": reports.token_usage,
+    "user_tiers": reports.user_tiers,
+    "daily_latency_error": reports.daily_latency_error,
+    "cohort_retention": cohort_retention,
+}
+# Marts with one partition per day, which can be refreshed for recent days only.
+DAILY_FROM_EVENTS = {ROLLUP: user_days, "daily_errors": reports.daily_errors}
+
+MART_CHECKS: dict[str, list[Check]] = {
+    "dau": [not_null("event_date"), unique("event_date"), not_null("dau")],
+    "endpoints": [not_null("endpoint"), unique("endpoint"), in_set("endpoint", ENDPOINTS)],
+    "user_tiers": [not_null("user_tier"), unique("user_tier"), in_set("user_tier", USER_TIERS)],
+}
+
+
+def _write_days(df: DataFrame, path: str, keep_other_days: bool) -> None:
+    # Rebalancing splits a day with a third of all rows and merges small ones.
+    rows = df.hint("rebalance", F.col("event_date"))
+    overwrite = "dynamic" if keep_other_days else "static"
+    rows.write.mode("overwrite").option("partitionOverwriteMode", overwrite).partitionBy(
+        "event_date").parquet(path)
+
+
+def build_marts(
+    spark: SparkSession, staged: DataFrame, out: str, since: dt.date | str | None = None
+) -> dict[str, str]:
+    """Write all marts below ``out`` and register the staging view; gives the path of each.
+
+    The events are read for the rollup, the daily errors and the endpoint table; every other
+    mart comes from the stored rollup. With ``since`` only the days from then on are computed
+    again in the daily tables, and the others follow from them.
+    """
+    staged.createOrReplaceTempView(STAGING_VIEW)
+    paths = {}
+    recent = staged if since is None else staged.filter(F.col("event_date") >= dates.day(since))
+    for name, build in DAILY_FROM_EVENTS.items():
+        paths[name] = os.path.join(out, name)
+        _write_days(build(recent), paths[name], keep_other_days=since is not None)
+    rollup = spark.read.parquet(paths[ROLLUP])
+    for source, marts in ((staged, FROM_EVENTS), (rollup, FROM_ROLLUP)):
+        for name, build in marts.items():
+            paths[name] = os.path.join(out, name)
+            build(source).write.mode("overwrite").parquet(paths[name])
+    return paths
+
+
+def check_marts(marts: dict[str, DataFrame]) -> DataFrame:
+    """Check results of all given marts, with the mart's name; a failure does not stop the run."""
+    out = None
+    for name in sorted(set(marts) & set(MART_CHECKS)):
+        rows = check_rows(marts[name], MART_CHECKS[name]).select(F.lit(name).alias("mart"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+

@@ -1,0 +1,64 @@
+"""Session defaults and the shared scratch location."""
+
+from __future__ import annotations
+
+import os
+import tempfile
+import uuid
+
+from pyspark.sql import SparkSession
+
+DEFAULTS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Split a skewed join partition even where that costs one more exchange.
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stream state lives on disk, so it may outgrow the executor heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+def build_session(app: str = "callmeter", master: str | None = None, **conf: str) -> SparkSession:
+    """Session with the defaults above; keyword names use ``__`` where Spark uses a dot."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
+    for key, value in DEFAULTS.items():
+        builder = builder.config(key, value)
+    for key, value in conf.items():
+        builder = builder.config(key.replace("__", "."), value)
+    return builder.getOrCreate()
+
+
+def shared_root(spark: SparkSession) -> str:
+    """Folder every executor can reach, as named in ``spark.checkpoint.dir``.
+
+    Only where nothing is set (tests, local mode) is a local temporary folder made, once.
+    """
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not root:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = tempfile.mkdtemp(prefix="callmeter-")
+        context.setCheckpointDir(root)
+    return root
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unused path for intermediate tables or stream checkpoints."""
+    return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Give iterative algorithms a reliable place to cut their lineage."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(scratch_path(spark, "lineage"))
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

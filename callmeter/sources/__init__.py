@@ -1,0 +1 @@
+"""Where events come from and where results go."""

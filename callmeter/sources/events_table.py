@@ -1,0 +1,151 @@
+"""The Parquet event table: idempotent inserts and retention.
+
+The table is partitioned by ``event_date`` and has one writer at a time. Uniqueness of
+``event_id`` is kept by the inserts below.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from callmeter.functions import dates
+from callmeter.operators.keyed import first_per_key
+from callmeter.schema import RAW_SCHEMA
+from callmeter.session import path_exists
+
+TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("event_date", T.DateType())])
+
+# Batches up to this many distinct ids are sent to all executors as a lookup table.
+MAX_BROADCAST_KEYS = 1_000_000
+
+
+def read_events(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(TABLE_SCHEMA).parquet(path)
+
+
+def with_event_date(df: DataFrame) -> DataFrame:
+    return df.withColumn("event_date", F.to_date("timestamp"))
+
+
+def new_rows(
+    batch: DataFrame,
+    existing: DataFrame,
+    order: Sequence[str] = ("timestamp",),
+    key: str = "event_id",
+    broadcast_keys: bool = False,
+) -> DataFrame:
+    """Rows of ``batch`` to insert: the first one per key, unless the key exists already.
+
+    The table is only probed with the keys of the batch, reading nothing but its key column.
+    When the batch is known to be small the probe is a broadcast one and the table is not
+    shuffled; otherwise both sides are shuffled by key.
+    """
+    return _unseen(first_per_key(batch, key, order), existing, key, broadcast_keys)
+
+
+def _unseen(rows: DataFrame, existing: DataFrame, key: str, broadcast_keys: bool) -> DataFrame:
+    wanted = rows.select(key)
+    seen = existing.select(key).join(
+        F.broadcast(wanted) if broadcast_keys else wanted, key, "left_semi"
+    )
+    # Keys are unique in the table, so there are no more of them than in the batch.
+    return rows.join(F.broadcast(seen) if broadcast_keys else seen, key, "left_anti")
+
+
+def insert_new(
+    batch: DataFrame,
+    path: str,
+    order: Sequence[str] = ("timestamp",),
+    prune_by_date: bool = False,
+) -> int:
+    """Append the unseen rows of ``batch`` to the table; gives the number of rows offered.
+
+    Inserting the same batch again changes nothing, so a failed attempt can be repeated.
+    ``prune_by_date`` looks for existing keys on the batch's own days only. That is right
+    when the id fixes the day, as the ids of time slots do, and wrong otherwise.
+    """
+    spark = batch.sparkSession
+    offered = with_event_date(first_per_key(batch, "event_id", order))
+    offered = offered.select(*TABLE_SCHEMA.names).persist()
+    try:
+        span = offered.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.min("event_date").alias("first"),
+            F.max("event_date").alias("last"),
+        ).first()
+        if span["n"] == 0:
+            return 0
+        rows = offered
+        if path_exists(spark, path):
+            table = read_events(spark, path)
+            if prune_by_date:
+                table = table.filter(F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"])))
+            small = span["n"] <= MAX_BROADCAST_KEYS
+            rows = _unseen(offered, table, "event_id", broadcast_keys=small)
+        rows.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
+            "event_date").parquet(path)
+        return span["n"]
+    finally:
+        offered.unpersist()
+
+
+def _cutoff(as_of: dt.datetime | dt.date | str, keep_days: int):
+    return dates.instant(as_of) - F.expr(f"interval {int(keep_days)} days")
+
+
+def retain_recent(
+    df: DataFrame, as_of: dt.datetime | dt.date | str, keep_days: int, ts: str = "timestamp"
+) -> DataFrame:
+    """Rows not older than ``keep_days`` days; a row exactly that old stays."""
+    cutoff = _cutoff(as_of, keep_days)
+    kept = F.col(ts) >= cutoff
+    if "event_date" in df.columns:
+        kept = kept & (F.col("event_date") >= cutoff.cast("date"))
+    return df.filter(kept)
+
+
+def cull_report(
+    df: DataFrame, as_of: dt.datetime | dt.date | str, keep_days: int, ts: str = "timestamp"
+) -> DataFrame:
+    """One row: how many rows retention would delete and keep."""
+    old = F.col(ts) < _cutoff(as_of, keep_days)
+    return df.agg(F.count_if(old).alias("culled"), F.count_if(~old).alias("kept"))
+
+
+def cull_table(
+    spark: SparkSession, path: str, as_of: dt.datetime | str, keep_days: int
+) -> int:
+    """Delete rows older than ``keep_days`` days from the table; gives their number.
+
+    Whole days are dropped as folders. Only the day the cutoff falls into is written again.
+    """
+    as_of = dt.datetime.fromisoformat(str(as_of))
+    cutoff = as_of - dt.timedelta(days=keep_days)
+    table = read_events(spark, path)
+    border = table.filter(F.col("event_date") == F.lit(cutoff.date()))
+    culled = table.filter(F.col("event_date") <= F.lit(cutoff.date())).agg(
+        F.count_if(F.col("timestamp") < dates.instant(cutoff)).alias("n")).first()["n"]
+    if culled == 0:
+        return 0
+
+    kept = retain_recent(border, as_of, keep_days)
+    rewrite = not kept.isEmpty()
+    if rewrite:
+        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "event_date").parquet(path)
+
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in fs.listStatus(root):
+        name = status.getPath().getName()
+        if not name.startswith("event_date="):
+            continue
+        day = name.removeprefix("event_date=")
+        if day < cutoff.date().isoformat() or (day == cutoff.date().isoformat() and not rewrite):
+            fs.delete(status.getPath(), True)
+    return culled

@@ -1,0 +1,95 @@
+"""Usage events derived from a star schema: ``events`` with customer, nation and region."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+EVENTS_SCHEMA = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
+# How the columns of the source tables stand for those of usage events.
+TIER_OF_SEGMENT = {"AUTOMOBILE": "enterprise", "MACHINERY": "pro"}
+ENDPOINT_OF_TYPE = {
+    "click": "/v1/completions", "view": "/v1/chat",
+    "purchase": "/v1/embeddings", "signup": "/v1/classify",
+}
+STATUS_OF_ERROR = [429, 401, 400, 500, 504, 503]
+ERROR_OF_STATUS = {
+    429: "RateLimitError", 401: "AuthenticationError", 400: "InvalidRequestError",
+    500: "InternalServerError", 504: "TimeoutError", 503: "APIError",
+}
+FIRST_DAY = "2024-01-01"
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _choose(value: Column, mapping: dict, otherwise: Column) -> Column:
+    out = None
+    for key, result in mapping.items():
+        out = F.when(value == key, result) if out is None else out.when(value == key, result)
+    return out.otherwise(otherwise)
+
+
+def event_columns(events: DataFrame) -> DataFrame:
+    """Usage columns that follow from the event alone; thins out activity by user."""
+    k, user = F.col("k"), F.col("user_id")
+    dayno = F.datediff("event_date", F.lit(FIRST_DAY).cast("date"))
+    by_remainder = F.element_at(F.array(*map(F.lit, ENDPOINT_OF_TYPE.values())), (k % 4 + 1).cast("int"))
+    is_error = F.col("event_type") == "error"
+    status = F.element_at(F.array(*map(F.lit, STATUS_OF_ERROR)), (k % 6 + 1).cast("int"))
+    rows = events.select(
+        "event_id", "user_id", "event_type",
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.to_date("ts").alias("event_date"),
+        F.get_json_object("props", "$.k").cast("int").alias("k"),
+        F.col("value").alias("latency_ms"),
+    ).withColumns({
+        "churn_day": F.when(user % 4 == 0, (3 + (7 * user) % 25).cast("int")),
+        "start_day": F.when(user % 3 == 0, (5 * user) % 20).otherwise(0),
+    }).filter(
+        (dayno >= F.col("start_day")) & (F.col("churn_day").isNull() | (dayno < F.col("churn_day")))
+    )
+    rows = rows.withColumn("status_code", F.when(is_error, status).otherwise(200))
+    return rows.select(
+        "event_id", "timestamp", "event_date", "user_id",
+        _choose(F.col("event_type"), ENDPOINT_OF_TYPE, by_remainder).alias("endpoint"),
+        (10 * k + 50).alias("input_tokens"),
+        (4 * k + 50).alias("output_tokens"),
+        "latency_ms", "status_code",
+        _choose(F.col("status_code"), ERROR_OF_STATUS, F.lit(None)).alias("error_type"),
+        (F.col("status_code") == 429).alias("rate_limited"),
+        F.col("churn_day").isNotNull().alias("will_churn"),
+        "churn_day",
+        is_error.alias("is_error"),
+        (14 * k + 100).alias("total_tokens"),
+    )
+
+
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tier and region per user."""
+    customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    return (
+        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+        .select(
+            F.col("c_custkey").alias("user_id"),
+            _choose(F.col("c_mktsegment"), TIER_OF_SEGMENT, F.lit("free")).alias("user_tier"),
+            F.col("r_name").alias("region"),
+        )
+    )
+
+
+def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged usage events."""
+    events = event_columns(table(spark, sf_dir, "events"))
+    return events.join(users(spark, sf_dir), "user_id")

@@ -1,0 +1,82 @@
+"""Streaming ingest, deduplication and live metrics."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+
+from callmeter.functions.numeric import ratio
+from callmeter.schema import RAW_SCHEMA, conform
+from callmeter.sources.events_table import insert_new
+
+
+def ingest_stream(
+    stream: DataFrame,
+    sink: str,
+    checkpoint: str,
+    order: Sequence[str] = ("timestamp",),
+    strict: bool = True,
+    prune_by_date: bool = False,
+) -> StreamingQuery:
+    """Drain a stream of events into the event table and stop.
+
+    A batch that fails is delivered again; the insert ignores ids already stored, so every
+    event ends up in the table once, however often it was sent.
+    """
+    # Arrival columns decide between duplicates but are not stored.
+    arrival = [c for c in order if c not in RAW_SCHEMA.names]
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        insert_new(conform(batch, strict, keep=arrival), sink, order, prune_by_date)
+
+    return (
+        stream.writeStream.foreachBatch(insert)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def dedup_stream(
+    stream: DataFrame, key: str = "event_id", ts: str = "timestamp", delay: str = "1 hour"
+) -> DataFrame:
+    """Drop repeated ids that arrive within ``delay`` of each other; the state is bounded."""
+    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
+def live_metrics(
+    stream: DataFrame, every: str = "1 hour", delay: str = "1 hour", keys: Sequence[str] = (),
+    ts: str = "timestamp",
+) -> DataFrame:
+    """Traffic, errors, latency, tokens and approximate users per tumbling window.
+
+    In append mode a window is given out once the watermark has passed its end.
+    """
+    return (
+        stream.withWatermark(ts, delay)
+        .groupBy(F.window(ts, every), *keys)
+        .agg(
+            F.count(F.lit(1)).alias("requests"),
+            F.count_if("is_error").alias("error_count"),
+            ratio(F.count_if("is_error"), F.count(F.lit(1))).alias("error_rate"),
+            F.avg("latency_ms").alias("avg_latency"),
+            F.sum("total_tokens").alias("tokens"),
+            F.approx_count_distinct("user_id").alias("approx_users"),
+        )
+        .select(
+            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+            *keys, "requests", "error_count", "error_rate", "avg_latency", "tokens", "approx_users",
+        )
+    )
+
+
+def drain_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Write a stream to Parquet files until its source is drained."""
+    return (
+        stream.writeStream.format("parquet").outputMode(mode)
+        .option("path", path).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
+    )
