@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.operators.splits import stratified_split
-from callmeter.session import ensure_checkpoint_dir
+from callmeter.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)
@@ -65,13 +65,14 @@ def train_churn(
     Fails when either class is missing, instead of inventing labels.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    split = stratified_split(df, label, key, test, seed).cache()
+    features_once = materialize(df, "churn-features")
+    split = materialize(stratified_split(features_once, label, key, test, seed), "churn-split")
     train, held_out = split.filter(~F.col("is_test")), split.filter("is_test")
     classes = {r[label] for r in train.select(label).distinct().limit(3).collect()}
     if classes != {0, 1}:
         raise ValueError(f"training needs both labels 0 and 1, found {sorted(classes)}")
     gbt = GBTClassifier(
         labelCol=label, maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed,
-        checkpointInterval=10, cacheNodeIds=True,
+        checkpointInterval=10,
     )
     return ChurnModel(gbt.fit(assemble(train, features)), tuple(features), label, held_out)

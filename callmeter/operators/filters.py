@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from callmeter.functions import dates
@@ -16,6 +17,11 @@ def latest_day(df: DataFrame, date: str = "event_date") -> DataFrame:
     return df.filter(F.col(date) == newest)
 
 
+def newest_day(df: DataFrame, date: str = "event_date") -> dt.date | None:
+    """The newest day, looked up now, for plans that use it several times."""
+    return df.agg(F.max(date)).first()[0]
+
+
 def last_days(
     df: DataFrame, as_of: dt.date | str, days: int, date: str = "event_date"
 ) -> DataFrame:
@@ -47,7 +53,8 @@ def mark_partial(daily: DataFrame, as_of: dt.date | str, date: str = "event_date
     Expects one row per day.
     """
     partial = F.col(date) >= dates.day(as_of)
-    last_complete = daily.filter(~partial).select(F.max(date)).scalar()
+    # One window over the days, so that the series is not computed twice.
+    last_complete = F.max(F.when(~partial, F.col(date))).over(W.partitionBy())
     return daily.withColumns({
         "is_partial": partial,
         "is_bridge": F.coalesce(F.col(date) == last_complete, F.lit(False)),

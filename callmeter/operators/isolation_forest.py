@@ -145,7 +145,8 @@ def fit_isolation_forest(
 ) -> IsolationForestModel:
     """Fit on rows without nulls; the share ``contamination`` of them scores above the threshold.
 
-    ``key`` must identify a row. Only the finished trees and the threshold come to the driver.
+    ``key`` must identify a row. The rows are read several times, so pass a stored table rather
+    than a long plan. Only the finished trees and the threshold come to the driver.
     """
     rows = df.na.drop(subset=[key, *features]).select(key, *features)
     n = rows.count()

@@ -91,8 +91,8 @@ def check_rows(df: DataFrame, checks: Sequence[Check] = EVENT_CHECKS) -> DataFra
     one_pass, parts = [], []
     for position, check in enumerate(checks, start=1):
         if check.kind == "unique":
-            per_value = df.groupBy(check.column).agg(evaluated.alias("n"))
-            is_value = F.col(check.column).isNotNull()
+            per_value = df.groupBy(F.col(check.column).alias("value")).agg(evaluated.alias("n"))
+            is_value = F.col("value").isNotNull()
             counts = per_value.agg(
                 F.coalesce(F.sum(F.when(is_value & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("bad"),
                 F.coalesce(F.sum(F.when(is_value, F.col("n"))), F.lit(0)).alias("filled"),

@@ -35,8 +35,8 @@ def running_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFr
     w = W.partitionBy(*keys)
     up_to_here = w.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return counts.withColumns({
-        "before": F.sum("rows").over(up_to_here) - F.col("rows"),
-        "group_rows": F.sum("rows").over(w),
+        "_before": F.sum("_rows").over(up_to_here) - F.col("_rows"),
+        "_group_rows": F.sum("_rows").over(w),
     })
 
 
@@ -61,42 +61,42 @@ def exact_percentile(
     """
     keys = list(keys)
     number = F.col(value).cast("double")
-    rows = df.select(*keys, number.alias("value"), magnitude_bucket(number).alias("bucket"))
-    rows = rows.filter(F.col("value").isNotNull())
-
-    counted = rows.groupBy(*keys, "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    rank = (F.col("group_rows") - 1) * F.lit(float(p))
-    located = running_counts(counted, keys, "bucket").withColumns({
-        "low_rank": F.floor(rank),
-        "high_rank": F.ceil(rank),
-        "weight": rank - F.floor(rank),
+    rows = df.select(*keys, number.alias("_value"), magnitude_bucket(number).alias("_bucket"))
+    rows = rows.filter(F.col("_value").isNotNull())
+
+    counted = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    rank = (F.col("_group_rows") - 1) * F.lit(float(p))
+    located = running_counts(counted, keys, "_bucket").withColumns({
+        "_low_rank": F.floor(rank),
+        "_high_rank": F.ceil(rank),
+        "_weight": rank - F.floor(rank),
     })
 
     def holds(r: str) -> Column:
-        return (F.col(r) >= F.col("before")) & (F.col(r) < F.col("before") + F.col("rows"))
+        return (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_rows"))
 
-    located = located.filter(holds("low_rank") | holds("high_rank")).select(
-        *keys, "bucket", F.col("before").alias("bucket_before"), "low_rank", "high_rank", "weight"
+    located = located.filter(holds("_low_rank") | holds("_high_rank")).select(
+        *keys, "_bucket", F.col("_before").alias("_bucket_before"), "_low_rank", "_high_rank", "_weight"
     )
 
     # Null keys form a group too, hence the null-safe comparison.
     near, found = rows.alias("near"), small_side(located).alias("found")
-    match = F.col("near.bucket") == F.col("found.bucket")
+    match = F.col("near._bucket") == F.col("found._bucket")
     for key in keys:
         match = match & F.col(f"near.{key}").eqNullSafe(F.col(f"found.{key}"))
-    ranks = ["bucket_before", "low_rank", "high_rank", "weight"]
+    ranks = ["_bucket_before", "_low_rank", "_high_rank", "_weight"]
     values = (
         near.join(found, match)
-        .groupBy(*[F.col(f"near.{k}").alias(k) for k in keys], F.col("near.bucket").alias("bucket"),
-                 "value", *ranks)
-        .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(*[F.col(f"near.{k}").alias(k) for k in keys], F.col("near._bucket").alias("_bucket"),
+                 "_value", *ranks)
+        .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    inside = running_counts(values, [*keys, "bucket"], "value")
-    inside = inside.withColumn("before", F.col("before") + F.col("bucket_before"))
-    low = F.max(F.when(holds("low_rank"), F.col("value")))
-    high = F.max(F.when(holds("high_rank"), F.col("value")))
+    inside = running_counts(values, [*keys, "_bucket"], "_value")
+    inside = inside.withColumn("_before", F.col("_before") + F.col("_bucket_before"))
+    low = F.max(F.when(holds("_low_rank"), F.col("_value")))
+    high = F.max(F.when(holds("_high_rank"), F.col("_value")))
     return inside.groupBy(*keys).agg(
-        (low + (high - low) * F.max("weight")).alias(name)
+        (low + (high - low) * F.max("_weight")).alias(name)
     )
 
 

@@ -29,21 +29,21 @@ def stratified_split(
         return df.withColumn("is_test", share < test)
 
     place = F.struct(digest.alias("digest"), F.col(key).alias("key"))
-    ordered = df.select(label, place.alias("place"), F.substring(digest, 1, PREFIX).alias("bucket"))
+    ordered = df.select(label, place.alias("_place"), F.substring(digest, 1, PREFIX).alias("_bucket"))
 
-    counted = ordered.groupBy(label, "bucket").agg(F.count(F.lit(1)).alias("rows"))
-    wanted = F.floor(F.col("group_rows") * F.lit(float(test)) + 0.5)
+    counted = ordered.groupBy(label, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    wanted = F.floor(F.col("_group_rows") * F.lit(float(test)) + 0.5)
     border = (
-        running_counts(counted, [label], "bucket")
-        .filter((F.col("before") < wanted) & (wanted <= F.col("before") + F.col("rows")))
-        .select(label, "bucket", (wanted - F.col("before")).alias("take"))
+        running_counts(counted, [label], "_bucket")
+        .filter((F.col("_before") < wanted) & (wanted <= F.col("_before") + F.col("_rows")))
+        .select(label, "_bucket", (wanted - F.col("_before")).alias("_take"))
     )
-    in_bucket = W.partitionBy(label, "bucket").orderBy("place")
+    in_bucket = W.partitionBy(label, "_bucket").orderBy("_place")
     last = (
-        ordered.join(small_side(border), [label, "bucket"])
-        .withColumn("rank", F.row_number().over(in_bucket))
-        .filter(F.col("rank") == F.col("take"))
-        .select(label, F.col("place").alias("_last"))
+        ordered.join(small_side(border), [label, "_bucket"])
+        .withColumn("_rank", F.row_number().over(in_bucket))
+        .filter(F.col("_rank") == F.col("_take"))
+        .select(label, F.col("_place").alias("_last"))
     )
     is_test = F.coalesce(place <= F.col("_last"), F.lit(False))
     return df.join(small_side(last), label, "left").select(*df.columns, is_test.alias("is_test"))

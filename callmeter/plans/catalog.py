@@ -17,10 +17,9 @@ from callmeter.functions.numeric import half_up
 from callmeter.functions.wire import decode_events
 from callmeter.operators import cohorts, filters, gaps, quality, splits, users
 from callmeter.operators.keyed import latest_per_key
-from callmeter.operators.measures import user_days
 from callmeter.plans import marts, reports, training
 from callmeter.schema import WIRE_SCHEMA, conform
-from callmeter.session import scratch_path
+from callmeter.session import materialize, scratch_path
 from callmeter.sources import events_table, kafka, testtables
 from callmeter.streaming import jobs
 
@@ -61,7 +60,11 @@ def query(build: Query) -> Query:
     return run
 
 
+# Events without user columns, events with them, and the user-day rollup. A query takes the
+# first or the last wherever it can, as neither joins users to single events.
+events = testtables.events
 usage = testtables.usage_events
+days = testtables.usage_days
 
 
 # Reports
@@ -69,38 +72,38 @@ usage = testtables.usage_events
 
 @query
 def endpoint_metrics(spark, sf_dir):
-    return reports.endpoint_metrics(usage(spark, sf_dir))
+    return reports.endpoint_metrics(events(spark, sf_dir))
 
 
 @query
 def current_metrics(spark, sf_dir):
-    return reports.current_metrics(usage(spark, sf_dir))
+    return reports.current_metrics(events(spark, sf_dir))
 
 
 @query
 def narrative_metrics(spark, sf_dir):
-    return reports.narrative_metrics(usage(spark, sf_dir))
+    return reports.narrative_metrics(events(spark, sf_dir))
 
 
 @query
 def narrative(spark, sf_dir):
-    return reports.narrative(usage(spark, sf_dir))
+    return reports.narrative(events(spark, sf_dir))
 
 
 @query
 def time_series(spark, sf_dir):
-    return reports.time_series(usage(spark, sf_dir), AS_OF, days=21)
+    return reports.time_series(events(spark, sf_dir), AS_OF, days=21)
 
 
 @query
 def time_series_from_rollup(spark, sf_dir):
-    return reports.time_series(user_days(usage(spark, sf_dir)), AS_OF, days=21)
+    return reports.time_series(days(spark, sf_dir), AS_OF, days=21)
 
 
 @query
 def mark_partial(spark, sf_dir):
     # Looked at on the last day of the data, which is then still in progress.
-    daily = reports.time_series(usage(spark, sf_dir), AS_OF, days=30)
+    daily = reports.time_series(events(spark, sf_dir), AS_OF, days=30)
     return filters.mark_partial(daily, "2024-01-30").select(
         "event_date", "requests", "is_partial", "is_bridge"
     )
@@ -108,58 +111,58 @@ def mark_partial(spark, sf_dir):
 
 @query
 def user_tiers(spark, sf_dir):
-    return reports.user_tiers(usage(spark, sf_dir))
+    return reports.user_tiers(days(spark, sf_dir))
 
 
 @query
 def errors_top(spark, sf_dir):
-    return reports.errors_top(usage(spark, sf_dir))
+    return reports.errors_top(events(spark, sf_dir))
 
 
 @query
 def churn_risk(spark, sf_dir):
-    return users.at_risk(usage(spark, sf_dir))
+    return users.at_risk(days(spark, sf_dir))
 
 
 @query
 def user_day_rollup(spark, sf_dir):
-    rows = _rounded(user_days(usage(spark, sf_dir)), 2)
+    rows = _rounded(days(spark, sf_dir), 2)
     return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
 
 
 @query
 def dau(spark, sf_dir):
-    return reports.dau(usage(spark, sf_dir))
+    return reports.dau(events(spark, sf_dir))
 
 
 @query
 def token_usage(spark, sf_dir):
-    return reports.token_usage(usage(spark, sf_dir))
+    return reports.token_usage(days(spark, sf_dir))
 
 
 @query
 def daily_errors(spark, sf_dir):
-    return reports.daily_errors(usage(spark, sf_dir))
+    return reports.daily_errors(events(spark, sf_dir))
 
 
 @query
 def daily_tier_panel(spark, sf_dir):
-    return reports.daily_tier_panel(usage(spark, sf_dir))
+    return reports.daily_tier_panel(days(spark, sf_dir))
 
 
 @query
 def daily_latency_error(spark, sf_dir):
-    return _rounded(reports.daily_latency_error(usage(spark, sf_dir)))
+    return _rounded(reports.daily_latency_error(events(spark, sf_dir)))
 
 
 @query
 def rolling_features(spark, sf_dir):
-    return _rounded(reports.rolling_daily(usage(spark, sf_dir)))
+    return _rounded(reports.rolling_daily(events(spark, sf_dir)))
 
 
 @query
 def anomaly_features(spark, sf_dir):
-    return _rounded(reports.anomaly_features(usage(spark, sf_dir)))
+    return _rounded(reports.anomaly_features(events(spark, sf_dir)))
 
 
 # Filters and single rows
@@ -167,12 +170,13 @@ def anomaly_features(spark, sf_dir):
 
 @query
 def latest_day(spark, sf_dir):
-    return filters.latest_day(usage(spark, sf_dir)).select("event_id", "event_date", "user_id")
+    return filters.latest_day(events(spark, sf_dir)).select("event_id", "event_date", "user_id")
 
 
 @query
 def newest_sample(spark, sf_dir):
-    return filters.newest(usage(spark, sf_dir)).select(
+    rows = filters.newest(events(spark, sf_dir))
+    return testtables.with_users(rows, sf_dir).select(
         "event_id", "timestamp", "user_id", "user_tier", "endpoint", "latency_ms", "status_code",
         "input_tokens", "output_tokens",
     )
@@ -180,14 +184,14 @@ def newest_sample(spark, sf_dir):
 
 @query
 def latest_event_per_user(spark, sf_dir):
-    rows = usage(spark, sf_dir).select(
-        "user_id", "event_date", "timestamp", "event_id", "user_tier", "endpoint")
-    return latest_per_key(rows, "user_id", ["event_date", "timestamp", "event_id"])
+    rows = events(spark, sf_dir).select("user_id", "event_date", "timestamp", "event_id", "endpoint")
+    latest = latest_per_key(rows, "user_id", ["event_date", "timestamp", "event_id"])
+    return testtables.with_users(latest, sf_dir).drop("region")
 
 
 @query
 def distinct_tiers(spark, sf_dir):
-    return usage(spark, sf_dir).select("user_tier").distinct()
+    return days(spark, sf_dir).select("user_tier").distinct()
 
 
 # Cohorts
@@ -195,7 +199,7 @@ def distinct_tiers(spark, sf_dir):
 
 @query
 def cohort_retention(spark, sf_dir):
-    return cohorts.cohort_retention(usage(spark, sf_dir), grain="week")
+    return cohorts.cohort_retention(events(spark, sf_dir), grain="week")
 
 
 def _order_cohorts(spark, sf_dir):
@@ -217,7 +221,7 @@ def cohort_matrix(spark, sf_dir):
 
 @query
 def retained_within(spark, sf_dir):
-    return cohorts.retained_within(usage(spark, sf_dir), days=7)
+    return cohorts.retained_within(events(spark, sf_dir), days=7)
 
 
 # Event table
@@ -253,7 +257,7 @@ def wire_roundtrip(spark, sf_dir):
 def insert_new(spark, sf_dir):
     # The table holds the first half of the month. The batch overlaps it, and each of its
     # events comes twice: the later copy, with another latency, must lose.
-    rows = usage(spark, sf_dir).select("event_id", "timestamp", "user_id", "latency_ms")
+    rows = events(spark, sf_dir).select("event_id", "timestamp", "user_id", "latency_ms")
     table = rows.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
     batch = rows.filter(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
     again = batch.withColumns({
@@ -265,14 +269,14 @@ def insert_new(spark, sf_dir):
 
 @query
 def retain_recent(spark, sf_dir):
-    return events_table.retain_recent(usage(spark, sf_dir), "2024-01-31 12:00:00", 10).select(
+    return events_table.retain_recent(events(spark, sf_dir), "2024-01-31 12:00:00", 10).select(
         "event_id", "timestamp", "user_id"
     )
 
 
 @query
 def cull_report(spark, sf_dir):
-    return events_table.cull_report(usage(spark, sf_dir), "2024-01-31 12:00:00", 10)
+    return events_table.cull_report(events(spark, sf_dir), "2024-01-31 12:00:00", 10)
 
 
 # Slots
@@ -280,7 +284,7 @@ def cull_report(spark, sf_dir):
 
 def _calendar(spark, sf_dir):
     minute = F.date_trunc("minute", F.col("timestamp"))
-    bounds = usage(spark, sf_dir).agg(
+    bounds = events(spark, sf_dir).agg(
         F.min(minute).alias("start"), (F.max(minute) + F.expr("interval 1 minute")).alias("end")
     )
     return gaps.slots_between(bounds)
@@ -293,27 +297,27 @@ def slot_calendar(spark, sf_dir):
 
 @query
 def existing_slots(spark, sf_dir):
-    return gaps.existing_slots(usage(spark, sf_dir), "2024-01-10", "2024-01-20 06:30:00")
+    return gaps.existing_slots(events(spark, sf_dir), "2024-01-10", "2024-01-20 06:30:00")
 
 
 @query
 def missing_slots(spark, sf_dir):
-    return gaps.missing_slots(_calendar(spark, sf_dir), gaps.existing_slots(usage(spark, sf_dir)))
+    return gaps.missing_slots(_calendar(spark, sf_dir), gaps.existing_slots(events(spark, sf_dir)))
 
 
 @query
 def slot_coverage(spark, sf_dir):
-    return gaps.slot_coverage(_calendar(spark, sf_dir), gaps.existing_slots(usage(spark, sf_dir)))
+    return gaps.slot_coverage(_calendar(spark, sf_dir), gaps.existing_slots(events(spark, sf_dir)))
 
 
 @query
 def slot_event_id(spark, sf_dir):
-    return gaps.backfill_keys(gaps.existing_slots(usage(spark, sf_dir)))
+    return gaps.backfill_keys(gaps.existing_slots(events(spark, sf_dir)))
 
 
 @query
 def hourly_profile(spark, sf_dir):
-    return _rounded(gaps.hourly_profile(usage(spark, sf_dir)))
+    return _rounded(gaps.hourly_profile(events(spark, sf_dir)))
 
 
 # Quality
@@ -344,17 +348,16 @@ def dq_report(spark, sf_dir):
 
 @query
 def dq_marts(spark, sf_dir):
-    events = usage(spark, sf_dir)
     return marts.check_marts({
-        "dau": reports.dau(events),
-        "endpoints": reports.endpoint_metrics(events),
-        "user_tiers": reports.user_tiers(events),
+        "dau": reports.dau(events(spark, sf_dir)),
+        "endpoints": reports.endpoint_metrics(events(spark, sf_dir)),
+        "user_tiers": reports.user_tiers(days(spark, sf_dir)),
     })
 
 
 @query
 def label_guard(spark, sf_dir):
-    return quality.label_guard(users.churn_features(usage(spark, sf_dir), AS_OF))
+    return quality.label_guard(users.churn_features(days(spark, sf_dir), AS_OF))
 
 
 # Users and models
@@ -362,13 +365,13 @@ def label_guard(spark, sf_dir):
 
 @query
 def user_activity(spark, sf_dir):
-    rows = _rounded(users.user_activity(usage(spark, sf_dir)))
+    rows = _rounded(users.user_activity(events(spark, sf_dir)))
     return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
 
 
 @query
 def churn_features(spark, sf_dir):
-    rows = _rounded(users.churn_features(usage(spark, sf_dir), AS_OF))
+    rows = _rounded(users.churn_features(days(spark, sf_dir), AS_OF))
     return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
 
 
@@ -381,49 +384,54 @@ def one_hot(spark, sf_dir):
 
 @query
 def user_lifetimes(spark, sf_dir):
-    return users.user_lifetimes(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS)
+    return users.user_lifetimes(days(spark, sf_dir), AS_OF, INACTIVE_DAYS)
 
 
 @query
 def kaplan_meier(spark, sf_dir):
-    return _rounded(training.survival_curves(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS))
+    return _rounded(training.survival_curves(days(spark, sf_dir), AS_OF, INACTIVE_DAYS))
 
 
 @query
 def kaplan_meier_inverted(spark, sf_dir):
     return _rounded(
-        training.survival_curves(usage(spark, sf_dir), AS_OF, INACTIVE_DAYS, inverted=True))
+        training.survival_curves(days(spark, sf_dir), AS_OF, INACTIVE_DAYS, inverted=True))
 
 
 @query
 def stratified_split(spark, sf_dir):
-    features = users.churn_features(usage(spark, sf_dir), AS_OF).select("user_id", "churned")
+    features = users.churn_features(days(spark, sf_dir), AS_OF).select("user_id", "churned")
     return splits.stratified_split(features, "churned", "user_id")
 
 
+def _rollout_effect(spark, sf_dir):
+    # Read three times: for both outcomes and for the last day.
+    return training.rollout_effect(materialize(days(spark, sf_dir), "user-days"), **ROLLOUT)
+
+
 @query
 def diff_in_diff(spark, sf_dir):
-    return _rounded(training.rollout_effect(usage(spark, sf_dir), **ROLLOUT))
+    return _rounded(_rollout_effect(spark, sf_dir))
 
 
 @query
 def rollout_report(spark, sf_dir):
-    return training.rollout_report(training.rollout_effect(usage(spark, sf_dir), **ROLLOUT))
+    return training.rollout_report(_rollout_effect(spark, sf_dir))
 
 
 @query
 def isolation_forest(spark, sf_dir):
-    return training.anomaly_model(usage(spark, sf_dir))[1]
+    return training.anomaly_model(events(spark, sf_dir))[1]
 
 
 @query
 def churn_model(spark, sf_dir):
-    return training.churn_model(usage(spark, sf_dir), AS_OF).metrics()
+    return training.churn_model(days(spark, sf_dir), AS_OF).metrics()
 
 
 @query
 def churn_importances(spark, sf_dir):
-    return training.churn_model(usage(spark, sf_dir), AS_OF).importances()
+    return training.churn_model(days(spark, sf_dir), AS_OF).importances()
 
 
 # Streams, run until the events are used up; their output is read back as a table.
@@ -431,7 +439,7 @@ def churn_importances(spark, sf_dir):
 
 def _event_stream(spark, sf_dir):
     raw = (
-        spark.readStream.schema(testtables.EVENTS_SCHEMA)
+        spark.readStream.schema(testtables.SCHEMAS["events"])
         .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
     )
     return testtables.event_columns(raw)
@@ -459,7 +467,7 @@ def stream_dedup(spark, sf_dir):
 @query
 def ingest_stream(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    rows = twice.join(testtables.users(spark, sf_dir), "user_id")
+    rows = testtables.with_users(twice, sf_dir)
     sink = scratch_path(spark, "ingest-stream")
     jobs.ingest_stream(
         rows, sink, scratch_path(spark, "ingest-stream-checkpoint"), strict=False

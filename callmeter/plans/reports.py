@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from callmeter.functions.numeric import half_up, percent
 from callmeter.operators import measures as m
-from callmeter.operators.filters import last_days, latest_day
+from callmeter.operators.filters import last_days, newest_day
 from callmeter.operators.rank_select import percentile
 from callmeter.operators.rolling import rolling
 
@@ -18,7 +18,7 @@ P95 = 0.95
 
 def _latest_day_metrics(df: DataFrame, approx: bool) -> DataFrame:
     """One row, also for an empty table."""
-    day = latest_day(df)
+    day = df.filter(F.col("event_date") == F.lit(newest_day(df)).cast("date"))
     totals = day.agg(
         F.max("event_date").alias("event_date"),
         (F.approx_count_distinct("user_id") if approx else m.users()).alias("dau"),

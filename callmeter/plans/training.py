@@ -19,12 +19,17 @@ from callmeter.operators.users import (
     churn_features, feature_columns, numeric_durations, user_lifetimes,
 )
 from callmeter.plans import reports
+from callmeter.session import materialize
 from callmeter.sources.files import write_csv, write_json, write_text
 
 
+def _rollup(df: DataFrame) -> DataFrame:
+    return df if is_rollup(df) else materialize(user_days(df), "user-days")
+
+
 def anomaly_model(df: DataFrame, n: int = 7, **params) -> tuple[IsolationForestModel, DataFrame]:
     """Fit on the daily features; gives the model and the scored days."""
-    features = reports.anomaly_features(df, n)
+    features = materialize(reports.anomaly_features(df, n), "anomaly-features")
     model = fit_isolation_forest(features, reports.anomaly_columns(n), "event_date", **params)
     return model, model.transform(features)
 
@@ -47,7 +52,7 @@ def rollout_effect(
     df: DataFrame, rollout: dt.date | str, tier: str, region: str, days: int = 7
 ) -> DataFrame:
     """Effect of a rollout on return within ``days`` days and on tokens per user and day."""
-    rollup = df if is_rollup(df) else user_days(df)
+    rollup = _rollup(df)
     returns = retained_within(rollup, days, keep=["user_tier", "region"])
     outcomes = {
         "retained": (returns, "retained"),
@@ -78,19 +83,21 @@ def train_all(
     """Run every model over staged events and write its results below ``out``.
 
     The churn model is skipped when there are too few positive labels; that check's result is
-    written either way.
+    written either way. The events are read once for the rollup that all models share, and
+    once more for the percentile in the summary.
     """
+    rollup = _rollup(df)
     paths = {name: os.path.join(out, name) for name in (
         "label_guard", "anomalies", "survival_curves", "causal_report", "narrative")}
-    guard = label_guard(churn_features(df, as_of))
+    guard = label_guard(churn_features(rollup, as_of))
     write_json(guard, paths["label_guard"])
-    write_csv(anomaly_model(df)[1], paths["anomalies"])
+    write_csv(anomaly_model(rollup)[1], paths["anomalies"])
     if guard.first()["sufficient"]:
-        churn = churn_model(df, as_of, **churn_params)
+        churn = churn_model(rollup, as_of, **churn_params)
         for name, result in (("importances", churn.importances()), ("metrics", churn.metrics())):
             paths[name] = os.path.join(out, name)
             write_json(result, paths[name])
-    write_csv(survival_curves(df, as_of, inactive_days), paths["survival_curves"])
-    write_text(rollout_report(rollout_effect(df, rollout, tier, region)), paths["causal_report"])
+    write_csv(survival_curves(rollup, as_of, inactive_days), paths["survival_curves"])
+    write_text(rollout_report(rollout_effect(rollup, rollout, tier, region)), paths["causal_report"])
     write_text(reports.narrative(df), paths["narrative"])
     return paths

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
@@ -53,6 +53,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_root(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from there.
+
+    For results that several jobs read: they are computed once, and a lost executor costs
+    reading them again.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative algorithms a reliable place to cut their lineage."""
     if spark.sparkContext.getCheckpointDir() is None:

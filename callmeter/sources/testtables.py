@@ -4,16 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-EVENTS_SCHEMA = T.StructType([
-    T.StructField("event_id", T.LongType()),
-    T.StructField("ts", T.TimestampNTZType()),
-    T.StructField("user_id", T.LongType()),
-    T.StructField("event_type", T.StringType()),
-    T.StructField("value", T.DoubleType()),
-    T.StructField("props", T.StringType()),
-])
+from callmeter.operators.measures import user_days
+
+# Declared, so that opening a table does not start a job to read file footers.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+}
 
 # How the columns of the source tables stand for those of usage events.
 TIER_OF_SEGMENT = {"AUTOMOBILE": "enterprise", "MACHINERY": "pro"}
@@ -30,7 +34,7 @@ FIRST_DAY = "2024-01-01"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _choose(value: Column, mapping: dict, otherwise: Column) -> Column:
@@ -75,6 +79,11 @@ def event_columns(events: DataFrame) -> DataFrame:
     )
 
 
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged usage events without the columns of the user."""
+    return event_columns(table(spark, sf_dir, "events"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tier and region per user."""
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
@@ -89,7 +98,23 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def with_users(df: DataFrame, sf_dir: str) -> DataFrame:
+    """Add tier and region; a user not known has the tier free and no region."""
+    # Stated to be unique, users are not joined at all where only other columns are used.
+    known = users(df.sparkSession, sf_dir).dropDuplicates(["user_id"])
+    joined = df.join(known, "user_id", "left")
+    return joined.withColumn("user_tier", F.coalesce("user_tier", F.lit("free")))
+
+
 def usage_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged usage events."""
-    events = event_columns(table(spark, sf_dir, "events"))
-    return events.join(users(spark, sf_dir), "user_id")
+    """Staged usage events with all columns."""
+    return with_users(events(spark, sf_dir), sf_dir)
+
+
+def usage_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user-day rollup of the usage events.
+
+    Tier and region are joined to the rollup, not to the events: far fewer rows are shuffled
+    by user, and a busy user is a few rows by then.
+    """
+    return with_users(user_days(events(spark, sf_dir), ("event_date", "user_id")), sf_dir)

@@ -34,9 +34,9 @@ WITH ev AS (
            status_code = 429 AS rate_limited, r_name AS region,
            churn_day, churn_day IS NOT NULL AS will_churn
     FROM st
-    JOIN customer ON user_id = c_custkey
-    JOIN nation ON c_nationkey = n_nationkey
-    JOIN region ON n_regionkey = r_regionkey
+    LEFT JOIN customer ON user_id = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN region ON n_regionkey = r_regionkey
 )"""
 
 

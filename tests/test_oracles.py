@@ -1,0 +1,34 @@
+"""Every query with an SQL counterpart gives the same rows as DuckDB."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_points
+from callmeter.plans.catalog import QUERIES
+from tests.compare import connect, difference
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+ORACLES = entry_points.oracle_sql()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    return connect(SF_DIR)
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_matches_sql(spark, duck, name):
+    rows = QUERIES[name](spark, SF_DIR).toPandas()
+    assert len(rows) > 0
+    assert difference(rows, duck.sql(ORACLES[name]).df()) is None
+
+
+def test_every_oracle_has_a_query():
+    assert set(ORACLES) <= set(entry_points.queries())
+
+
+def test_entry(spark):
+    assert entry_points.entry(spark).count() == 4
