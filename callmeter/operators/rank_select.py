@@ -31,7 +31,7 @@ def magnitude_bucket(value: Column) -> Column:
 
 
 def running_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
-    """Add ``before`` (rows in smaller buckets) and ``group_rows`` to per-bucket ``rows``."""
+    """Add ``_before`` (rows in smaller buckets) and ``_group_rows`` to per-bucket ``_rows``."""
     w = W.partitionBy(*keys)
     up_to_here = w.orderBy(order).rowsBetween(W.unboundedPreceding, W.currentRow)
     return counts.withColumns({
