@@ -14,7 +14,8 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join partition even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Do not record a Python stack for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # Stream state lives on disk, so it may outgrow the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.operators.measures import user_days
@@ -37,45 +37,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _choose(value: Column, mapping: dict, otherwise: Column) -> Column:
-    out = None
-    for key, result in mapping.items():
-        out = F.when(value == key, result) if out is None else out.when(value == key, result)
-    return out.otherwise(otherwise)
+def _case(value: str, mapping: dict, otherwise: str) -> str:
+    """SQL that looks a value up in a mapping; numbers and strings read alike in it."""
+    branches = " ".join(f"WHEN {k!r} THEN {v!r}" for k, v in mapping.items())
+    return f"CASE {value} {branches} ELSE {otherwise} END"
 
 
 def event_columns(events: DataFrame) -> DataFrame:
     """Usage columns that follow from the event alone; thins out activity by user."""
-    k, user = F.col("k"), F.col("user_id")
-    dayno = F.datediff("event_date", F.lit(FIRST_DAY).cast("date"))
-    by_remainder = F.element_at(F.array(*map(F.lit, ENDPOINT_OF_TYPE.values())), (k % 4 + 1).cast("int"))
-    is_error = F.col("event_type") == "error"
-    status = F.element_at(F.array(*map(F.lit, STATUS_OF_ERROR)), (k % 6 + 1).cast("int"))
-    rows = events.select(
-        "event_id", "user_id", "event_type",
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.to_date("ts").alias("event_date"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.col("value").alias("latency_ms"),
-    ).withColumns({
-        "churn_day": F.when(user % 4 == 0, (3 + (7 * user) % 25).cast("int")),
-        "start_day": F.when(user % 3 == 0, (5 * user) % 20).otherwise(0),
-    }).filter(
-        (dayno >= F.col("start_day")) & (F.col("churn_day").isNull() | (dayno < F.col("churn_day")))
-    )
-    rows = rows.withColumn("status_code", F.when(is_error, status).otherwise(200))
-    return rows.select(
+    in_order = dict(enumerate(ENDPOINT_OF_TYPE.values()))
+    endpoint = _case("event_type", ENDPOINT_OF_TYPE, _case("k % 4", in_order, "NULL"))
+    status = _case("k % 6", dict(enumerate(STATUS_OF_ERROR)), "NULL")
+    rows = events.selectExpr(
+        "event_id", "user_id", "event_type", "value",
+        "cast(ts AS timestamp) AS timestamp",
+        "cast(ts AS date) AS event_date",
+        f"datediff(cast(ts AS date), DATE'{FIRST_DAY}') AS dayno",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "CASE WHEN user_id % 4 = 0 THEN cast(3 + (7 * user_id) % 25 AS int) END AS churn_day",
+        "CASE WHEN user_id % 3 = 0 THEN (5 * user_id) % 20 ELSE 0 END AS start_day",
+    ).filter("dayno >= start_day AND (churn_day IS NULL OR dayno < churn_day)")
+    rows = rows.selectExpr(
+        "*", f"CASE WHEN event_type = 'error' THEN {status} ELSE 200 END AS status_code")
+    return rows.selectExpr(
         "event_id", "timestamp", "event_date", "user_id",
-        _choose(F.col("event_type"), ENDPOINT_OF_TYPE, by_remainder).alias("endpoint"),
-        (10 * k + 50).alias("input_tokens"),
-        (4 * k + 50).alias("output_tokens"),
-        "latency_ms", "status_code",
-        _choose(F.col("status_code"), ERROR_OF_STATUS, F.lit(None)).alias("error_type"),
-        (F.col("status_code") == 429).alias("rate_limited"),
-        F.col("churn_day").isNotNull().alias("will_churn"),
+        f"{endpoint} AS endpoint",
+        "10 * k + 50 AS input_tokens",
+        "4 * k + 50 AS output_tokens",
+        "value AS latency_ms",
+        "status_code",
+        f"{_case('status_code', ERROR_OF_STATUS, 'NULL')} AS error_type",
+        "status_code = 429 AS rate_limited",
+        "churn_day IS NOT NULL AS will_churn",
         "churn_day",
-        is_error.alias("is_error"),
-        (14 * k + 100).alias("total_tokens"),
+        "event_type = 'error' AS is_error",
+        "14 * k + 100 AS total_tokens",
     )
 
 
@@ -87,14 +83,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tier and region per user."""
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
-    return (
-        customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            F.col("c_custkey").alias("user_id"),
-            _choose(F.col("c_mktsegment"), TIER_OF_SEGMENT, F.lit("free")).alias("user_tier"),
-            F.col("r_name").alias("region"),
-        )
+    places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+        "c_custkey AS user_id",
+        f"{_case('c_mktsegment', TIER_OF_SEGMENT, repr('free'))} AS user_tier",
+        "r_name AS region",
     )
 
 
