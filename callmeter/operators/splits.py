@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from callmeter.operators.rank_select import running_counts, small_side
 
-# Leading hex digits of the hash that form a bucket: 65,536 buckets per label.
-PREFIX = 4
+# Leading hex digits of the hash that form a bucket: 4,096 buckets per label.
+PREFIX = 3
 
 
 def stratified_split(

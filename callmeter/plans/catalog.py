@@ -350,7 +350,7 @@ def dq_report(spark, sf_dir):
 def dq_marts(spark, sf_dir):
     return marts.check_marts({
         "dau": reports.dau(events(spark, sf_dir)),
-        "endpoints": reports.endpoint_metrics(events(spark, sf_dir)),
+        "endpoints": reports.endpoint_metrics(events(spark, sf_dir), approx=True),
         "user_tiers": reports.user_tiers(days(spark, sf_dir)),
     })
 

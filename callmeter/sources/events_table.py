@@ -41,20 +41,19 @@ def new_rows(
 ) -> DataFrame:
     """Rows of ``batch`` to insert: the first one per key, unless the key exists already.
 
-    The table is only probed with the keys of the batch, reading nothing but its key column.
-    When the batch is known to be small the probe is a broadcast one and the table is not
+    Only the key column of the table is read. When the batch is known to be small
+    (``broadcast_keys``), its keys are sent to the table's partitions and the table is not
     shuffled; otherwise both sides are shuffled by key.
     """
     return _unseen(first_per_key(batch, key, order), existing, key, broadcast_keys)
 
 
 def _unseen(rows: DataFrame, existing: DataFrame, key: str, broadcast_keys: bool) -> DataFrame:
-    wanted = rows.select(key)
-    seen = existing.select(key).join(
-        F.broadcast(wanted) if broadcast_keys else wanted, key, "left_semi"
-    )
-    # Keys are unique in the table, so there are no more of them than in the batch.
-    return rows.join(F.broadcast(seen) if broadcast_keys else seen, key, "left_anti")
+    stored = existing.select(key)
+    if broadcast_keys:
+        # Keys are unique in the table, so no more of them match than the batch has.
+        stored = F.broadcast(stored.join(F.broadcast(rows.select(key)), key, "left_semi"))
+    return rows.join(stored, key, "left_anti")
 
 
 def insert_new(
