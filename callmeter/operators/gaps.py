@@ -13,6 +13,12 @@ from callmeter.functions.slot_ids import slot_event_id
 from callmeter.operators.filters import time_range
 
 
+def slot_window(as_of: dt.datetime, days: int = 90) -> tuple[dt.datetime, dt.datetime]:
+    """Start and end of the ``days`` days up to the current minute, that minute included."""
+    end = as_of.replace(second=0, microsecond=0) + dt.timedelta(minutes=1)
+    return end - dt.timedelta(days=days), end
+
+
 def slot_calendar(
     spark: SparkSession, start: dt.datetime, end: dt.datetime, every_seconds: int = 60
 ) -> DataFrame:

@@ -1,9 +1,10 @@
 """Exact order statistics without sorting a group in one task.
 
 A group's rows are first counted into a bounded number of value buckets (combined map-side),
-which tells in which bucket a rank lies. Only the rows of that bucket are looked at again.
-So no task ever holds more than the bucket table of a group, or the distinct values of one
-bucket, however large or hot the group is.
+which tells in which bucket a rank lies. Only the rows of that bucket are looked at again, and
+counted by value. A bucket with very many rows is narrowed once more in the same way. So no
+task ever holds more than a bucket table, or the distinct values of a narrow bucket, however
+large or hot the group is.
 """
 
 from __future__ import annotations
@@ -19,14 +20,18 @@ from callmeter.functions.numeric import half_up
 # Largest number of located ranks that is sent to all executors; beyond it they are shuffled.
 MAX_BROADCAST_RANKS = 10_000
 
-BUCKETS_PER_OCTAVE = 256
+# Buckets per doubling of the value: about 0.3 % wide, and for narrowing about 1e-6.
+COARSE, FINE = 256, 1 << 20
 
+# A bucket with more rows than this is narrowed before its values are sorted.
+MAX_BUCKET_ROWS = 20_000_000
 
-def magnitude_bucket(value: Column) -> Column:
-    """Order-preserving bucket of a double, about 0.3 % wide relative to the value."""
+
+def magnitude_bucket(value: Column, per_octave: int) -> Column:
+    """Order-preserving bucket of a double, of a width relative to the value."""
     floor_exponent = 64
-    steps = F.floor(F.log2(F.greatest(F.abs(value), F.lit(2.0 ** -floor_exponent)))
-                    * BUCKETS_PER_OCTAVE) + floor_exponent * BUCKETS_PER_OCTAVE + 1
+    magnitude = F.greatest(F.abs(value), F.lit(2.0 ** -floor_exponent))
+    steps = F.floor(F.log2(magnitude) * per_octave) + floor_exponent * per_octave + 1
     return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * steps)
 
 
@@ -40,16 +45,51 @@ def running_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFr
     })
 
 
-def small_side(df: DataFrame, limit: int = MAX_BROADCAST_RANKS) -> DataFrame:
-    """``df`` marked for broadcast if it has at most ``limit`` rows, else as it is.
+def fetch_few(df: DataFrame, limit: int | None = None) -> list | None:
+    """The rows of ``df`` if it has at most ``limit``, else none."""
+    limit = MAX_BROADCAST_RANKS if limit is None else limit
+    rows = df.limit(limit + 1).collect()
+    return rows if len(rows) <= limit else None
+
 
-    Fetches up to ``limit + 1`` rows to find out, and when they are few goes on with the
-    fetched rows, so that the plan behind them does not run a second time.
+def small_side(df: DataFrame, rows: list | None = None) -> DataFrame:
+    """``df`` marked for broadcast if its rows are few, else as it is.
+
+    Few rows are fetched (or given) and stand for the plan behind them from then on, so that
+    it does not run a second time.
     """
-    rows = df.limit(limit + 1).collect()
-    if len(rows) > limit:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+    rows = fetch_few(df) if rows is None else rows
+    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def _same(keys: Sequence[str]) -> Column:
+    # Null keys form a group too, hence the null-safe comparison.
+    match = F.lit(True)
+    for key in keys:
+        match = match & F.col(f"l.{key}").eqNullSafe(F.col(f"r.{key}"))
+    return match
+
+
+def _holds(rank: str) -> Column:
+    """Does this bucket (or value) hold the rank?"""
+    return (F.col(rank) >= F.col("_before")) & (F.col(rank) < F.col("_before") + F.col("_rows"))
+
+
+RANKS = ["_low", "_high", "_weight"]
+
+
+def _narrow(values: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Keep the values that share a fine bucket with a wanted rank."""
+    keys = [*keys, "_bucket"]
+    values = values.withColumn("_fine", magnitude_bucket(F.col("_value"), FINE))
+    counted = values.groupBy(*keys, "_fine", "_start", *RANKS).agg(F.sum("_rows").alias("_rows"))
+    found = running_counts(counted, keys, "_fine").withColumn(
+        "_before", F.col("_before") + F.col("_start"))
+    found = found.filter(_holds("_low") | _holds("_high")).select(
+        *keys, "_fine", F.col("_before").alias("_narrow_start"))
+    kept = values.alias("l").join(found.alias("r"), _same([*keys, "_fine"]))
+    return kept.select("l.*", "r._narrow_start").drop("_start").withColumnRenamed(
+        "_narrow_start", "_start")
 
 
 def exact_percentile(
@@ -57,47 +97,36 @@ def exact_percentile(
 ) -> DataFrame:
     """Linearly interpolated percentile (``percentile_cont``) of ``value`` per ``keys``.
 
-    Nulls are ignored. Runs one small job to locate the buckets; the result is lazy.
+    Nulls are ignored. Runs one job to locate the buckets; the result is lazy.
     """
     keys = list(keys)
     number = F.col(value).cast("double")
-    rows = df.select(*keys, number.alias("_value"), magnitude_bucket(number).alias("_bucket"))
-    rows = rows.filter(F.col("_value").isNotNull())
+    rows = df.select(*keys, number.alias("_value")).filter(F.col("_value").isNotNull())
+    rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_value"), COARSE))
 
     counted = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
     rank = (F.col("_group_rows") - 1) * F.lit(float(p))
     located = running_counts(counted, keys, "_bucket").withColumns({
-        "_low_rank": F.floor(rank),
-        "_high_rank": F.ceil(rank),
-        "_weight": rank - F.floor(rank),
+        "_low": F.floor(rank), "_high": F.ceil(rank), "_weight": rank - F.floor(rank),
     })
-
-    def holds(r: str) -> Column:
-        return (F.col(r) >= F.col("_before")) & (F.col(r) < F.col("_before") + F.col("_rows"))
-
-    located = located.filter(holds("_low_rank") | holds("_high_rank")).select(
-        *keys, "_bucket", F.col("_before").alias("_bucket_before"), "_low_rank", "_high_rank", "_weight"
-    )
-
-    # Null keys form a group too, hence the null-safe comparison.
-    near, found = rows.alias("near"), small_side(located).alias("found")
-    match = F.col("near._bucket") == F.col("found._bucket")
-    for key in keys:
-        match = match & F.col(f"near.{key}").eqNullSafe(F.col(f"found.{key}"))
-    ranks = ["_bucket_before", "_low_rank", "_high_rank", "_weight"]
-    values = (
-        near.join(found, match)
-        .groupBy(*[F.col(f"near.{k}").alias(k) for k in keys], F.col("near._bucket").alias("_bucket"),
-                 "_value", *ranks)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    inside = running_counts(values, [*keys, "_bucket"], "_value")
-    inside = inside.withColumn("_before", F.col("_before") + F.col("_bucket_before"))
-    low = F.max(F.when(holds("_low_rank"), F.col("_value")))
-    high = F.max(F.when(holds("_high_rank"), F.col("_value")))
-    return inside.groupBy(*keys).agg(
-        (low + (high - low) * F.max("_weight")).alias(name)
-    )
+    located = located.filter(_holds("_low") | _holds("_high")).select(
+        *keys, "_bucket", "_rows", F.col("_before").alias("_start"), *RANKS)
+    few = fetch_few(located)
+    huge = few is None or any(r["_rows"] > MAX_BUCKET_ROWS for r in few)
+
+    near = rows.alias("l").join(
+        small_side(located, few).alias("r"), _same([*keys, "_bucket"])
+    ).select("l.*", *[f"r.{c}" for c in ("_start", *RANKS)])
+    values = near.groupBy(*keys, "_bucket", "_value", "_start", *RANKS).agg(
+        F.count(F.lit(1)).alias("_rows"))
+    inner = ["_bucket"]
+    if huge:
+        values, inner = _narrow(values, keys), ["_bucket", "_fine"]
+    placed = running_counts(values, [*keys, *inner], "_value").withColumn(
+        "_before", F.col("_before") + F.col("_start"))
+    low = F.max(F.when(_holds("_low"), F.col("_value")))
+    high = F.max(F.when(_holds("_high"), F.col("_value")))
+    return placed.groupBy(*keys).agg((low + (high - low) * F.max("_weight")).alias(name))
 
 
 def percentile(

@@ -11,8 +11,12 @@ from pyspark.sql import functions as F
 from callmeter.functions import dates
 from callmeter.functions.numeric import to_number
 from callmeter.operators import measures as m
+from callmeter.operators.rank_select import fetch_few
 from callmeter.schema import USER_TIERS
 
+# Columns a one-hot encoding may add when it looks up the values itself.
+MAX_CATEGORIES = 1_000
+
 ACTIVITY_FEATURES = [
     "total_requests", "avg_latency", "error_count", "active_days", "total_tokens",
     "days_since_last",
@@ -36,8 +40,18 @@ def user_activity(df: DataFrame) -> DataFrame:
     return df.groupBy("user_id").agg(*[c.alias(n) for n, c in _activity(df).items()])
 
 
-def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> DataFrame:
-    """Add ``{prefix}_{value}`` with 0 or 1 for each value, in alphabetical order."""
+def one_hot(
+    df: DataFrame, column: str, values: Sequence[str] | None, prefix: str
+) -> DataFrame:
+    """Add ``{prefix}_{value}`` with 0 or 1 for each value, in alphabetical order.
+
+    Without ``values`` they are looked up in the data, which must have few of them.
+    """
+    if values is None:
+        found = fetch_few(df.select(column).na.drop().distinct(), MAX_CATEGORIES)
+        if found is None:
+            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
+        values = [r[0] for r in found]
     return df.withColumns({
         f"{prefix}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0))
         for v in sorted(values)

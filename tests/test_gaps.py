@@ -30,6 +30,12 @@ def test_calendar_is_half_open(spark):
     assert slots(gaps.slots_between(bounds(spark), 10)) == expected(seconds=10)
 
 
+def test_window_ends_after_the_current_minute(spark):
+    start, end = gaps.slot_window(dt.datetime(2024, 3, 1, 10, 30, 59, 5))
+    assert end == dt.datetime(2024, 3, 1, 10, 31) and start == dt.datetime(2023, 12, 2, 10, 31)
+    assert gaps.slot_calendar(spark, start, end).count() == 90 * 24 * 60
+
+
 def test_empty_span(spark):
     assert gaps.slot_calendar(spark, END, START).count() == 0
     assert gaps.slots_between(bounds(spark, END, START)).count() == 0
