@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from callmeter.operators.rank_select import exact_percentile
+from callmeter.session import materialize
 
 _NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double"
@@ -156,5 +157,7 @@ def fit_isolation_forest(
     sample = draw_subsamples(rows, features, key, n, trees, size, seed)
     nodes = grow_trees(sample, features, size, seed).toPandas()
     model = IsolationForestModel(tuple(features), nodes, size)
-    cut = exact_percentile(model.score(rows), [], "anomaly_score", 1.0 - contamination, "cut")
+    # Scored once and stored, as the percentile reads the scores more than once.
+    scores = materialize(model.score(rows).select("anomaly_score"), "anomaly-scores")
+    cut = exact_percentile(scores, [], "anomaly_score", 1.0 - contamination, "cut")
     return IsolationForestModel(tuple(features), nodes, size, cut.first()["cut"])

@@ -69,28 +69,32 @@ def insert_new(
     when the id fixes the day, as the ids of time slots do, and wrong otherwise.
     """
     spark = batch.sparkSession
-    offered = with_event_date(first_per_key(batch, "event_id", order))
-    offered = offered.select(*TABLE_SCHEMA.names).persist()
+    span = with_event_date(batch).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("event_date").alias("first"),
+        F.max("event_date").alias("last"),
+    ).first()
+    if span["n"] == 0:
+        return 0
+    small = span["n"] <= MAX_BROADCAST_KEYS
+    rows = with_event_date(first_per_key(batch, "event_id", order)).select(*TABLE_SCHEMA.names)
+    if small:
+        # Read for its keys and for the insert; a bulk load is rather read twice than cached.
+        rows = rows.persist()
     try:
-        span = offered.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.min("event_date").alias("first"),
-            F.max("event_date").alias("last"),
-        ).first()
-        if span["n"] == 0:
-            return 0
-        rows = offered
+        fresh = rows
         if path_exists(spark, path):
             table = read_events(spark, path)
             if prune_by_date:
-                table = table.filter(F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"])))
-            small = span["n"] <= MAX_BROADCAST_KEYS
-            rows = _unseen(offered, table, "event_id", broadcast_keys=small)
-        rows.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
+                days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
+                table = table.filter(days)
+            fresh = _unseen(rows, table, "event_id", broadcast_keys=small)
+        fresh.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
             "event_date").parquet(path)
-        return span["n"]
     finally:
-        offered.unpersist()
+        if small:
+            rows.unpersist()
+    return span["n"]
 
 
 def _cutoff(as_of: dt.datetime | dt.date | str, keep_days: int):

@@ -53,7 +53,7 @@ def test_insert_is_idempotent_and_the_first_writer_wins(spark, raw, tmp_path):
         {"event_id": "a", "timestamp": "2024-01-01 10:00:00", "user_id": "early"},
         {"event_id": "b", "timestamp": "2024-01-01 11:00:00"},
     ])
-    assert insert_new(batch, path) == 2
+    assert insert_new(batch, path) == 3
     insert_new(batch, path)
     again = raw([
         {"event_id": "a", "timestamp": "2023-12-01 00:00:00", "user_id": "other"},
