@@ -13,6 +13,9 @@ from callmeter.functions.slot_ids import slot_event_id
 from callmeter.operators.filters import time_range
 
 
+MAX_CALENDAR_PARTS = 200
+
+
 def slot_window(as_of: dt.datetime, days: int = 90) -> tuple[dt.datetime, dt.datetime]:
     """Start and end of the ``days`` days up to the current minute, that minute included."""
     end = as_of.replace(second=0, microsecond=0) + dt.timedelta(minutes=1)
@@ -42,7 +45,9 @@ def slots_between(bounds: DataFrame, every_seconds: int = 60) -> DataFrame:
         "end",
         F.explode(F.expr("sequence(0, datediff(end, start) + 1)")).alias("n"),
     )
-    days = days.repartition("n").select(
+    # A fixed number of parts: adaptive coalescing goes by size, and days are tiny until exploded.
+    parts = min(bounds.sparkSession.sparkContext.defaultParallelism, MAX_CALENDAR_PARTS)
+    days = days.repartition(parts, "n").select(
         (F.col("start") + F.expr("make_dt_interval(n)")).alias("day_start"),
         F.least(F.col("start") + F.expr("make_dt_interval(n + 1)"), F.col("end")).alias("day_end"),
     ).filter(F.col("day_start") < F.col("day_end"))

@@ -60,7 +60,7 @@ def build_marts(
     for name, build in DAILY_FROM_EVENTS.items():
         paths[name] = os.path.join(out, name)
         _write_days(build(recent), paths[name], keep_other_days=since is not None)
-    rollup = spark.read.parquet(paths[ROLLUP])
+    rollup = spark.read.schema(user_days(staged).schema).parquet(paths[ROLLUP])
     for source, marts in ((staged, FROM_EVENTS), (rollup, FROM_ROLLUP)):
         for name, build in marts.items():
             paths[name] = os.path.join(out, name)

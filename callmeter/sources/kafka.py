@@ -47,7 +47,11 @@ def read_events(
               .option("subscribe", topic).option("startingOffsets", "earliest"))
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
-    raw = reader.load().select(
-        F.col("timestamp").alias("arrived_at"), "partition", "offset", "value"
-    )
-    return decode_events(raw, bad=bad)
+    return received(reader.load(), bad)
+
+
+def received(raw: DataFrame, bad: str = "fail") -> DataFrame:
+    """Decode the frame the connector gives; works for streams and batches alike."""
+    positioned = raw.select(
+        F.col("timestamp").alias("arrived_at"), "partition", "offset", "value")
+    return decode_events(positioned, bad=bad)

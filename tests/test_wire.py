@@ -56,6 +56,15 @@ def test_malformed_messages(spark):
         decode(spark, good, bad="skip")
 
 
+def test_messages_as_the_connector_gives_them(spark):
+    raw = spark.createDataFrame(
+        [(None, bytearray(json.dumps(EVENT).encode()), "api_events", 2, 41, dt.datetime(2024, 3, 1))],
+        "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp")
+    row = kafka.received(raw).first()
+    assert (row["event_id"], row["partition"], row["offset"]) == ("e1", 2, 41)
+    assert row["arrived_at"] == dt.datetime(2024, 3, 1)
+
+
 def test_broker_list():
     options = kafka.kafka_options(" a:1, ,b:2 ", kafka__security__protocol="SASL_SSL")
     assert options == {"kafka.bootstrap.servers": "a:1,b:2", "kafka.security.protocol": "SASL_SSL"}
