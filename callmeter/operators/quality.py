@@ -81,17 +81,21 @@ def _result(position: int, check: Check, unexpected: Column, share_of: Column, e
     )
 
 
-def check_rows(df: DataFrame, checks: Sequence[Check] = EVENT_CHECKS) -> DataFrame:
+def check_rows(
+    df: DataFrame, checks: Sequence[Check] = EVENT_CHECKS, narrow: DataFrame | None = None
+) -> DataFrame:
     """One row per check: position, expectation, passed, unexpected_pct, evaluated_count.
 
     All checks on single rows and means share one aggregation of the table. Each uniqueness
-    check adds one shuffle of its own column.
+    check adds one shuffle of its own column. ``narrow`` may give the same rows with fewer
+    columns, from before a join, for these.
     """
+    narrow = df if narrow is None else narrow
     evaluated = F.count(F.lit(1))
     one_pass, parts = [], []
     for position, check in enumerate(checks, start=1):
         if check.kind == "unique":
-            per_value = df.groupBy(F.col(check.column).alias("value")).agg(evaluated.alias("n"))
+            per_value = narrow.groupBy(F.col(check.column).alias("value")).agg(evaluated.alias("n"))
             is_value = F.col("value").isNotNull()
             counts = per_value.agg(
                 F.coalesce(F.sum(F.when(is_value & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("bad"),
@@ -115,14 +119,15 @@ def run_suite(
     as_of: dt.datetime | str,
     checks: Sequence[Check] = EVENT_CHECKS,
     sample: int | None = None,
+    narrow: DataFrame | None = None,
 ) -> DataFrame:
     """One-row report: run_time, row_count, passed, total and the list of checks.
 
     The whole table is checked; ``sample`` restricts the report to the newest rows instead.
     """
     if sample is not None:
-        df = newest(df, sample)
-    results = check_rows(df, checks)
+        df, narrow = newest(df, sample), None
+    results = check_rows(df, checks, narrow)
     entries = F.sort_array(F.collect_list(F.struct(
         "position", "expectation", "passed", "unexpected_pct", "evaluated_count")))
     return results.agg(

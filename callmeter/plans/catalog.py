@@ -325,7 +325,7 @@ def hourly_profile(spark, sf_dir):
 
 @query
 def dq_suite(spark, sf_dir):
-    return quality.check_rows(usage(spark, sf_dir))
+    return quality.check_rows(usage(spark, sf_dir), narrow=events(spark, sf_dir))
 
 
 @query
@@ -336,12 +336,13 @@ def dq_violations(spark, sf_dir):
         quality.mean_between("input_tokens", 5000, 9000), quality.unique("event_id"),
         quality.in_set("error_type", ["RateLimitError", "APIError"]),
     ]
-    return quality.check_rows(usage(spark, sf_dir), checks)
+    return quality.check_rows(usage(spark, sf_dir), checks, events(spark, sf_dir))
 
 
 @query
 def dq_report(spark, sf_dir):
-    report = quality.run_suite(usage(spark, sf_dir), AS_OF)
+    report = quality.run_suite(
+        usage(spark, sf_dir), AS_OF, narrow=events(spark, sf_dir))
     return report.select("run_time", "row_count", "passed", "total",
                          F.size("checks").alias("check_count"))
 

@@ -91,10 +91,16 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def with_users(df: DataFrame, sf_dir: str) -> DataFrame:
-    """Add tier and region; a user not known has the tier free and no region."""
-    # Stated to be unique, users are not joined at all where only other columns are used.
-    known = users(df.sparkSession, sf_dir).dropDuplicates(["user_id"])
+def with_users(df: DataFrame, sf_dir: str, unique: bool = False) -> DataFrame:
+    """Add tier and region; a user not known has the tier free and no region.
+
+    ``unique`` states that users are unique, and the join is then left out where only other
+    columns are used. Not for single events: the aggregate that states it would keep adaptive
+    execution from splitting the partition of a very busy user.
+    """
+    known = users(df.sparkSession, sf_dir)
+    if unique:
+        known = known.dropDuplicates(["user_id"])
     joined = df.join(known, "user_id", "left")
     return joined.withColumn("user_tier", F.coalesce("user_tier", F.lit("free")))
 
@@ -110,4 +116,5 @@ def usage_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     Tier and region are joined to the rollup, not to the events: far fewer rows are shuffled
     by user, and a busy user is a few rows by then.
     """
-    return with_users(user_days(events(spark, sf_dir), ("event_date", "user_id")), sf_dir)
+    rollup = user_days(events(spark, sf_dir), ("event_date", "user_id"))
+    return with_users(rollup, sf_dir, unique=True)

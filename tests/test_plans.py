@@ -1,6 +1,7 @@
 """The plans Spark makes of the operators."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from callmeter.operators import filters
 from callmeter.operators.keyed import latest_per_key
@@ -11,6 +12,9 @@ from callmeter.sources import testtables
 from callmeter.sources.events_table import insert_new, new_rows, read_events, retain_recent
 
 
+SF_DIR = "/root/testdata/sf0.001"
+
+
 def plan(df, formatted=False):
     mode = df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
     execution = df._jdf.queryExecution()
@@ -19,7 +23,6 @@ def plan(df, formatted=False):
 
 @pytest.fixture
 def table(spark, make_events, tmp_path):
-    from pyspark.sql import functions as F
     rows = make_events([
         {"event_id": str(i), "timestamp": f"2024-01-{i:02d} 00:00:00"} for i in range(1, 11)
     ]).withColumns({c: F.lit("x") for c in ("model_variant", "sdk_version", "session_id")}
@@ -74,5 +77,25 @@ def test_small_batches_do_not_shuffle_the_table(table):
 
 
 def test_users_are_not_joined_where_they_are_not_used(spark):
-    text = plan(testtables.usage_events(spark, "/root/testdata/sf0.001").groupBy("event_id").count())
+    text = plan(testtables.usage_days(spark, SF_DIR).groupBy("user_id").count())
     assert "c_custkey" not in text and "Join" not in text
+
+
+def test_a_busy_user_is_split_in_the_join(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    session = spark.newSession()
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    events = testtables.events(session, SF_DIR)
+    copies = events.crossJoin(session.range(300).select(F.col("id").alias("copy"))).withColumn(
+        "user_id", F.when(F.col("copy") > 10, F.lit(7).cast("long")).otherwise(F.col("user_id"))
+    ).repartition(16)
+    execution = testtables.with_users(copies, SF_DIR)._jdf.queryExecution()
+    assert execution.toRdd().count() == events.count() * 300
+    assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
