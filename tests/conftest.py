@@ -2,13 +2,13 @@ import datetime as dt
 
 import pytest
 
-from callmeter.session import build_session
+from usagelens.session import build_session
 
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     session = build_session(
-        "callmeter-tests",
+        "usagelens-tests",
         "local[4]",
         spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",

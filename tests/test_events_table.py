@@ -3,9 +3,9 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from callmeter.schema import RAW_SCHEMA, conform, stage
-from callmeter.sources import events_table
-from callmeter.sources.events_table import (
+from usagelens.schema import RAW_SCHEMA, conform, stage
+from usagelens.sources import events_table
+from usagelens.sources.events_table import (
     cull_report, cull_table, insert_new, new_rows, read_events, retain_recent,
 )
 

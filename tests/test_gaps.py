@@ -1,6 +1,6 @@
 import datetime as dt
 
-from callmeter.operators import gaps
+from usagelens.operators import gaps
 
 START, END = dt.datetime(2024, 1, 1, 23, 50), dt.datetime(2024, 1, 3, 0, 10, 30)
 

@@ -5,7 +5,7 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
-from callmeter.plans.catalog import QUERIES
+from usagelens.plans.catalog import QUERIES
 from tests.compare import connect, difference
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")

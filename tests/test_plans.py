@@ -3,13 +3,13 @@
 import pytest
 from pyspark.sql import functions as F
 
-from callmeter.operators import filters
-from callmeter.operators.keyed import latest_per_key
-from callmeter.plans import reports
-from callmeter.schema import conform, stage
-from callmeter.session import materialize, scratch_path, shared_root
-from callmeter.sources import testtables
-from callmeter.sources.events_table import insert_new, new_rows, read_events, retain_recent
+from usagelens.operators import filters
+from usagelens.operators.keyed import latest_per_key
+from usagelens.plans import reports
+from usagelens.schema import conform, stage
+from usagelens.session import materialize, scratch_path, shared_root
+from usagelens.sources import testtables
+from usagelens.sources.events_table import insert_new, new_rows, read_events, retain_recent
 
 
 SF_DIR = "/root/testdata/sf0.001"

@@ -1,5 +1,5 @@
-from callmeter.operators import quality
-from callmeter.operators.quality import check_rows, label_guard, run_suite
+from usagelens.operators import quality
+from usagelens.operators.quality import check_rows, label_guard, run_suite
 
 
 def by_name(df):

@@ -3,8 +3,8 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from callmeter.operators import rank_select
-from callmeter.operators.rank_select import exact_percentile, percentile
+from usagelens.operators import rank_select
+from usagelens.operators.rank_select import exact_percentile, percentile
 
 VALUES = st.one_of(
     st.integers(-5, 5).map(float),

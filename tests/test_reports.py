@@ -3,13 +3,13 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from callmeter.functions.numeric import half_up
-from callmeter.operators import cohorts, filters
-from callmeter.operators.keyed import first_per_key, latest_per_key
-from callmeter.operators.measures import user_days
-from callmeter.operators.rolling import rolling
-from callmeter.plans import marts, reports, training
-from callmeter.sources import files
+from usagelens.functions.numeric import half_up
+from usagelens.operators import cohorts, filters
+from usagelens.operators.keyed import first_per_key, latest_per_key
+from usagelens.operators.measures import user_days
+from usagelens.operators.rolling import rolling
+from usagelens.plans import marts, reports, training
+from usagelens.sources import files
 
 D = dt.date
 

@@ -3,11 +3,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from callmeter.functions.wire import decode_events
-from callmeter.schema import conform
-from callmeter.sources.events_table import new_rows, read_events
-from callmeter.sources.streams import read_events_stream
-from callmeter.streaming import jobs
+from usagelens.functions.wire import decode_events
+from usagelens.schema import conform
+from usagelens.sources.events_table import new_rows, read_events
+from usagelens.sources.streams import read_events_stream
+from usagelens.streaming import jobs
 from tests.test_wire import EVENT
 
 

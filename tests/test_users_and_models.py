@@ -9,15 +9,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from callmeter.operators import users
-from callmeter.operators.causal import diff_in_diff, rollout_panel
-from callmeter.operators.churn import train_churn
-from callmeter.operators.isolation_forest import (
+from usagelens.operators import users
+from usagelens.operators.causal import diff_in_diff, rollout_panel
+from usagelens.operators.churn import train_churn
+from usagelens.operators.isolation_forest import (
     average_path, draw_subsamples, fit_isolation_forest, grow_trees,
 )
-from callmeter.operators.measures import user_days
-from callmeter.operators.splits import stratified_split
-from callmeter.operators.survival import kaplan_meier
+from usagelens.operators.measures import user_days
+from usagelens.operators.splits import stratified_split
+from usagelens.operators.survival import kaplan_meier
 
 SETTINGS = dict(max_examples=8, deadline=None,
                 suppress_health_check=[HealthCheck.function_scoped_fixture])

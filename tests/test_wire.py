@@ -5,10 +5,10 @@ import uuid
 import pytest
 from pyspark.sql import functions as F
 
-from callmeter.functions.slot_ids import SLOT_NAMESPACE, slot_event_id
-from callmeter.functions.wire import decode_events
-from callmeter.schema import WIRE_SCHEMA
-from callmeter.sources import kafka
+from usagelens.functions.slot_ids import SLOT_NAMESPACE, slot_event_id
+from usagelens.functions.wire import decode_events
+from usagelens.schema import WIRE_SCHEMA
+from usagelens.sources import kafka
 
 EVENT = {
     "event_id": "e1", "timestamp": "2024-03-01T12:30:00.123456+02:00", "user_id": "u1",

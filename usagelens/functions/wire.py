@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.schema import WIRE_SCHEMA
+from usagelens.schema import WIRE_SCHEMA
 
 # Fixed value: ISO-8601 with microseconds and a numeric offset.
 ISO_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx"

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions import dates
+from usagelens.functions import dates
 
 
 def rollout_panel(

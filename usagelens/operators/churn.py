@@ -11,8 +11,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.operators.splits import stratified_split
-from callmeter.session import ensure_checkpoint_dir, materialize
+from usagelens.operators.splits import stratified_split
+from usagelens.session import ensure_checkpoint_dir, materialize
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from callmeter.functions import dates
+from usagelens.functions import dates
 
 
 def latest_day(df: DataFrame, date: str = "event_date") -> DataFrame:

@@ -7,10 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.functions import dates
-from callmeter.functions.numeric import ratio
-from callmeter.functions.slot_ids import slot_event_id
-from callmeter.operators.filters import time_range
+from usagelens.functions import dates
+from usagelens.functions.numeric import ratio
+from usagelens.functions.slot_ids import slot_event_id
+from usagelens.operators.filters import time_range
 
 
 MAX_CALENDAR_PARTS = 200

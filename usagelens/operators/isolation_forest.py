@@ -17,8 +17,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callmeter.operators.rank_select import exact_percentile
-from callmeter.session import materialize
+from usagelens.operators.rank_select import exact_percentile
+from usagelens.session import materialize
 
 _NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double"

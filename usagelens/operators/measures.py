@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions.numeric import ratio
+from usagelens.functions.numeric import ratio
 
 ROLLUP_KEYS = ("event_date", "user_id", "user_tier", "region")
 

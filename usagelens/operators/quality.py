@@ -10,9 +10,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions.numeric import percent
-from callmeter.operators.filters import newest
-from callmeter.schema import ALLOWED_STATUS_CODES, ENDPOINTS, USER_TIERS
+from usagelens.functions.numeric import percent
+from usagelens.operators.filters import newest
+from usagelens.schema import ALLOWED_STATUS_CODES, ENDPOINTS, USER_TIERS
 
 
 @dataclass(frozen=True)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from callmeter.functions.numeric import half_up
+from usagelens.functions.numeric import half_up
 
 # Largest number of located ranks that is sent to all executors; beyond it they are shuffled.
 MAX_BROADCAST_RANKS = 10_000

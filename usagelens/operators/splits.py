@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from callmeter.operators.rank_select import running_counts, small_side
+from usagelens.operators.rank_select import running_counts, small_side
 
 # Leading hex digits of the hash that form a bucket: 4,096 buckets per label.
 PREFIX = 3

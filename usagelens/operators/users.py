@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions import dates
-from callmeter.functions.numeric import to_number
-from callmeter.operators import measures as m
-from callmeter.operators.rank_select import fetch_few
-from callmeter.schema import USER_TIERS
+from usagelens.functions import dates
+from usagelens.functions.numeric import to_number
+from usagelens.operators import measures as m
+from usagelens.operators.rank_select import fetch_few
+from usagelens.schema import USER_TIERS
 
 # Columns a one-hot encoding may add when it looks up the values itself.
 MAX_CATEGORIES = 1_000

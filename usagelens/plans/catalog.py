@@ -13,15 +13,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callmeter.functions.numeric import half_up
-from callmeter.functions.wire import decode_events
-from callmeter.operators import cohorts, filters, gaps, quality, splits, users
-from callmeter.operators.keyed import latest_per_key
-from callmeter.plans import marts, reports, training
-from callmeter.schema import WIRE_SCHEMA, conform
-from callmeter.session import materialize, scratch_path
-from callmeter.sources import events_table, kafka, testtables
-from callmeter.streaming import jobs
+from usagelens.functions.numeric import half_up
+from usagelens.functions.wire import decode_events
+from usagelens.operators import cohorts, filters, gaps, quality, splits, users
+from usagelens.operators.keyed import latest_per_key
+from usagelens.plans import marts, reports, training
+from usagelens.schema import WIRE_SCHEMA, conform
+from usagelens.session import materialize, scratch_path
+from usagelens.sources import events_table, kafka, testtables
+from usagelens.streaming import jobs
 
 # The day the test data is looked at from, and the length of inactivity that fits its 30 days.
 AS_OF = "2024-01-31"

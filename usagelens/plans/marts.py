@@ -8,12 +8,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.functions import dates
-from callmeter.operators.cohorts import cohort_retention
-from callmeter.operators.measures import user_days
-from callmeter.operators.quality import Check, check_rows, in_set, not_null, unique
-from callmeter.plans import reports
-from callmeter.schema import ENDPOINTS, USER_TIERS
+from usagelens.functions import dates
+from usagelens.operators.cohorts import cohort_retention
+from usagelens.operators.measures import user_days
+from usagelens.operators.quality import Check, check_rows, in_set, not_null, unique
+from usagelens.plans import reports
+from usagelens.schema import ENDPOINTS, USER_TIERS
 
 STAGING_VIEW = "stg_api_events"
 ROLLUP = "user_days"

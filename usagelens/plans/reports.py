@@ -7,11 +7,11 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions.numeric import half_up, percent
-from callmeter.operators import measures as m
-from callmeter.operators.filters import last_days, newest_day
-from callmeter.operators.rank_select import percentile
-from callmeter.operators.rolling import rolling
+from usagelens.functions.numeric import half_up, percent
+from usagelens.operators import measures as m
+from usagelens.operators.filters import last_days, newest_day
+from usagelens.operators.rank_select import percentile
+from usagelens.operators.rolling import rolling
 
 P95 = 0.95
 

@@ -8,19 +8,19 @@ import os
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.operators.causal import diff_in_diff, rollout_panel
-from callmeter.operators.churn import ChurnModel, train_churn
-from callmeter.operators.cohorts import retained_within
-from callmeter.operators.isolation_forest import IsolationForestModel, fit_isolation_forest
-from callmeter.operators.measures import is_rollup, user_days
-from callmeter.operators.quality import label_guard
-from callmeter.operators.survival import kaplan_meier
-from callmeter.operators.users import (
+from usagelens.operators.causal import diff_in_diff, rollout_panel
+from usagelens.operators.churn import ChurnModel, train_churn
+from usagelens.operators.cohorts import retained_within
+from usagelens.operators.isolation_forest import IsolationForestModel, fit_isolation_forest
+from usagelens.operators.measures import is_rollup, user_days
+from usagelens.operators.quality import label_guard
+from usagelens.operators.survival import kaplan_meier
+from usagelens.operators.users import (
     churn_features, feature_columns, numeric_durations, user_lifetimes,
 )
-from callmeter.plans import reports
-from callmeter.session import materialize
-from callmeter.sources.files import write_csv, write_json, write_text
+from usagelens.plans import reports
+from usagelens.session import materialize
+from usagelens.sources.files import write_csv, write_json, write_text
 
 
 def _rollup(df: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "callmeter", master: str | None = None, **conf: str) -> SparkSession:
+def build_session(app: str = "usagelens", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the defaults above; keyword names use ``__`` where Spark uses a dot."""
     builder = SparkSession.builder.appName(app)
     if master:
@@ -44,7 +44,7 @@ def shared_root(spark: SparkSession) -> str:
     if not root:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="callmeter-")
+        root = tempfile.mkdtemp(prefix="usagelens-")
         context.setCheckpointDir(root)
     return root
 

@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from callmeter.functions import dates
-from callmeter.operators.keyed import first_per_key
-from callmeter.schema import RAW_SCHEMA
-from callmeter.session import path_exists
+from usagelens.functions import dates
+from usagelens.operators.keyed import first_per_key
+from usagelens.schema import RAW_SCHEMA
+from usagelens.session import path_exists
 
 TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("event_date", T.DateType())])
 

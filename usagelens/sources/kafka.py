@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.functions.wire import decode_events, encode_event
+from usagelens.functions.wire import decode_events, encode_event
 
 # Topic, delivery guarantee and retries of the producer.
 TOPIC = "api_events"

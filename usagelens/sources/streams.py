@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from callmeter.functions.wire import decode_events
-from callmeter.schema import RAW_SCHEMA
-from callmeter.sources import kafka
+from usagelens.functions.wire import decode_events
+from usagelens.schema import RAW_SCHEMA
+from usagelens.sources import kafka
 
 
 def read_events_stream(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.operators.measures import user_days
+from usagelens.operators.measures import user_days
 
 # Declared, so that opening a table does not start a job to read file footers.
 SCHEMAS = {

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from callmeter.functions.numeric import ratio
-from callmeter.schema import RAW_SCHEMA, conform
-from callmeter.sources.events_table import insert_new
+from usagelens.functions.numeric import ratio
+from usagelens.schema import RAW_SCHEMA, conform
+from usagelens.sources.events_table import insert_new
 
 
 def ingest_stream(
