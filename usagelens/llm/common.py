@@ -66,7 +66,7 @@ class WordTable(dict):
         return number
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
-        """The numbers of ``words``; ``rows`` then holds a row for each of them."""
+        """The row of each of ``words``."""
         if len(self) > self.limit:
             self.clear()
             self.rows = self.rows[:0]
@@ -74,7 +74,7 @@ class WordTable(dict):
         if self.fresh:
             self.rows = np.concatenate([self.rows, self.compute(self.fresh)])
             self.fresh = []
-        return numbers
+        return self.rows[numbers]
 
 
 def segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import licences, quality_rules, url_filter
-from usagelens.llm.common import table
+from usagelens.llm import licences, quality_model, quality_rules, simhash, url_filter
+from usagelens.llm.common import held_out, table
 
 
 def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +22,21 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document; a third of the labels, by id, is never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
+    model = quality_model.train(docs, labels)
+    scored = quality_model.classify(docs, model)
+    return scored.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on the URL of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -31,6 +46,8 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op3_quality_rules": op3_quality_rules,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
 }
 
