@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 #: Separators of words: the space and the five ASCII control characters from tab to return.
 #: ``bytes.split()`` separates at exactly these.
@@ -83,3 +86,29 @@ def segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
                             np.cumsum(values, axis=0, dtype=np.float64)])
     ends = np.cumsum(sizes)
     return total[ends] - total[ends - sizes]
+
+
+def map_texts(docs: DataFrame, text: str, added: str,
+              start: Callable[[], Callable[[list[str | None]], list]],
+              chunk: int = 4_000_000) -> DataFrame:
+    """``docs`` with the columns ``added`` (a DDL schema), made of their texts in Arrow batches.
+
+    ``start`` is called once a task and returns a function from some texts to a list of columns.
+    The other columns pass through untouched, so nulls and large integers stay exact; columns with
+    the names of new ones are replaced. About ``chunk`` characters are worked on at a time.
+    """
+    fields = StructType.fromDDL(added)
+    docs = docs.drop(*fields.names)
+    schema = StructType([*docs.schema.fields, *fields.fields])
+    kinds = [to_arrow_type(f.dataType) for f in fields]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        make = start()
+        for batch in batches:
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            for low, high in chunks(texts, chunk):
+                made = [pa.array(c, k) for c, k in zip(make(texts[low:high]), kinds, strict=True)]
+                kept = [c.slice(low, high - low) for c in batch.columns]
+                yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
+
+    return docs.mapInArrow(run, schema)

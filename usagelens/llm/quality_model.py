@@ -9,7 +9,7 @@ and a document by the mean of these: scoring needs one table lookup a word and o
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -17,9 +17,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
 
-from usagelens.llm.common import WordTable, chunks, segment_sums, text_bytes
+from usagelens.llm.common import WordTable, map_texts, segment_sums, text_bytes
 
 #: Bucket of a pair of equal words: repetition looks alike whatever the word.
 REPEAT = 0
@@ -70,7 +69,7 @@ def word_buckets(words: list[bytes], shape: Features) -> tuple[np.ndarray, np.nd
 
 def pair_buckets(hashes: np.ndarray, starts: np.ndarray, shape: Features) -> np.ndarray:
     """Bucket of each word with the one before it; -1 for the first of a document."""
-    before = np.concatenate([np.zeros(1, np.uint64), hashes[:-1]])
+    before = np.roll(hashes, 1)
     place = _place(before * np.uint64(0xC2B2AE3D27D4EB4F) ^ hashes, shape.bits)
     place[before == hashes] = REPEAT
     place[starts] = -1
@@ -164,22 +163,15 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
 def score_texts(texts: list[str | None], model: Model, table: WordTable) -> np.ndarray:
     """Probability of label 1 for each text; an empty or null one gets the bias alone."""
-    out = np.empty(len(texts))
-    for low, high in chunks(texts):
-        split = [text_bytes(t).split() for t in texts[low:high]]
-        sizes = np.fromiter(map(len, split), np.int64, len(split))
-        rows = table.lookup([w for ws in split for w in ws]) if sizes.sum() else None
-        if rows is None:
-            out[low:high] = model.bias
-            continue
-        sizes_at = np.cumsum(sizes) - sizes
-        starts = np.zeros(len(rows), bool)
-        starts[sizes_at[sizes > 0]] = True
-        pairs = pair_buckets(rows["hash"], starts, model.shape)
-        value = rows["sum"] + np.where(starts, 0, model.scores[pairs])
-        total, n = segment_sums(value, sizes), segment_sums(rows["n"] + ~starts, sizes)
-        out[low:high] = total / np.maximum(n, 1) + model.bias
-    return 1 / (1 + np.exp(-out))
+    split = [text_bytes(t).split() for t in texts]
+    sizes = np.fromiter(map(len, split), np.int64, len(split))
+    rows = table.lookup([w for ws in split for w in ws])
+    starts = np.zeros(len(rows), bool)
+    starts[(np.cumsum(sizes) - sizes)[sizes > 0]] = True
+    pairs = pair_buckets(rows["hash"], starts, model.shape)
+    value = rows["sum"] + np.where(starts, 0, model.scores[pairs])
+    total, n = segment_sums(value, sizes), segment_sums(rows["n"] + ~starts, sizes)
+    return 1 / (1 + np.exp(-(total / np.maximum(n, 1) + model.bias)))
 
 
 def word_scores(model: Model) -> WordTable:
@@ -201,13 +193,10 @@ def classify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     Rows are scored one by one: nothing is shuffled. Null and empty texts get the model's bias.
     """
-    docs = docs.drop("score")
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def start() -> Callable[[list[str | None]], list]:
         table = word_scores(shared.value)
-        for batch in batches:
-            yield batch.assign(score=score_texts(batch[text].tolist(), shared.value, table))
+        return lambda texts: [score_texts(texts, shared.value, table)]
 
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
-    return docs.mapInPandas(run, schema)
+    return map_texts(docs, text, "score double", start)

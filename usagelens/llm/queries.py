@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import licences, quality_model, quality_rules, simhash, url_filter
+from usagelens.llm import (
+    bpe,
+    decontaminate,
+    licences,
+    quality_model,
+    quality_rules,
+    secrets,
+    simhash,
+    url_filter,
+)
 from usagelens.llm.common import held_out, table
 
 
@@ -22,6 +31,40 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", F.array_join("broken", ",").alias("broken"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items found in any document."""
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                                    table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def vocabulary_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and their decoding, as digests."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.digests(docs, vocabulary_path()).drop("text")
+
+
+def span_list(spans: str) -> Column:
+    """Spans as kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_spans(docs, secrets.train(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in secrets.KINDS],
+                        F.sha2(span_list("base"), 256).alias("base_sha256"),
+                        span_list("spans").alias("spans"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -46,6 +89,9 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op3_quality_rules": op3_quality_rules,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_bpe_encoding": op5_bpe_encoding,
+    "op6_secret_scans": op6_secret_scans,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import chunks, text_bytes
+from usagelens.llm.common import map_texts, text_bytes
 from usagelens.llm.components import connected
 from usagelens.session import materialize
 
@@ -49,19 +49,12 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
     texts have the fingerprint zero. Other columns are not read.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts, parts = batch[text].tolist(), []
-            for low, high in chunks(texts, 1_000_000):
-                rows = [np.array(shingle_hashes(text_bytes(t).lower().split(), size), np.uint64)
-                        for t in texts[low:high]]
-                sizes = np.fromiter(map(len, rows), np.int64, len(rows))
-                parts.append(majority(np.concatenate(rows), sizes))
-            fp = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-            yield pd.DataFrame({key: batch[key], "fp": fp.view(np.int64)})
-
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, text).mapInPandas(run, f"`{key}` {kind}, fp long")
+    def make(texts: list[str | None]) -> list:
+        rows = [np.array(shingle_hashes(text_bytes(t).lower().split(), size), np.uint64) for t in texts]
+        sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+        return [majority(np.concatenate(rows), sizes).view(np.int64)]
+
+    return map_texts(docs.select(key, text), text, "fp long", lambda: make, chunk=1_000_000).select(key, "fp")
 
 
 def postings(fps: DataFrame, bits: int = 2) -> DataFrame:
