@@ -89,13 +89,14 @@ def segment_sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def map_texts(docs: DataFrame, text: str, added: str,
-              start: Callable[[], Callable[[list[str | None]], list]],
+              start: Callable[[], Callable[..., list]], also: tuple[str, ...] = (),
               chunk: int = 4_000_000) -> DataFrame:
     """``docs`` with the columns ``added`` (a DDL schema), made of their texts in Arrow batches.
 
-    ``start`` is called once a task and returns a function from some texts to a list of columns.
-    The other columns pass through untouched, so nulls and large integers stay exact; columns with
-    the names of new ones are replaced. About ``chunk`` characters are worked on at a time.
+    ``start`` is called once a task and returns a function from some texts, and the columns ``also``,
+    to a list of new columns. The columns of ``docs`` pass through untouched, so nulls and large
+    integers stay exact; columns with the names of new ones are replaced. About ``chunk`` characters
+    are worked on at a time.
     """
     fields = StructType.fromDDL(added)
     docs = docs.drop(*fields.names)
@@ -105,10 +106,27 @@ def map_texts(docs: DataFrame, text: str, added: str,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         make = start()
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            texts, *more = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in (text, *also)]
             for low, high in chunks(texts, chunk):
-                made = [pa.array(c, k) for c, k in zip(make(texts[low:high]), kinds, strict=True)]
+                columns = make(texts[low:high], *(c[low:high] for c in more))
+                made = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
                 kept = [c.slice(low, high - low) for c in batch.columns]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=schema.names)
 
     return docs.mapInArrow(run, schema)
+
+
+def count_floor(counted: DataFrame, count: str, most_rows: int) -> int | None:
+    """The least bound on ``count`` that at most ``most_rows`` rows of ``counted`` reach.
+
+    Bounds go in steps of an eighth of a power of two, so at most a few hundred rows come to the
+    driver. None if even the highest step has too many.
+    """
+    step = F.floor(8 * F.log2(count)).cast("int").alias("step")
+    sizes = counted.groupBy(step).agg(F.count("*"), F.min(count)).collect()
+    floor, rows = None, 0
+    for _, size, least in sorted(sizes, reverse=True):
+        if rows + size > most_rows:
+            break
+        floor, rows = least, rows + size
+    return floor

@@ -9,6 +9,7 @@ from usagelens.llm import (
     bpe,
     decontaminate,
     licences,
+    lm,
     quality_model,
     quality_rules,
     secrets,
@@ -65,6 +66,15 @@ def op6_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
                         span_list("spans").alias("spans"))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probability of every document; a seventh of them, by id, is never learned from."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn(
+        "held_out", held_out("doc_id", 7, 2))
+    learned = docs.where(~F.col("held_out"))
+    counts = lm.count_tokens(learned)
+    return lm.score(docs, lm.train(learned, counts), counts)
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -92,6 +102,7 @@ QUERIES = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_bpe_encoding": op5_bpe_encoding,
     "op6_secret_scans": op6_secret_scans,
+    "op7_lm_scoring": op7_lm_scoring,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,

@@ -13,7 +13,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import LOWER, UPPER
+from usagelens.llm.common import LOWER, UPPER, count_floor
 from usagelens.session import materialize
 
 
@@ -81,16 +81,10 @@ def train(labelled: DataFrame, order: int = 4, weight: float = 4.0, min_count: i
     counted = (labelled.select("accepted", "n", F.explode(grams(F.col("key"), order)).alias("gram"))
                .groupBy("gram").agg(side(True).alias("a"), side(False).alias("r")))
     counted = materialize(counted.withColumn("level", F.length("gram")), "url-grams")
-    step = F.floor(8 * F.log2(F.col("a") + F.col("r"))).cast("int")
-    sizes = sorted(map(tuple, counted.groupBy(step.alias("step")).count().collect()), reverse=True)
-    floor, kept = None, 0
-    for at, size in sizes:
-        if kept + size > max_grams:
-            break
-        floor, kept = at, kept + size
-    if floor is None:
+    counted = counted.withColumn("both", F.col("a") + F.col("r"))
+    if (floor := count_floor(counted, "both", max_grams)) is None:
         return spark.createDataFrame([], "gram string, weight double")
-    counted = counted.where((step >= floor) & (F.col("a") + F.col("r") >= min_count))
+    counted = counted.where(F.col("both") >= max(floor, min_count))
     context = F.expr("substring(gram, 1, level - 1)")
     contexts = counted.groupBy(context.alias("context")).agg(
         F.sum("a").alias("ca"), F.sum("r").alias("cr"))
@@ -164,7 +158,10 @@ def judge(pages: DataFrame, url: str = "url", rules: tuple[UrlRule, ...] = RULES
     labelled = keys.where("__u_by_rule is not null").select(
         "key", (F.col("__u_by_rule") == "allow").alias("accepted"), "n")
     model = train(labelled, order)
-    scores = materialize(score(keys.select("key").distinct(), model, order), "url-scores")
+    # A key makes hundreds of substrings: deal the keys out before they are exploded.
+    parallel = int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = keys.select("key").repartition(parallel, "key").distinct()
+    scores = materialize(score(dealt, model, order), "url-scores")
     cut = calibrate(labelled.join(scores, "key"))
     by_model = F.when(F.col("score") >= cut, "allow").otherwise("block")
     return (parts.join(scores.withColumnRenamed("key", "__u_key"), "__u_key")
