@@ -14,6 +14,7 @@ from usagelens.llm import (
     quality_rules,
     secrets,
     simhash,
+    substring_dedup,
     url_filter,
 )
 from usagelens.llm.common import held_out, table
@@ -24,6 +25,12 @@ def op1_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the passages of earlier ones."""
+    out = substring_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of the quality rules for all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -98,6 +105,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_license_scans": op1_license_scans,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_bpe_encoding": op5_bpe_encoding,
