@@ -59,7 +59,7 @@ def grams(text: Column, order: int) -> Column:
     """Substrings of up to ``order`` characters of a text framed by marks, ending at each place."""
     chars = F.concat(F.array(F.lit("^")), F.filter(F.split(text, ""), lambda c: c != ""),
                      F.array(F.lit("$")))
-    at = F.sequence(F.lit(2), F.size(chars))
+    at = F.sequence(F.lit(1), F.size(chars))
     return F.flatten(F.transform(at, lambda i: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(order), i)),
         lambda n: F.array_join(F.slice(chars, i - n + 1, n), ""))))
