@@ -9,7 +9,7 @@ and a document by the mean of these: scoring needs one table lookup a word and o
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from typing import NamedTuple
 
 import numpy as np
@@ -84,17 +84,17 @@ class Model(NamedTuple):
     shape: Features
 
 
-def document_features(text: str | None, shape: Features) -> tuple[list[int], list[float]]:
+def document_features(text: str | None, shape: Features) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text with their share in its mean; at most ``2 ** bits`` of them."""
     words = text_bytes(text).split()
     if not words:
-        return [], []
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
     own, _ = word_buckets(words, shape)
     starts = np.zeros(len(words), bool)
     starts[0] = True
     pairs = pair_buckets(word_hashes(words), starts, shape)
     place, n = np.unique(np.concatenate([own, pairs[1:]]), return_counts=True)
-    return place.tolist(), (n / n.sum()).tolist()
+    return place.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
 def sample_features(labelled: DataFrame, text: str, label: str, per_class: int, shape: Features) -> pd.DataFrame:
@@ -102,14 +102,14 @@ def sample_features(labelled: DataFrame, text: str, label: str, per_class: int,
     parts = [labelled.where(F.col(label) == value).orderBy(F.xxhash64("sample_key"), "sample_key").limit(per_class)
              for value in (0, 1)]
 
-    def featurize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [document_features(t, shape) for t in batch[text]]
-            yield pd.DataFrame({"label": batch[label].astype("int32"),
-                                "place": [r[0] for r in rows], "share": [r[1] for r in rows]})
+    def make(texts: list[str | None]) -> list:
+        rows = [document_features(t, shape) for t in texts]
+        return [[place.tobytes() for place, _ in rows], [share.tobytes() for _, share in rows]]
 
-    sample = parts[0].union(parts[1]).select("sample_key", text, label)
-    return (sample.mapInPandas(featurize, "label int, place array<int>, share array<float>").toPandas())
+    # Packed, so that the driver gets eight bytes for each bucket of a document.
+    sample = map_texts(parts[0].union(parts[1]).select("sample_key", text, label), text,
+                       "place binary, share binary", lambda: make)
+    return sample.select(F.col(label).alias("label"), "place", "share").toPandas()
 
 
 def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12, rate: float = 0.5,
@@ -123,8 +123,8 @@ def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12,
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / dims, 1 / dims, (size, dims))
     output, bias = np.zeros((dims, 2)), np.zeros(2)
-    places = [np.asarray(p, np.int64) for p in sample["place"]]
-    shares = [np.asarray(s, np.float64) for s in sample["share"]]
+    places = [np.frombuffer(p, np.int32) for p in sample["place"]]
+    shares = [np.frombuffer(s, np.float32) for s in sample["share"]]
     weight = len(labels) / (2 * counts)
     # Sort the rows by content, so that the fit does not depend on the order they arrive in.
     rows = sorted(range(len(labels)), key=lambda i: (labels[i], len(places[i]), places[i].tobytes()))

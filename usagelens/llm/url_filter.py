@@ -55,13 +55,14 @@ def matched_rule(rules: tuple[UrlRule, ...] = RULES) -> Column:
     return F.greatest(*fits) if len(fits) > 1 else fits[0]
 
 
-def grams(text: Column, order: int) -> Column:
-    """Substrings of up to ``order`` characters of a text framed by marks, ending at each place."""
+def grams(text: Column, order: int, shortest: int = 1) -> Column:
+    """Substrings of ``shortest`` to ``order`` characters of a text framed by marks, ending at each
+    place."""
     chars = F.concat(F.array(F.lit("^")), F.filter(F.split(text, ""), lambda c: c != ""),
                      F.array(F.lit("$")))
     at = F.sequence(F.lit(1), F.size(chars))
     return F.flatten(F.transform(at, lambda i: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(order), i)),
+        F.sequence(F.lit(shortest), F.least(F.lit(order), i)),
         lambda n: F.array_join(F.slice(chars, i - n + 1, n), ""))))
 
 
@@ -108,7 +109,7 @@ def train(labelled: DataFrame, order: int = 4, weight: float = 4.0, min_count: i
     seen = every.select("gram", (F.log(F.col("pa") / F.col("qa")) - F.log(F.col("pr") / F.col("qr"))
                                  - unseen("ca", "cr")).alias("w"))
     after = contexts.select(F.col("context").alias("gram"), unseen("ca", "cr").alias("w"))
-    return materialize(seen.union(after.where("gram <> ''")).groupBy("gram")
+    return materialize(seen.union(after).groupBy("gram")
                        .agg(F.sum("w").alias("weight")), "url-model")
 
 
@@ -117,7 +118,8 @@ def score(keys: DataFrame, model: DataFrame, order: int = 4) -> DataFrame:
 
     The model is broadcast: :func:`train` bounds its rows. A key without a known substring has 0.
     """
-    parts = keys.select("key", F.explode(grams(F.col("key"), order)).alias("gram"))
+    # The empty substring at each place stands for the context that is always there.
+    parts = keys.select("key", F.explode(grams(F.col("key"), order, 0)).alias("gram"))
     return (parts.join(F.broadcast(model), "gram", "left").groupBy("key")
             .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total"))
             .select("key", (F.col("total") / (F.length("key") + 1)).alias("score")))
