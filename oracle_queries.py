@@ -6,9 +6,7 @@ USAGE = """
 WITH ev AS (
     SELECT event_id, ts, CAST(ts AS DATE) AS event_date, user_id, event_type, value,
            CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
-           date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) AS dayno,
-           CASE WHEN user_id % 4 = 0 THEN 3 + (7 * user_id) % 25 END AS churn_day,
-           CASE WHEN user_id % 3 = 0 THEN (5 * user_id) % 20 ELSE 0 END AS start_day
+           CASE WHEN user_id % 4 = 0 THEN 3 + (7 * user_id) % 25 END AS churn_day
     FROM events
 ), st AS (
     SELECT *,
@@ -18,7 +16,6 @@ WITH ev AS (
            CASE event_type WHEN 'click' THEN 0 WHEN 'view' THEN 1 WHEN 'purchase' THEN 2
                 WHEN 'signup' THEN 3 ELSE k % 4 END AS e
     FROM ev
-    WHERE dayno >= start_day AND (churn_day IS NULL OR dayno < churn_day)
 ), usage AS (
     SELECT event_id, ts AS "timestamp", event_date, user_id,
            CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'enterprise' WHEN 'MACHINERY' THEN 'pro'
@@ -40,6 +37,33 @@ WITH ev AS (
 )"""
 
 
+# The same columns made of the orders.
+ORDERS_USAGE = """
+WITH placed AS (
+    SELECT *, CAST(o_orderdate AS DATE) AS d,
+           CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0
+                THEN CASE o_orderkey % 6 WHEN 0 THEN 429 WHEN 1 THEN 401 WHEN 2 THEN 400
+                     WHEN 3 THEN 500 WHEN 4 THEN 504 ELSE 503 END ELSE 200 END AS code
+    FROM orders
+), usage AS (
+    SELECT o_orderkey AS event_id, CAST(o_orderdate AS TIMESTAMP) AS "timestamp", d AS event_date,
+           o_custkey AS user_id,
+           CASE o_orderpriority WHEN '1-URGENT' THEN 'enterprise' WHEN '2-HIGH' THEN 'pro'
+                ELSE 'free' END AS user_tier,
+           CAST(trunc(o_totalprice / 100) AS BIGINT) AS input_tokens,
+           CAST(trunc(o_totalprice / 200) AS BIGINT) AS output_tokens,
+           CAST(trunc(o_totalprice / 100) AS BIGINT) + CAST(trunc(o_totalprice / 200) AS BIGINT)
+               AS total_tokens,
+           o_totalprice / 1000 AS latency_ms, CAST(code AS BIGINT) AS status_code,
+           code >= 400 AS is_error, r_name AS region,
+           CASE WHEN o_custkey % 4 = 0 THEN 30 + (70 * o_custkey) % 250 END AS churn_day
+    FROM placed
+    LEFT JOIN customer ON o_custkey = c_custkey
+    LEFT JOIN nation ON c_nationkey = n_nationkey
+    LEFT JOIN region ON n_regionkey = r_regionkey
+)"""
+
+
 def _round(x: str, k: int) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(28,10)), {k}) AS DOUBLE)"
 
@@ -59,6 +83,12 @@ def _usage(name: str, body: str) -> None:
     ORACLES[name] = f"{USAGE}{body}" if body.startswith(",") else f"{USAGE}\n{body}"
 
 
+def _orders(name: str, body: str) -> None:
+    """The same over the usage made of orders."""
+    body = body.strip()
+    ORACLES[name] = f"{ORDERS_USAGE}{body}" if body.startswith(",") else f"{ORDERS_USAGE}\n{body}"
+
+
 _usage("endpoint_metrics", f"""
 SELECT endpoint, COUNT(*) AS requests, {_AVG1} AS avg_latency, {_P95} AS p95_latency,
        {_PCT} AS error_pct, COUNT(DISTINCT user_id) AS users
@@ -85,7 +115,10 @@ SELECT 'Platform Health Summary:' || chr(10)
     || '- Error Rate: ' || printf('%.2f', err) || '%' || chr(10)
     || '- Avg Latency: ' || printf('%.1f', av) || 'ms' || chr(10)
     || '- P95 Latency: ' || printf('%.1f', p95) || 'ms' || chr(10)
-    || 'Platform is operating within normal parameters.' AS narrative
+    || CASE WHEN err > 5 AND p95 > 1000 THEN 'Above its limit: error rate and P95 latency.'
+            WHEN err > 5 THEN 'Above its limit: error rate.'
+            WHEN p95 > 1000 THEN 'Above its limit: P95 latency.'
+            ELSE 'No figure is above its limit.' END AS narrative
 FROM m""")
 
 _TIME_SERIES = f"""
@@ -98,7 +131,7 @@ _usage("time_series_from_rollup", _TIME_SERIES)
 
 _usage("mark_partial", """
 SELECT event_date, COUNT(*) AS requests, event_date >= DATE '2024-01-30' AS is_partial,
-       event_date = DATE '2024-01-29' AS is_bridge
+       event_date = (SELECT MAX(event_date) FROM usage WHERE event_date < DATE '2024-01-30') AS is_bridge
 FROM usage GROUP BY event_date""")
 
 _usage("user_tiers", f"""
@@ -111,7 +144,12 @@ SELECT endpoint, error_type, status_code, COUNT(*) AS count, COUNT(DISTINCT user
 FROM usage WHERE is_error GROUP BY endpoint, error_type, status_code
 ORDER BY count DESC, endpoint, error_type, status_code LIMIT 20""")
 
-_usage("churn_risk", """
+_usage("errors_top_5", """
+SELECT endpoint, error_type, status_code, COUNT(*) AS count, COUNT(DISTINCT user_id) AS users
+FROM usage WHERE is_error GROUP BY endpoint, error_type, status_code
+ORDER BY count DESC, endpoint, error_type, status_code LIMIT 5""")
+
+_orders("churn_risk", """
 SELECT user_id, user_tier, COUNT(*) AS requests, MAX(event_date) AS last_active
 FROM usage GROUP BY user_id, user_tier ORDER BY last_active, user_id, user_tier LIMIT 10""")
 
@@ -178,6 +216,13 @@ SELECT event_id, "timestamp", user_id, user_tier, endpoint, latency_ms, status_c
        input_tokens, output_tokens
 FROM usage ORDER BY "timestamp" DESC, event_id DESC LIMIT 10000""")
 
+_usage("newest_100", """
+SELECT event_id, "timestamp", user_id FROM usage ORDER BY "timestamp" DESC, event_id DESC LIMIT 100""")
+
+_orders("latest_tier_per_user", """
+SELECT user_id, event_date, event_id, user_tier FROM usage
+QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY event_date DESC, event_id DESC) = 1""")
+
 _usage("latest_event_per_user", """
 SELECT user_id, event_date, "timestamp", event_id, user_tier, endpoint FROM usage
 QUALIFY ROW_NUMBER() OVER (
@@ -185,7 +230,7 @@ QUALIFY ROW_NUMBER() OVER (
 
 _usage("distinct_tiers", "SELECT DISTINCT user_tier FROM usage")
 
-_usage("cohort_retention", """
+_orders("cohort_retention", """
 , f AS (SELECT user_id, CAST(date_trunc('week', MIN(event_date)) AS DATE) AS cohort_week
         FROM usage GROUP BY user_id),
 a AS (SELECT user_id, cohort_week,
@@ -193,7 +238,7 @@ a AS (SELECT user_id, cohort_week,
                  AS weeks_since_cohort
       FROM usage JOIN f USING (user_id))
 SELECT cohort_week, weeks_since_cohort, COUNT(DISTINCT user_id) AS active_users
-FROM a WHERE weeks_since_cohort <= 12 GROUP BY cohort_week, weeks_since_cohort""")
+FROM a GROUP BY cohort_week, weeks_since_cohort""")
 
 _ORDER_COHORTS = """
 WITH f AS (SELECT o_custkey, CAST(date_trunc('month', MIN(o_orderdate)) AS DATE) AS cohort_month
@@ -204,6 +249,7 @@ a AS (SELECT o_custkey, cohort_month,
 c AS (SELECT cohort_month, months_since_cohort, COUNT(DISTINCT o_custkey) AS active_users
       FROM a WHERE months_since_cohort <= 12 GROUP BY cohort_month, months_since_cohort)
 """
+ORACLES["cohort_mart_orders"] = f"{_ORDER_COHORTS.replace('WHERE months_since_cohort <= 12', '')} SELECT * FROM c"
 ORACLES["cohort_retention_orders"] = f"{_ORDER_COHORTS} SELECT * FROM c"
 ORACLES["cohort_matrix"] = f"{_ORDER_COHORTS} SELECT cohort_month, " + ", ".join(
     f"CAST(MAX(active_users) FILTER (WHERE months_since_cohort = {a}) AS DOUBLE) AS age_{a}"
@@ -214,11 +260,11 @@ _VISITS = """, v AS (SELECT DISTINCT user_id, event_date, user_tier, region FROM
 ret AS (
 SELECT *, CASE WHEN EXISTS (
         SELECT 1 FROM v AS n WHERE n.user_id = v.user_id AND n.event_date > v.event_date
-        AND n.event_date <= v.event_date + INTERVAL 7 DAY) THEN 1 ELSE 0 END AS retained
-FROM v WHERE event_date <= (SELECT MAX(event_date) FROM v) - INTERVAL 7 DAY)
+        AND n.event_date <= v.event_date + INTERVAL 90 DAY) THEN 1 ELSE 0 END AS retained
+FROM v WHERE event_date <= (SELECT MAX(event_date) FROM v) - INTERVAL 90 DAY)
 """
-_usage("retained_within", f"""{_VISITS}
-SELECT user_id, event_date, CAST(retained AS BIGINT) AS retained FROM ret""")
+_orders("retained_within", f"""{_VISITS}
+SELECT DISTINCT user_id, event_date, CAST(retained AS BIGINT) AS retained FROM ret""")
 
 _usage("conform_events", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", CAST(user_id AS VARCHAR) AS user_id,
@@ -227,6 +273,14 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", CAST(user_id AS VARCH
        TRUE AS has_ingested_at
 FROM usage""")
 
+_usage("stage_events", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, event_date, is_error, total_tokens, latency_ms FROM usage""")
+
+ORACLES["wire_rejects"] = """
+SELECT CAST(event_id AS VARCHAR) AS sent_id,
+       CASE event_id % 10 WHEN 1 THEN 'bad timestamp' WHEN 3 THEN 'no user_id' ELSE 'malformed' END AS reason
+FROM events WHERE event_id % 10 < 4"""
+
 _usage("wire_roundtrip", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", CAST(user_id AS VARCHAR) AS user_id,
        user_tier, endpoint, CAST(NULL AS VARCHAR) AS model_variant, input_tokens, output_tokens,
@@ -274,11 +328,14 @@ SELECT slot, d[1:8] || '-' || d[9:12] || '-5' || d[14:16] || '-'
 FROM h""")
 
 _usage("hourly_profile", f"""
-, d AS (SELECT event_date, hour("timestamp") AS hour, isodow("timestamp") >= 6 AS is_weekend,
-               COUNT(*) AS n FROM usage GROUP BY ALL)
-SELECT hour, is_weekend, CAST(SUM(n) AS BIGINT) AS requests, COUNT(*) AS days,
-       {_round("CAST(SUM(n) AS DOUBLE) / COUNT(*)", 6)} AS requests_per_day
-FROM d GROUP BY hour, is_weekend""")
+, span AS (SELECT UNNEST(generate_series(MIN(event_date), MAX(event_date), INTERVAL 1 DAY)) AS day FROM usage),
+kinds AS (SELECT isodow(day) >= 6 AS is_weekend, COUNT(*) AS days FROM span GROUP BY 1),
+t AS (SELECT hour("timestamp") AS hour, isodow("timestamp") >= 6 AS is_weekend, COUNT(*) AS n
+      FROM usage GROUP BY ALL)
+SELECT h.hour, kinds.is_weekend, COALESCE(n, 0) AS requests, days,
+       {_round("CAST(COALESCE(n, 0) AS DOUBLE) / days", 6)} AS requests_per_day
+FROM kinds CROSS JOIN (SELECT UNNEST(range(24)) AS hour) AS h
+LEFT JOIN t ON t.hour = h.hour AND t.is_weekend = kinds.is_weekend""")
 
 
 def _check(pos: int, name: str, bad: str, of: str = "COUNT(*)", table: str = "usage",
@@ -330,8 +387,9 @@ _usage("dq_violations", ", s AS (" + " UNION ALL ".join([
     _in_set(7, "error_type", "'RateLimitError', 'APIError'"),
 ]) + f") SELECT {_CHECK_COLUMNS} FROM s")
 _usage("dq_report", f""", s AS ({_SUITE})
-SELECT '2024-01-31' AS run_time, MAX(evaluated_count) AS row_count,
-       COUNT(*) FILTER (WHERE passed) AS passed, COUNT(*) AS total, COUNT(*) AS check_count
+SELECT '2024-01-31' AS run_time, (SELECT MAX(evaluated_count) FROM s) AS row_count,
+       (SELECT COUNT(*) FILTER (WHERE passed) FROM s) AS n_passed, (SELECT COUNT(*) FROM s) AS total,
+       expectation, passed, unexpected_pct, evaluated_count
 FROM s""")
 
 
@@ -343,12 +401,29 @@ _usage("dq_marts", f"""
 , m_dau AS (SELECT event_date, COUNT(DISTINCT user_id) AS dau FROM usage GROUP BY event_date),
 m_ep AS (SELECT endpoint FROM usage GROUP BY endpoint),
 m_tier AS (SELECT user_tier FROM usage GROUP BY user_tier),
+m_days AS (SELECT event_date, user_id, user_tier, region FROM usage GROUP BY ALL),
+m_err AS (SELECT event_date, endpoint FROM usage GROUP BY ALL),
+m_tok AS (SELECT event_date, user_tier FROM usage GROUP BY ALL),
+m_lat AS (SELECT event_date, AVG(latency_ms) AS avg_latency FROM usage GROUP BY event_date),
+m_first AS (SELECT user_id, date_trunc('month', MIN(event_date)) AS cohort_month FROM usage GROUP BY user_id),
+m_coh AS (SELECT cohort_month, date_trunc('month', event_date) AS period, COUNT(DISTINCT user_id) AS active_users
+          FROM usage JOIN m_first USING (user_id) GROUP BY ALL),
 s AS (
 {_mart("dau", [_not_null(1, "event_date", "m_dau"), _unique(2, "event_date", "m_dau"), _not_null(3, "dau", "m_dau")])}
 UNION ALL
 {_mart("endpoints", [_not_null(1, "endpoint", "m_ep"), _unique(2, "endpoint", "m_ep"), _in_set(3, "endpoint", _PATHS, "m_ep")])}
 UNION ALL
 {_mart("user_tiers", [_not_null(1, "user_tier", "m_tier"), _unique(2, "user_tier", "m_tier"), _in_set(3, "user_tier", _TIERS, "m_tier")])}
+UNION ALL
+{_mart("user_days", [_not_null(1, "event_date", "m_days"), _not_null(2, "user_id", "m_days"), _in_set(3, "user_tier", _TIERS, "m_days")])}
+UNION ALL
+{_mart("daily_errors", [_not_null(1, "event_date", "m_err"), _in_set(2, "endpoint", _PATHS, "m_err")])}
+UNION ALL
+{_mart("token_usage", [_not_null(1, "event_date", "m_tok"), _in_set(2, "user_tier", _TIERS, "m_tok")])}
+UNION ALL
+{_mart("daily_latency_error", [_not_null(1, "event_date", "m_lat"), _unique(2, "event_date", "m_lat"), _not_null(3, "avg_latency", "m_lat")])}
+UNION ALL
+{_mart("cohort_retention", [_not_null(1, "cohort_month", "m_coh"), _not_null(2, "active_users", "m_coh")])}
 ) SELECT mart, {_CHECK_COLUMNS} FROM s""")
 
 _ACTIVITY = f""", ua AS (
@@ -359,26 +434,26 @@ SELECT user_id, MAX(event_date) AS last_active, COUNT(*) AS total_requests,
 FROM usage GROUP BY user_id),
 ut AS (
 SELECT DISTINCT ON (user_id) user_id, user_tier FROM usage
-ORDER BY user_id, event_date DESC, "timestamp" DESC, event_id DESC),
+ORDER BY user_id, event_date DESC, "timestamp" DESC, user_tier DESC),
 cf AS (
-SELECT ua.*, user_tier, date_diff('day', last_active, DATE '2024-01-31') AS days_since_last,
+SELECT ua.*, user_tier, date_diff('day', last_active, DATE '2001-08-02') AS days_since_last,
        CASE WHEN churn_day IS NOT NULL
-             AND date_diff('day', last_active, DATE '2024-01-31') > churn_day THEN 1 ELSE 0 END AS churned
+             AND date_diff('day', last_active, DATE '2001-08-02') > churn_day THEN 1 ELSE 0 END AS churned
 FROM ua LEFT JOIN ut ON ua.user_id = ut.user_id)
 """
-_usage("label_guard", f"""{_ACTIVITY}
+_orders("label_guard", f"""{_ACTIVITY}
 SELECT COUNT(*) AS row_count, CAST(SUM(churned) AS BIGINT) AS positives, SUM(churned) >= 10 AS sufficient
 FROM cf""")
 _usage("user_activity", f"""{_ACTIVITY}
 SELECT * REPLACE ({_round("avg_latency", 6)} AS avg_latency, CAST(churn_day AS DOUBLE) AS churn_day)
 FROM ua""")
-_usage("churn_features", f"""{_ACTIVITY}
+_orders("churn_features", f"""{_ACTIVITY}
 SELECT * REPLACE ({_round("avg_latency", 6)} AS avg_latency, CAST(churn_day AS DOUBLE) AS churn_day,
                   CAST(churned AS BIGINT) AS churned),
        CAST(user_tier = 'enterprise' AS BIGINT) AS tier_enterprise,
        CAST(user_tier = 'free' AS BIGINT) AS tier_free, CAST(user_tier = 'pro' AS BIGINT) AS tier_pro
 FROM cf""")
-_usage("stratified_split", f"""{_ACTIVITY}, o AS (
+_orders("stratified_split", f"""{_ACTIVITY}, o AS (
 SELECT user_id, churned,
        ROW_NUMBER() OVER (PARTITION BY churned ORDER BY md5(user_id || '|42'), user_id) AS r,
        COUNT(*) OVER (PARTITION BY churned) AS n
@@ -398,11 +473,11 @@ FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionke
 
 _LIFETIMES = """, lt AS (
 SELECT user_id, user_tier, MIN(event_date) AS acquisition_date, MAX(event_date) AS last_active,
-       CASE WHEN MAX(event_date) >= DATE '2024-01-31' - INTERVAL 7 DAY THEN 0 ELSE 1 END AS churned,
+       CASE WHEN MAX(event_date) >= DATE '2001-08-02' - INTERVAL 120 DAY THEN 0 ELSE 1 END AS churned,
        date_diff('day', MIN(event_date), MAX(event_date)) + 1 AS lifetime_days
 FROM usage GROUP BY user_id, user_tier)
 """
-_usage("user_lifetimes", f"""{_LIFETIMES}
+_orders("user_lifetimes", f"""{_LIFETIMES}
 SELECT * REPLACE (CAST(churned AS BIGINT) AS churned) FROM lt""")
 
 
@@ -425,8 +500,8 @@ UNION ALL
 SELECT user_tier, 0, CAST(MAX(size) AS BIGINT), 0, 1 FROM s GROUP BY user_tier"""
 
 
-_usage("kaplan_meier", _survival("churned"))
-_usage("kaplan_meier_inverted", _survival("1 - churned"))
+_orders("kaplan_meier", _survival("churned"))
+_orders("kaplan_meier_inverted", _survival("1 - churned"))
 
 
 def _did(name: str, table: str, y: str) -> str:
@@ -442,11 +517,11 @@ def _did(name: str, table: str, y: str) -> str:
        {_round(did, 6)} AS did, {_round(se, 6)} AS se, {_round(f"({did}) / {se}", 6)} AS t_stat
 FROM (SELECT {agg} FROM (
     SELECT CAST({y} AS DOUBLE) AS y, user_tier = 'enterprise' AND region = 'AMERICA' AS treated,
-           event_date >= DATE '2024-01-15' AS post
+           event_date >= DATE '1998-06-01' AS post
     FROM {table} WHERE user_tier = 'enterprise' OR region = 'AMERICA'))"""
 
 
-_usage("diff_in_diff", f"""{_VISITS}, ud AS (
+_orders("diff_in_diff", f"""{_VISITS}, ud AS (
 SELECT event_date, user_id, user_tier, region, SUM(total_tokens) AS total_tokens FROM usage GROUP BY ALL)
 {_did("retained", "ret", "retained")}
 UNION ALL
@@ -456,11 +531,9 @@ _usage("streaming_metrics", f"""
 , w AS (SELECT *, date_trunc('hour', "timestamp") AS window_start FROM usage)
 SELECT window_start, window_start + INTERVAL 1 HOUR AS window_end, COUNT(*) AS requests,
        {_ERRORS} AS error_count, {_round(f"CAST({_ERRORS} AS DOUBLE) / COUNT(*)", 6)} AS error_rate,
-       {_round("AVG(latency_ms)", 6)} AS avg_latency, CAST(SUM(total_tokens) AS BIGINT) AS tokens
-FROM w
-WHERE window_start + INTERVAL 1 HOUR
-      <= (SELECT date_trunc('millisecond', MAX("timestamp")) FROM usage) - INTERVAL 1 HOUR
-GROUP BY window_start""")
+       {_round("AVG(latency_ms)", 6)} AS avg_latency, CAST(SUM(total_tokens) AS BIGINT) AS tokens,
+       COUNT(DISTINCT user_id) AS users
+FROM w GROUP BY window_start""")
 
 _usage("stream_dedup", 'SELECT event_id, "timestamp", user_id, endpoint FROM usage')
 

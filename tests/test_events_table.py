@@ -4,9 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from usagelens.schema import RAW_SCHEMA, conform, stage
-from usagelens.sources import events_table
 from usagelens.sources.events_table import (
-    cull_report, cull_table, insert_new, new_rows, read_events, retain_recent,
+    compact, cull_report, cull_table, insert_new, new_rows, read_events, retain_recent,
 )
 
 
@@ -72,12 +71,16 @@ def test_insert_of_nothing(spark, raw, tmp_path):
     assert insert_new(raw([{}]).limit(0), path) == 0
 
 
-def test_large_batches_are_not_broadcast(spark, raw, tmp_path, monkeypatch):
-    monkeypatch.setattr(events_table, "MAX_BROADCAST_KEYS", 1)
+def test_batches_one_after_another_and_compaction(spark, raw, tmp_path):
     path = str(tmp_path / "events")
     insert_new(raw([{"event_id": "a"}, {"event_id": "b"}]), path)
     insert_new(raw([{"event_id": "b"}, {"event_id": "c"}]), path)
-    assert read_events(spark, path).count() == 3
+    before = stored(spark, path)
+    files = len(list((tmp_path / "events").rglob("*.parquet")))
+    compact(spark, path, ["2024-01-01"])
+    spark.catalog.clearCache()
+    assert stored(spark, path) == before and set(before) == {"a", "b", "c"}
+    assert len(list((tmp_path / "events").rglob("*.parquet"))) < files
 
 
 def test_prune_by_date_looks_at_the_days_of_the_batch(spark, raw, tmp_path):

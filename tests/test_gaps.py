@@ -70,4 +70,7 @@ def test_hourly_profile_counts_days(spark, make_events):
         {"timestamp": "2024-01-04 10:30:00"}, {"timestamp": "2024-01-06 10:30:00"},
     ])).collect()
     got = [(r["hour"], r["is_weekend"], r["requests"], r["days"], r["requests_per_day"]) for r in profile]
-    assert got == [(10, False, 3, 2, 1.5), (10, True, 1, 1, 1.0)]
+    # Thursday to Saturday: two weekdays and one weekend day, each hour with a row.
+    assert len(got) == 48 and {g[3] for g in got if not g[1]} == {2} and {g[3] for g in got if g[1]} == {1}
+    assert [g for g in got if g[2]] == [(10, False, 3, 2, 1.5), (10, True, 1, 1, 1.0)]
+    assert gaps.hourly_profile(make_events([{}]).limit(0)).count() == 0

@@ -45,7 +45,9 @@ def test_narrative(sample):
     assert text == (
         "Platform Health Summary:\n- DAU: 2\n- Requests: 3\n- Error Rate: 33.33%\n"
         "- Avg Latency: 30.3ms\n- P95 Latency: 39.9ms\n"
-        "Platform is operating within normal parameters.")
+        "Above its limit: error rate.")
+    assert reports.narrative(sample, 40.0).first()["narrative"].endswith("\nNo figure is above its limit.")
+    assert reports.narrative(sample, 5.0, 30.0).first()["narrative"].endswith("error rate and P95 latency.")
 
 
 def test_time_series_includes_the_first_day(sample):
@@ -99,17 +101,19 @@ def test_cohorts_equal_brute_force(spark):
         months = {d.year * 12 + d.month - 1 for u, d in rows if u == user}
         for m in months:
             first = min(months)
-            if m - first <= 12:
-                key = (D(first // 12, first % 12 + 1, 1), m - first)
-                want[key] = want.get(key, 0) + 1
+            key = (D(first // 12, first % 12 + 1, 1), m - first)
+            want[key] = want.get(key, 0) + 1
     long = cohorts.cohort_retention(df)
     got = {(r["cohort_month"], r["months_since_cohort"]): r["active_users"] for r in long.collect()}
-    assert got == want
+    assert got == want and max(age for _, age in want) > 12
+    report = reports.cohort_report(df).collect()
+    assert {(r["cohort_month"], r["months_since_cohort"]): r["active_users"] for r in report} == {
+        k: n for k, n in want.items() if k[1] <= 12}
     wide = cohorts.cohort_matrix(long)
     assert wide.columns == ["cohort_month"] + [f"age_{i}" for i in range(13)]
     cells = {(r["cohort_month"], i): r[f"age_{i}"] for r in wide.collect() for i in range(13)
              if r[f"age_{i}"] is not None}
-    assert cells == want
+    assert cells == {k: n for k, n in want.items() if k[1] <= 12}
 
 
 def test_a_cell_given_twice_is_an_error(spark):
@@ -151,7 +155,10 @@ def test_marts_and_their_incremental_refresh(spark, sample, tmp_path):
     assert sorted(tables["dau"].collect()) == sorted(reports.dau(sample).collect())
     assert tables["cohort_retention"].count() == 1
     checks = marts.check_marts(tables)
-    assert checks.count() == 9 and checks.filter("NOT passed").count() == 0
+    assert set(r["mart"] for r in checks.collect()) == set(paths)
+    assert checks.count() == 21 and checks.filter("NOT passed").count() == 0
+    with pytest.raises(ValueError, match="no checks"):
+        marts.check_marts({"unheard_of": sample})
 
     # Events of the first day are gone from the source; its stored days stay.
     later = sample.filter("event_date > '2024-01-01'").unionByName(

@@ -72,26 +72,40 @@ def test_unknown_format(spark):
         read_events_stream(spark, "avro", path="x")
 
 
-def test_live_metrics_hold_back_the_unsettled_window(spark, tmp_path):
-    publish(tmp_path / "in", "1.json", [message("a", 1), message("b", 9, status_code=500), message("c", 31),
-                                        message("d", 59)])
-    stream = read_events_stream(spark, "json", {}, str(tmp_path / "in")).withColumns({
+def staged(stream):
+    return stream.withColumns({
         "is_error": F.col("status_code") >= 400,
         "total_tokens": F.col("input_tokens") + F.col("output_tokens"),
     })
-    live = jobs.live_metrics(stream, every="10 minutes", delay="10 minutes")
-    jobs.drain_to_table(live, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
-    got = [(r["window_start"].minute, r["requests"], r["error_count"], r["error_rate"], r["approx_users"])
-           for r in spark.read.schema(live.schema).parquet(str(tmp_path / "out")).orderBy("window_start").collect()]
-    assert got == [(0, 2, 1, 0.5, 1), (30, 1, 0, 0.0, 1)]
-
-
-def test_dedup_within_the_delay(spark, tmp_path):
-    publish(tmp_path / "in", "1.json", [message("a"), message("a", 1), message("b", 2)])
-    stream = jobs.dedup_stream(read_events_stream(spark, "json", {}, str(tmp_path / "in")))
-    jobs.drain_to_table(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
-    publish(tmp_path / "in", "2.json", [message("b", 3), message("c", 4)])
-    stream = jobs.dedup_stream(read_events_stream(spark, "json", {}, str(tmp_path / "in")))
-    jobs.drain_to_table(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
+
+
+# Five files out of order: most of what comes later is older, and some ids come again.
+FILES = [
+    [("a", 50), ("b", 51)], [("c", 1), ("d", 2), ("a", 50)], [("e", 59), ("f", 3)],
+    [("g", 10), ("h", 11), ("i", 12), ("c", 1)], [("j", 0), ("k", 5), ("l", 20), ("m", 40), ("n", 41)],
+]
+
+
+def publish_out_of_order(tmp_path):
+    for i, rows in enumerate(FILES):
+        publish(tmp_path / "in", f"{i}.json", [message(e, m, user_id=f"u{m % 2}") for e, m in rows])
+
+
+def test_live_metrics_count_late_events(spark, tmp_path):
+    publish_out_of_order(tmp_path)
+    out = {n: str(tmp_path / n) for n in ("events", "windows", "ckpt", "ckpt2")}
+    for checkpoint in ("ckpt", "ckpt2"):  # the second replays everything, without effect
+        stream = staged(read_events_stream(spark, "json", {"maxFilesPerTrigger": "1"}, str(tmp_path / "in")))
+        jobs.live_metrics(stream, out["events"], out["windows"], out[checkpoint], every="10 minutes").awaitTermination()
+        spark.catalog.clearCache()
+        got = {r["window_start"].minute: (r["requests"], r["users"])
+               for r in spark.read.parquet(out["windows"]).collect()}
+        assert got == {0: (5, 2), 10: (3, 2), 20: (1, 1), 40: (2, 2), 50: (3, 2)}
+
+
+def test_dedup_keeps_late_events(spark, tmp_path):
+    publish_out_of_order(tmp_path)
+    stream = read_events_stream(spark, "json", {"maxFilesPerTrigger": "1"}, str(tmp_path / "in"))
+    jobs.dedup_stream(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
     got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
-    assert sorted(r["event_id"] for r in got.collect()) == ["a", "b", "c"]
+    assert sorted(r["event_id"] for r in got.collect()) == list("abcdefghijklmn")

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from usagelens.functions.slot_ids import SLOT_NAMESPACE, slot_event_id
-from usagelens.functions.wire import decode_events
+from usagelens.functions.wire import decode_events, rejected
 from usagelens.schema import WIRE_SCHEMA
 from usagelens.sources import kafka
 
@@ -56,6 +56,26 @@ def test_malformed_messages(spark):
         decode(spark, good, bad="skip")
 
 
+DAMAGED = {
+    "malformed": {**EVENT, "input_tokens": "abc"},
+    "no user_id": {k: v for k, v in EVENT.items() if k != "user_id"},
+    "bad timestamp": {**EVENT, "timestamp": "soon"},
+}
+
+
+@pytest.mark.parametrize("reason", DAMAGED)
+def test_each_kind_of_damage_in_each_mode(spark, reason):
+    good, bad = json.dumps(EVENT), json.dumps(DAMAGED[reason])
+    with pytest.raises(Exception, match=reason):
+        decode(spark, good, bad).collect()
+    assert decode(spark, good, bad, bad="drop").count() == 1
+    nulls = [r for r in decode(spark, good, bad, bad="null").collect() if r["event_id"] is None]
+    assert len(nulls) == 1 and not any(nulls[0])
+    found = rejected(spark.createDataFrame([(good,), (bad,), (None,)], "value string")).collect()
+    assert sorted((r["reason"], r["value"]) for r in found if r["value"]) == [(reason, bad)]
+    assert [r["reason"] for r in found if r["value"] is None] == ["empty"]
+
+
 def test_messages_as_the_connector_gives_them(spark):
     raw = spark.createDataFrame(
         [(None, bytearray(json.dumps(EVENT).encode()), "api_events", 2, 41, dt.datetime(2024, 3, 1))],

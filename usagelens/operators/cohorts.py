@@ -24,12 +24,13 @@ def cohort_retention(
     user: str = "user_id",
     date: str = "event_date",
     grain: str = "month",
-    max_age: int | None = 12,
+    max_age: int | None = None,
 ) -> DataFrame:
     """Active users per cohort and age: ``cohort_{grain}, {grain}s_since_cohort, active_users``.
 
     A user's cohort is the period of their first activity. Activity is first reduced to one
-    row per user and period, so the per-user window sees at most one row per period.
+    row per user and period, so the per-user window sees at most one row per period. All ages
+    are given unless ``max_age`` bounds them.
     """
     cohort, age = f"cohort_{grain}", f"{grain}s_since_cohort"
     period = F.to_date(F.col(date)) if grain == "day" else F.trunc(F.col(date), grain)

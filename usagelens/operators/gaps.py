@@ -13,9 +13,6 @@ from usagelens.functions.slot_ids import slot_event_id
 from usagelens.operators.filters import time_range
 
 
-MAX_CALENDAR_PARTS = 200
-
-
 def slot_window(as_of: dt.datetime, days: int = 90) -> tuple[dt.datetime, dt.datetime]:
     """Start and end of the ``days`` days up to the current minute, that minute included."""
     end = as_of.replace(second=0, microsecond=0) + dt.timedelta(minutes=1)
@@ -35,26 +32,16 @@ def slot_calendar(
 
 
 def slots_between(bounds: DataFrame, every_seconds: int = 60) -> DataFrame:
-    """Every slot in ``[start, end)`` for a frame with the columns ``start`` and ``end``.
+    """Every slot in ``[start, end)`` for a frame of one row with the columns ``start`` and ``end``.
 
-    Days first, then the slots of each day, so that a long span is spread over tasks.
+    The row is fetched; the slots are a range of numbers, which Spark splits by itself.
     """
-    step = F.expr(f"interval {int(every_seconds)} seconds")
-    days = bounds.filter(F.col("start") < F.col("end")).select(
-        "start",
-        "end",
-        F.explode(F.expr("sequence(0, datediff(end, start) + 1)")).alias("n"),
-    )
-    # A fixed number of parts: adaptive coalescing goes by size, and days are tiny until exploded.
-    parts = min(bounds.sparkSession.sparkContext.defaultParallelism, MAX_CALENDAR_PARTS)
-    days = days.repartition(parts, "n").select(
-        (F.col("start") + F.expr("make_dt_interval(n)")).alias("day_start"),
-        F.least(F.col("start") + F.expr("make_dt_interval(n + 1)"), F.col("end")).alias("day_end"),
-    ).filter(F.col("day_start") < F.col("day_end"))
-    slots = days.select(
-        "day_end", F.explode(F.sequence("day_start", "day_end", step)).alias("slot")
-    )
-    return slots.filter(F.col("slot") < F.col("day_end")).select("slot")
+    start, end = bounds.select(F.unix_micros("start"), F.unix_micros("end")).first()
+    if start is None or end is None:
+        start = end = 0
+    step = every_seconds * 1_000_000
+    return bounds.sparkSession.range(max(0, -(-(end - start) // step))).select(
+        F.timestamp_micros(F.lit(start) + F.col("id") * F.lit(step)).alias("slot"))
 
 
 def existing_slots(df: DataFrame, start=None, end=None, ts: str = "timestamp") -> DataFrame:
@@ -89,16 +76,24 @@ def append_events(backfill: DataFrame, top_up: DataFrame) -> DataFrame:
 
 
 def hourly_profile(df: DataFrame, ts: str = "timestamp") -> DataFrame:
-    """Measured traffic by hour of day, weekdays and weekends apart."""
+    """Measured traffic by hour of day, weekdays and weekends apart.
+
+    ``days`` is the number of weekdays or weekend days from the first to the last day of the data,
+    with or without traffic in that hour; an hour without any has a row with 0 requests. A kind of
+    day that the span lacks has no rows.
+    """
     hourly = df.groupBy(
-        F.to_date(ts).alias("day"), F.hour(ts).alias("hour"), dates.is_weekend(ts).alias("is_weekend")
-    ).agg(F.count(F.lit(1)).alias("n"))
+        F.to_date(ts).alias("day"), F.hour(ts).alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    span = hourly.agg(F.min("day").alias("first"), F.max("day").alias("last")).where("first is not null")
+    grid = (span.select(F.explode(F.sequence("first", "last")).alias("day"))
+            .groupBy(dates.is_weekend("day").alias("is_weekend")).agg(F.count(F.lit(1)).alias("days"))
+            .select("is_weekend", "days", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour")))
+    traffic = hourly.groupBy("hour", dates.is_weekend("day").alias("is_weekend")).agg(
+        F.sum("n").alias("requests"))
+    requests = F.coalesce("requests", F.lit(0))
     return (
-        hourly.groupBy("hour", "is_weekend")
-        .agg(
-            F.sum("n").alias("requests"),
-            F.count(F.lit(1)).alias("days"),
-            ratio(F.sum("n"), F.count(F.lit(1))).alias("requests_per_day"),
-        )
+        grid.join(traffic, ["hour", "is_weekend"], "left")
+        .select("hour", "is_weekend", requests.alias("requests"), "days",
+                ratio(requests, F.col("days")).alias("requests_per_day"))
         .orderBy("is_weekend", "hour")
     )

@@ -2,9 +2,10 @@
 
 A group's rows are first counted into a bounded number of value buckets (combined map-side),
 which tells in which bucket a rank lies. Only the rows of that bucket are looked at again, and
-counted by value. A bucket with very many rows is narrowed once more in the same way. So no
-task ever holds more than a bucket table, or the distinct values of a narrow bucket, however
-large or hot the group is.
+counted into fine buckets of it, and only the rows of the fine bucket with the rank are counted by
+value. So no task ever holds more than a bucket table, or the distinct values of a very narrow bucket,
+however large or hot the group is. It is one lazy plan for all sizes; how the located ranks are joined
+is left to adaptive execution.
 """
 
 from __future__ import annotations
@@ -17,22 +18,27 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.numeric import half_up
 
-# Largest number of located ranks that is sent to all executors; beyond it they are shuffled.
-MAX_BROADCAST_RANKS = 10_000
-
 # Buckets per doubling of the value: about 0.3 % wide, and for narrowing about 1e-6.
 COARSE, FINE = 256, 1 << 20
 
-# A bucket with more rows than this is narrowed before its values are sorted.
-MAX_BUCKET_ROWS = 20_000_000
+# Doublings between the smallest magnitude told apart and one, and up to the largest double.
+LOW_EXPONENT, HIGH_EXPONENT = 64, 1024
 
 
 def magnitude_bucket(value: Column, per_octave: int) -> Column:
-    """Order-preserving bucket of a double, of a width relative to the value."""
-    floor_exponent = 64
-    magnitude = F.greatest(F.abs(value), F.lit(2.0 ** -floor_exponent))
-    steps = F.floor(F.log2(magnitude) * per_octave) + floor_exponent * per_octave + 1
-    return F.when(value == 0, F.lit(0)).otherwise(F.signum(value).cast("long") * steps)
+    """Order-preserving bucket of a double, of a width relative to the value.
+
+    Infinities have the buckets at the ends, and NaN, which sorts last, one beyond.
+    """
+    last = (LOW_EXPONENT + HIGH_EXPONENT + 1) * per_octave + 2
+    magnitude = F.greatest(F.abs(value), F.lit(2.0 ** -LOW_EXPONENT))
+    finite = F.when(magnitude < float("inf"), magnitude).otherwise(F.lit(1.0))
+    steps = F.floor(F.log2(finite) * per_octave) + LOW_EXPONENT * per_octave + 1
+    sign = F.when(value > 0, F.lit(1)).otherwise(F.lit(-1)).cast("long")
+    return (F.when(F.isnan(value), F.lit(last + 1))
+            .when(value == 0, F.lit(0))
+            .when(magnitude == float("inf"), sign * last)
+            .otherwise(sign * steps)).cast("long")
 
 
 def running_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -45,23 +51,6 @@ def running_counts(counts: DataFrame, keys: Sequence[str], order: str) -> DataFr
     })
 
 
-def fetch_few(df: DataFrame, limit: int | None = None) -> list | None:
-    """The rows of ``df`` if it has at most ``limit``, else none."""
-    limit = MAX_BROADCAST_RANKS if limit is None else limit
-    rows = df.limit(limit + 1).collect()
-    return rows if len(rows) <= limit else None
-
-
-def small_side(df: DataFrame, rows: list | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its rows are few, else as it is.
-
-    Few rows are fetched (or given) and stand for the plan behind them from then on, so that
-    it does not run a second time.
-    """
-    rows = fetch_few(df) if rows is None else rows
-    return df if rows is None else F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
 def _same(keys: Sequence[str]) -> Column:
     # Null keys form a group too, hence the null-safe comparison.
     match = F.lit(True)
@@ -97,7 +86,7 @@ def exact_percentile(
 ) -> DataFrame:
     """Linearly interpolated percentile (``percentile_cont``) of ``value`` per ``keys``.
 
-    Nulls are ignored. Runs one job to locate the buckets; the result is lazy.
+    Nulls are ignored; NaN counts as the greatest value. The result is lazy.
     """
     keys = list(keys)
     number = F.col(value).cast("double")
@@ -110,23 +99,20 @@ def exact_percentile(
         "_low": F.floor(rank), "_high": F.ceil(rank), "_weight": rank - F.floor(rank),
     })
     located = located.filter(_holds("_low") | _holds("_high")).select(
-        *keys, "_bucket", "_rows", F.col("_before").alias("_start"), *RANKS)
-    few = fetch_few(located)
-    huge = few is None or any(r["_rows"] > MAX_BUCKET_ROWS for r in few)
+        *keys, "_bucket", F.col("_before").alias("_start"), *RANKS)
 
-    near = rows.alias("l").join(
-        small_side(located, few).alias("r"), _same([*keys, "_bucket"])
-    ).select("l.*", *[f"r.{c}" for c in ("_start", *RANKS)])
+    near = rows.alias("l").join(located.alias("r"), _same([*keys, "_bucket"])).select(
+        "l.*", *[f"r.{c}" for c in ("_start", *RANKS)])
     values = near.groupBy(*keys, "_bucket", "_value", "_start", *RANKS).agg(
         F.count(F.lit(1)).alias("_rows"))
-    inner = ["_bucket"]
-    if huge:
-        values, inner = _narrow(values, keys), ["_bucket", "_fine"]
-    placed = running_counts(values, [*keys, *inner], "_value").withColumn(
+    values = _narrow(values, keys)
+    placed = running_counts(values, [*keys, "_bucket", "_fine"], "_value").withColumn(
         "_before", F.col("_before") + F.col("_start"))
     low = F.max(F.when(_holds("_low"), F.col("_value")))
     high = F.max(F.when(_holds("_high"), F.col("_value")))
-    return placed.groupBy(*keys).agg((low + (high - low) * F.max("_weight")).alias(name))
+    # The same value on both sides, also an infinite one, is the percentile as it is.
+    between = F.when(low == high, low).otherwise(low + (high - low) * F.max("_weight"))
+    return placed.groupBy(*keys).agg(between.alias(name))
 
 
 def percentile(

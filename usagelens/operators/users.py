@@ -11,12 +11,8 @@ from pyspark.sql import functions as F
 from usagelens.functions import dates
 from usagelens.functions.numeric import to_number
 from usagelens.operators import measures as m
-from usagelens.operators.rank_select import fetch_few
 from usagelens.schema import USER_TIERS
 
-# Columns a one-hot encoding may add when it looks up the values itself.
-MAX_CATEGORIES = 1_000
-
 ACTIVITY_FEATURES = [
     "total_requests", "avg_latency", "error_count", "active_days", "total_tokens",
     "days_since_last",
@@ -40,18 +36,8 @@ def user_activity(df: DataFrame) -> DataFrame:
     return df.groupBy("user_id").agg(*[c.alias(n) for n, c in _activity(df).items()])
 
 
-def one_hot(
-    df: DataFrame, column: str, values: Sequence[str] | None, prefix: str
-) -> DataFrame:
-    """Add ``{prefix}_{value}`` with 0 or 1 for each value, in alphabetical order.
-
-    Without ``values`` they are looked up in the data, which must have few of them.
-    """
-    if values is None:
-        found = fetch_few(df.select(column).na.drop().distinct(), MAX_CATEGORIES)
-        if found is None:
-            raise ValueError(f"{column} has more than {MAX_CATEGORIES} values")
-        values = [r[0] for r in found]
+def one_hot(df: DataFrame, column: str, values: Sequence[str], prefix: str) -> DataFrame:
+    """Add ``{prefix}_{value}`` with 0 or 1 for each of ``values``, in alphabetical order."""
     return df.withColumns({
         f"{prefix}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0))
         for v in sorted(values)
@@ -70,7 +56,8 @@ def churn_features(
     """User totals, latest tier, days since last activity, the churn label and tier columns.
 
     Totals and latest tier come out of one aggregation over the user-day rollup, so the two
-    need no join and the events are read once. Within a day the tier of the last event counts.
+    need no join and the events are read once. The tier of the last event counts; of several at one
+    instant, the last by name.
     """
     rollup = df if m.is_rollup(df) else m.user_days(df)
     latest = F.max(F.struct("event_date", m.last_seen(rollup), "user_tier"))

@@ -14,19 +14,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from usagelens.functions.numeric import half_up
-from usagelens.functions.wire import decode_events
+from usagelens.functions.wire import decode_events, encode_event, rejected
 from usagelens.operators import cohorts, filters, gaps, quality, splits, users
 from usagelens.operators.keyed import latest_per_key
 from usagelens.plans import marts, reports, training
-from usagelens.schema import WIRE_SCHEMA, conform
+from usagelens.schema import WIRE_SCHEMA, conform, stage
 from usagelens.session import materialize, scratch_path
 from usagelens.sources import events_table, kafka, testtables
 from usagelens.streaming import jobs
 
-# The day the test data is looked at from, and the length of inactivity that fits its 30 days.
+# The day the events are looked at from.
 AS_OF = "2024-01-31"
-INACTIVE_DAYS = 7
-ROLLOUT = {"rollout": "2024-01-15", "tier": "enterprise", "region": "AMERICA"}
+# The same for the orders, of which there are years.
+ORDERS_AS_OF = "2001-08-02"
+INACTIVE_DAYS = 120
+ROLLOUT = {"rollout": "1998-06-01", "tier": "enterprise", "region": "AMERICA", "days": 90}
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +68,10 @@ events = testtables.events
 usage = testtables.usage_events
 days = testtables.usage_days
 
+# What is asked of users over a long time is asked of the orders, event by event or rolled up.
+orders = testtables.order_events
+order_days = testtables.order_days
+
 
 # Reports
 
@@ -119,9 +125,15 @@ def errors_top(spark, sf_dir):
     return reports.errors_top(events(spark, sf_dir))
 
 
+@query
+def errors_top_5(spark, sf_dir):
+    # Fewer than there are kinds of error, so that the limit acts.
+    return reports.errors_top(events(spark, sf_dir), 5)
+
+
 @query
 def churn_risk(spark, sf_dir):
-    return users.at_risk(days(spark, sf_dir))
+    return users.at_risk(order_days(spark, sf_dir))
 
 
 @query
@@ -182,6 +194,18 @@ def newest_sample(spark, sf_dir):
     )
 
 
+@query
+def newest_100(spark, sf_dir):
+    return filters.newest(events(spark, sf_dir), 100).select("event_id", "timestamp", "user_id")
+
+
+@query
+def latest_tier_per_user(spark, sf_dir):
+    # Tiers change from order to order.
+    rows = orders(spark, sf_dir).select("user_id", "event_date", "event_id", "user_tier")
+    return latest_per_key(rows, "user_id", ["event_date", "event_id"])
+
+
 @query
 def latest_event_per_user(spark, sf_dir):
     rows = events(spark, sf_dir).select("user_id", "event_date", "timestamp", "event_id", "endpoint")
@@ -199,12 +223,12 @@ def distinct_tiers(spark, sf_dir):
 
 @query
 def cohort_retention(spark, sf_dir):
-    return cohorts.cohort_retention(events(spark, sf_dir), grain="week")
+    return cohorts.cohort_retention(orders(spark, sf_dir), grain="week")
 
 
 def _order_cohorts(spark, sf_dir):
-    orders = testtables.table(spark, sf_dir, "orders")
-    return cohorts.cohort_retention(orders, "o_custkey", "o_orderdate", grain="month")
+    return reports.cohort_report(
+        testtables.table(spark, sf_dir, "orders"), user="o_custkey", date="o_orderdate")
 
 
 @query
@@ -212,6 +236,12 @@ def cohort_retention_orders(spark, sf_dir):
     return _order_cohorts(spark, sf_dir)
 
 
+@query
+def cohort_mart_orders(spark, sf_dir):
+    # Without a bound on the age, as the mart has it.
+    return cohorts.cohort_retention(testtables.table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
+
+
 @query
 def cohort_matrix(spark, sf_dir):
     wide = cohorts.cohort_matrix(_order_cohorts(spark, sf_dir))
@@ -221,7 +251,7 @@ def cohort_matrix(spark, sf_dir):
 
 @query
 def retained_within(spark, sf_dir):
-    return cohorts.retained_within(events(spark, sf_dir), days=7)
+    return cohorts.retained_within(orders(spark, sf_dir), days=90)
 
 
 # Event table
@@ -239,20 +269,43 @@ def conform_events(spark, sf_dir):
 
 
 @query
-def wire_roundtrip(spark, sf_dir):
-    sent = usage(spark, sf_dir).withColumns({
+def stage_events(spark, sf_dir):
+    raw = conform(usage(spark, sf_dir).drop("is_error", "total_tokens", "event_date"))
+    return stage(raw).select("event_id", "event_date", "is_error", "total_tokens", "latency_ms")
+
+
+def _sent(spark, sf_dir):
+    return usage(spark, sf_dir).withColumns({
         "model_variant": F.lit(None).cast("string"), "sdk_version": F.lit("1.3.0"),
         "session_id": F.concat(F.lit("s"), F.col("event_id")),
         "latency_ms": F.col("latency_ms").cast("decimal(10,2)"),
         "event_id": F.col("event_id").cast("string"), "user_id": F.col("user_id").cast("string"),
     })
-    received = decode_events(kafka.messages(sent))
+
+
+@query
+def wire_roundtrip(spark, sf_dir):
+    received = decode_events(kafka.messages(_sent(spark, sf_dir)))
     return received.select(
         *[c for c in WIRE_SCHEMA.names if c != "churn_day"],
         F.col("churn_day").cast("double").alias("churn_day"),
     )
 
 
+@query
+def wire_rejects(spark, sf_dir):
+    # Four in ten messages are damaged, each kind in a way of its own.
+    kind = F.col("event_id").cast("long") % 10
+    rows = _sent(spark, sf_dir)
+    sent = rows.select(F.col("event_id").alias("sent_id"), kind.alias("kind"), encode_event(rows).alias("value"))
+    damaged = (F.when(F.col("kind") == 0, F.expr("left(value, length(value) - 5)"))
+               .when(F.col("kind") == 1, F.regexp_replace("value", '"timestamp":"[^"]*"', '"timestamp":"soon"'))
+               .when(F.col("kind") == 2, F.regexp_replace("value", '"input_tokens":[0-9]+', '"input_tokens":"abc"'))
+               .when(F.col("kind") == 3, F.regexp_replace("value", '"user_id":"[^"]*",', ""))
+               .otherwise(F.col("value")))
+    return rejected(sent.withColumn("value", damaged)).select("sent_id", "reason")
+
+
 @query
 def insert_new(spark, sf_dir):
     # The table holds the first half of the month. The batch overlaps it, and each of its
@@ -343,22 +396,20 @@ def dq_violations(spark, sf_dir):
 def dq_report(spark, sf_dir):
     report = quality.run_suite(
         usage(spark, sf_dir), AS_OF, narrow=events(spark, sf_dir))
-    return report.select("run_time", "row_count", "passed", "total",
-                         F.size("checks").alias("check_count"))
+    return report.select(
+        "run_time", "row_count", F.col("passed").alias("n_passed"), "total", F.inline("checks"))
 
 
 @query
 def dq_marts(spark, sf_dir):
-    return marts.check_marts({
-        "dau": reports.dau(events(spark, sf_dir)),
-        "endpoints": reports.endpoint_metrics(events(spark, sf_dir), approx=True),
-        "user_tiers": reports.user_tiers(days(spark, sf_dir)),
-    })
+    # All marts, built and read back.
+    paths = marts.build_marts(spark, usage(spark, sf_dir), scratch_path(spark, "marts"))
+    return marts.check_marts({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
 @query
 def label_guard(spark, sf_dir):
-    return quality.label_guard(users.churn_features(days(spark, sf_dir), AS_OF))
+    return quality.label_guard(users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF))
 
 
 # Users and models
@@ -372,7 +423,7 @@ def user_activity(spark, sf_dir):
 
 @query
 def churn_features(spark, sf_dir):
-    rows = _rounded(users.churn_features(days(spark, sf_dir), AS_OF))
+    rows = _rounded(users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF))
     return rows.withColumn("churn_day", F.col("churn_day").cast("double"))
 
 
@@ -385,29 +436,30 @@ def one_hot(spark, sf_dir):
 
 @query
 def user_lifetimes(spark, sf_dir):
-    return users.user_lifetimes(days(spark, sf_dir), AS_OF, INACTIVE_DAYS)
+    return users.user_lifetimes(order_days(spark, sf_dir), ORDERS_AS_OF, INACTIVE_DAYS)
 
 
 @query
 def kaplan_meier(spark, sf_dir):
-    return _rounded(training.survival_curves(days(spark, sf_dir), AS_OF, INACTIVE_DAYS))
+    return _rounded(training.survival_curves(order_days(spark, sf_dir), ORDERS_AS_OF, INACTIVE_DAYS))
 
 
 @query
 def kaplan_meier_inverted(spark, sf_dir):
     return _rounded(
-        training.survival_curves(days(spark, sf_dir), AS_OF, INACTIVE_DAYS, inverted=True))
+        training.survival_curves(order_days(spark, sf_dir), ORDERS_AS_OF, INACTIVE_DAYS, inverted=True))
 
 
 @query
 def stratified_split(spark, sf_dir):
-    features = users.churn_features(days(spark, sf_dir), AS_OF).select("user_id", "churned")
+    features = users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF).select("user_id", "churned")
+    features = materialize(features, "split-features")
     return splits.stratified_split(features, "churned", "user_id")
 
 
 def _rollout_effect(spark, sf_dir):
     # Read three times: for both outcomes and for the last day.
-    return training.rollout_effect(materialize(days(spark, sf_dir), "user-days"), **ROLLOUT)
+    return training.rollout_effect(materialize(order_days(spark, sf_dir), "user-days"), **ROLLOUT)
 
 
 @query
@@ -427,42 +479,42 @@ def isolation_forest(spark, sf_dir):
 
 @query
 def churn_model(spark, sf_dir):
-    return training.churn_model(days(spark, sf_dir), AS_OF).metrics()
+    return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).metrics()
 
 
 @query
 def churn_importances(spark, sf_dir):
-    return training.churn_model(days(spark, sf_dir), AS_OF).importances()
+    return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).importances()
 
 
 # Streams, run until the events are used up; their output is read back as a table.
 
 
-def _event_stream(spark, sf_dir):
-    raw = (
-        spark.readStream.schema(testtables.SCHEMAS["events"])
-        .option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    )
+def _event_stream(spark, sf_dir, batches=3):
+    # The events dealt over some files at random, one a batch: most of them come late.
+    path = scratch_path(spark, "event-files")
+    rows = testtables.table(spark, sf_dir, "events")
+    rows.repartition(batches, F.xxhash64("event_id")).write.parquet(path)
+    raw = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
     return testtables.event_columns(raw)
 
 
-def _drained(spark, stream, name):
-    out = scratch_path(spark, name)
-    jobs.drain_to_table(stream, out, scratch_path(spark, f"{name}-checkpoint")).awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
-
-
 @query
 def streaming_metrics(spark, sf_dir):
-    live = jobs.live_metrics(_event_stream(spark, sf_dir), every="1 hour", delay="1 hour")
-    return _rounded(_drained(spark, live.drop("approx_users"), "streaming-metrics"))
+    out = scratch_path(spark, "streaming-metrics")
+    jobs.live_metrics(
+        _event_stream(spark, sf_dir), f"{out}/events", f"{out}/windows", f"{out}/checkpoint",
+    ).awaitTermination()
+    return _rounded(spark.read.parquet(f"{out}/windows").drop("window_date"))
 
 
 @query
 def stream_dedup(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    kept = jobs.dedup_stream(twice.select("event_id", "timestamp", "user_id", "endpoint"))
-    return _drained(spark, kept, "stream-dedup")
+    rows = twice.select("event_id", "timestamp", "user_id", "endpoint")
+    out = scratch_path(spark, "stream-dedup")
+    jobs.dedup_stream(rows, f"{out}/table", f"{out}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{out}/table")
 
 
 @query

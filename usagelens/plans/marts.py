@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,11 @@ MART_CHECKS: dict[str, list[Check]] = {
     "dau": [not_null("event_date"), unique("event_date"), not_null("dau")],
     "endpoints": [not_null("endpoint"), unique("endpoint"), in_set("endpoint", ENDPOINTS)],
     "user_tiers": [not_null("user_tier"), unique("user_tier"), in_set("user_tier", USER_TIERS)],
+    ROLLUP: [not_null("event_date"), not_null("user_id"), in_set("user_tier", USER_TIERS)],
+    "daily_errors": [not_null("event_date"), in_set("endpoint", ENDPOINTS)],
+    "token_usage": [not_null("event_date"), in_set("user_tier", USER_TIERS)],
+    "daily_latency_error": [not_null("event_date"), unique("event_date"), not_null("avg_latency")],
+    "cohort_retention": [not_null("cohort_month"), not_null("active_users")],
 }
 
 
@@ -69,11 +75,12 @@ def build_marts(
 
 
 def check_marts(marts: dict[str, DataFrame]) -> DataFrame:
-    """Check results of all given marts, with the mart's name; a failure does not stop the run."""
-    out = None
-    for name in sorted(set(marts) & set(MART_CHECKS)):
-        rows = check_rows(marts[name], MART_CHECKS[name]).select(F.lit(name).alias("mart"), "*")
-        out = rows if out is None else out.unionByName(rows)
-    return out
-
+    """Check results of all given marts, with the mart's name; a failure does not stop the run.
 
+    Give the stored tables, as each kind of check reads its mart. A mart without checks is an error.
+    """
+    if unknown := set(marts) - set(MART_CHECKS):
+        raise ValueError(f"no checks for {sorted(unknown)}")
+    parts = [check_rows(marts[name], MART_CHECKS[name]).select(F.lit(name).alias("mart"), "*")
+             for name in sorted(marts)]
+    return reduce(DataFrame.unionByName, parts)

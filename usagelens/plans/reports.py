@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from usagelens.functions.numeric import half_up, percent
 from usagelens.operators import measures as m
+from usagelens.operators.cohorts import cohort_retention
 from usagelens.operators.filters import last_days, newest_day
 from usagelens.operators.rank_select import percentile
 from usagelens.operators.rolling import rolling
@@ -48,7 +49,7 @@ def narrative_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
     )
 
 
-# Fixed value: the wording of the summary.
+# Fixed value: the labels of the summary.
 SUMMARY = (
     "Platform Health Summary:\n"
     "- DAU: %s\n"
@@ -56,18 +57,24 @@ SUMMARY = (
     "- Error Rate: %.2f%%\n"
     "- Avg Latency: %.1fms\n"
     "- P95 Latency: %.1fms\n"
-    "Platform is operating within normal parameters."
+    "%s"
 )
 
 
-def narrative(df: DataFrame) -> DataFrame:
-    """The key figures as a text, in one row."""
+def narrative(df: DataFrame, max_error_rate: float = 5.0, max_p95_latency: float = 1_000.0) -> DataFrame:
+    """The key figures as a text, in one row; it ends with those above their limits (percent, ms)."""
+    above = F.concat_ws(
+        " and ",
+        F.when(F.col("error_rate") > max_error_rate, "error rate"),
+        F.when(F.col("p95_latency") > max_p95_latency, "P95 latency"))
+    conclusion = F.when(above == "", "No figure is above its limit.").otherwise(
+        F.concat(F.lit("Above its limit: "), above, F.lit(".")))
     return narrative_metrics(df).select(
         F.format_string(
             SUMMARY,
             F.format_number("dau", 0),
             F.format_number("total_requests", 0),
-            "error_rate", "avg_latency", "p95_latency",
+            "error_rate", "avg_latency", "p95_latency", conclusion,
         ).alias("narrative")
     )
 
@@ -138,6 +145,11 @@ def token_usage(df: DataFrame) -> DataFrame:
     ).orderBy("event_date", "user_tier")
 
 
+def cohort_report(df: DataFrame, max_age: int = 12, **columns: str) -> DataFrame:
+    """Cohort retention up to an age; the mart has all ages."""
+    return cohort_retention(df, max_age=max_age, **columns)
+
+
 def daily_errors(df: DataFrame) -> DataFrame:
     """Errors per day and endpoint."""
     return df.groupBy("event_date", "endpoint").agg(

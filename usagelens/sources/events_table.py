@@ -16,13 +16,10 @@ from pyspark.sql import types as T
 from usagelens.functions import dates
 from usagelens.operators.keyed import first_per_key
 from usagelens.schema import RAW_SCHEMA
-from usagelens.session import path_exists
+from usagelens.session import materialize, path_exists
 
 TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("event_date", T.DateType())])
 
-# Batches up to this many distinct ids are sent to all executors as a lookup table.
-MAX_BROADCAST_KEYS = 1_000_000
-
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TABLE_SCHEMA).parquet(path)
@@ -37,22 +34,18 @@ def new_rows(
     existing: DataFrame,
     order: Sequence[str] = ("timestamp",),
     key: str = "event_id",
-    broadcast_keys: bool = False,
 ) -> DataFrame:
     """Rows of ``batch`` to insert: the first one per key, unless the key exists already.
 
-    Only the key column of the table is read. When the batch is known to be small
-    (``broadcast_keys``), its keys are sent to the table's partitions and the table is not
-    shuffled; otherwise both sides are shuffled by key.
+    Only the key column of the table is read. The plan is the same for all sizes: adaptive execution
+    sends a small batch to the table's partitions and shuffles both sides of a large one.
     """
-    return _unseen(first_per_key(batch, key, order), existing, key, broadcast_keys)
+    return _unseen(first_per_key(batch, key, order), existing, key)
 
 
-def _unseen(rows: DataFrame, existing: DataFrame, key: str, broadcast_keys: bool) -> DataFrame:
-    stored = existing.select(key)
-    if broadcast_keys:
-        # Keys are unique in the table, so no more of them match than the batch has.
-        stored = F.broadcast(stored.join(F.broadcast(rows.select(key)), key, "left_semi"))
+def _unseen(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    # The table's keys that the batch has: no more rows than the batch, so the second join is small.
+    stored = existing.select(key).join(rows.select(key), key, "left_semi").distinct()
     return rows.join(stored, key, "left_anti")
 
 
@@ -66,7 +59,8 @@ def insert_new(
 
     Inserting the same batch again changes nothing, so a failed attempt can be repeated.
     ``prune_by_date`` looks for existing keys on the batch's own days only. That is right
-    when the id fixes the day, as the ids of time slots do, and wrong otherwise.
+    when the id fixes the day, as the ids of time slots do, and wrong otherwise. Within a day the
+    rows of a file are sorted by time and user, so that file statistics can skip.
     """
     spark = batch.sparkSession
     span = with_event_date(batch).agg(
@@ -76,27 +70,33 @@ def insert_new(
     ).first()
     if span["n"] == 0:
         return 0
-    small = span["n"] <= MAX_BROADCAST_KEYS
-    rows = with_event_date(first_per_key(batch, "event_id", order)).select(*TABLE_SCHEMA.names)
-    if small:
-        # Read for its keys and for the insert; a bulk load is rather read twice than cached.
-        rows = rows.persist()
-    try:
-        fresh = rows
-        if path_exists(spark, path):
-            table = read_events(spark, path)
-            if prune_by_date:
-                days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
-                table = table.filter(days)
-            fresh = _unseen(rows, table, "event_id", broadcast_keys=small)
-        fresh.hint("rebalance", F.col("event_date")).write.mode("append").partitionBy(
-            "event_date").parquet(path)
-    finally:
-        if small:
-            rows.unpersist()
+    # Stored, as it is read for its keys and for the insert.
+    rows = materialize(
+        with_event_date(first_per_key(batch, "event_id", order)).select(*TABLE_SCHEMA.names), "insert")
+    fresh = rows
+    if path_exists(spark, path):
+        table = read_events(spark, path)
+        if prune_by_date:
+            days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
+            table = table.filter(days)
+        fresh = _unseen(rows, table, "event_id")
+    fresh.hint("rebalance", F.col("event_date")).sortWithinPartitions(
+        "event_date", "timestamp", "user_id").write.mode("append").partitionBy("event_date").parquet(path)
     return span["n"]
 
 
+def compact(spark: SparkSession, path: str, days: Sequence[dt.date | str]) -> None:
+    """Write the files of these days anew, few and sorted by time and user; the rows stay as they are.
+
+    The rows are first copied to the shared folder, so that a failure leaves the table readable.
+    """
+    chosen = read_events(spark, path).filter(F.col("event_date").isin([dates.day(d) for d in days]))
+    copy = materialize(chosen, "compact")
+    copy.hint("rebalance", F.col("event_date")).sortWithinPartitions(
+        "event_date", "timestamp", "user_id").write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+
+
 def _cutoff(as_of: dt.datetime | dt.date | str, keep_days: int):
     return dates.instant(as_of) - F.expr(f"interval {int(keep_days)} days")
 

@@ -30,7 +30,7 @@ ERROR_OF_STATUS = {
     429: "RateLimitError", 401: "AuthenticationError", 400: "InvalidRequestError",
     500: "InternalServerError", 504: "TimeoutError", 503: "APIError",
 }
-FIRST_DAY = "2024-01-01"
+TIER_OF_PRIORITY = {"1-URGENT": "enterprise", "2-HIGH": "pro"}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,7 +44,7 @@ def _case(value: str, mapping: dict, otherwise: str) -> str:
 
 
 def event_columns(events: DataFrame) -> DataFrame:
-    """Usage columns that follow from the event alone; thins out activity by user."""
+    """Usage columns that follow from the event alone; every event has a row."""
     in_order = dict(enumerate(ENDPOINT_OF_TYPE.values()))
     endpoint = _case("event_type", ENDPOINT_OF_TYPE, _case("k % 4", in_order, "NULL"))
     status = _case("k % 6", dict(enumerate(STATUS_OF_ERROR)), "NULL")
@@ -52,11 +52,9 @@ def event_columns(events: DataFrame) -> DataFrame:
         "event_id", "user_id", "event_type", "value",
         "cast(ts AS timestamp) AS timestamp",
         "cast(ts AS date) AS event_date",
-        f"datediff(cast(ts AS date), DATE'{FIRST_DAY}') AS dayno",
         "cast(get_json_object(props, '$.k') AS int) AS k",
         "CASE WHEN user_id % 4 = 0 THEN cast(3 + (7 * user_id) % 25 AS int) END AS churn_day",
-        "CASE WHEN user_id % 3 = 0 THEN (5 * user_id) % 20 ELSE 0 END AS start_day",
-    ).filter("dayno >= start_day AND (churn_day IS NULL OR dayno < churn_day)")
+    )
     rows = rows.selectExpr(
         "*", f"CASE WHEN event_type = 'error' THEN {status} ELSE 200 END AS status_code")
     return rows.selectExpr(
@@ -80,6 +78,36 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_columns(table(spark, sf_dir, "events"))
 
 
+def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged usage events made of all orders, for what is asked of users over years.
+
+    Customers stop ordering by themselves, and their tier follows the order, so it changes.
+    """
+    orders = table(spark, sf_dir, "orders")
+    endpoint = _case("o_orderkey % 4", dict(enumerate(ENDPOINT_OF_TYPE.values())), "NULL")
+    status = _case("o_orderkey % 6", dict(enumerate(STATUS_OF_ERROR)), "NULL")
+    rows = orders.selectExpr(
+        "o_orderkey AS event_id", "o_custkey AS user_id",
+        "cast(o_orderdate AS timestamp) AS timestamp", "cast(o_orderdate AS date) AS event_date",
+        f"{_case('o_orderpriority', TIER_OF_PRIORITY, repr('free'))} AS user_tier",
+        f"{endpoint} AS endpoint",
+        "cast(o_totalprice / 100 AS int) AS input_tokens",
+        "cast(o_totalprice / 200 AS int) AS output_tokens",
+        "o_totalprice / 1000 AS latency_ms",
+        f"CASE WHEN o_orderstatus = 'F' AND o_orderkey % 5 = 0 THEN {status} ELSE 200 END AS status_code",
+        "CASE WHEN o_custkey % 4 = 0 THEN cast(30 + (70 * o_custkey) % 250 AS int) END AS churn_day",
+    )
+    return rows.selectExpr(
+        "*", "status_code >= 400 AS is_error", "input_tokens + output_tokens AS total_tokens")
+
+
+def order_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The user-day rollup of the orders, with the region of each user."""
+    rollup = user_days(order_events(spark, sf_dir), ("event_date", "user_id", "user_tier"))
+    places = users(spark, sf_dir).select("user_id", "region").dropDuplicates(["user_id"])
+    return rollup.join(places, "user_id", "left")
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tier and region per user."""
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))

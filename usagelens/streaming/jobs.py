@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from usagelens.functions.numeric import ratio
 from usagelens.schema import RAW_SCHEMA, conform
-from usagelens.sources.events_table import insert_new
+from usagelens.session import materialize, path_exists
+from usagelens.sources.events_table import insert_new, new_rows
 
 
 def ingest_stream(
@@ -32,51 +33,79 @@ def ingest_stream(
     def insert(batch: DataFrame, batch_id: int) -> None:
         insert_new(conform(batch, strict, keep=arrival), sink, order, prune_by_date)
 
-    return (
-        stream.writeStream.foreachBatch(insert)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return _drain(stream, insert, checkpoint)
 
 
 def dedup_stream(
-    stream: DataFrame, key: str = "event_id", ts: str = "timestamp", delay: str = "1 hour"
-) -> DataFrame:
-    """Drop repeated ids that arrive within ``delay`` of each other; the state is bounded."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    stream: DataFrame, sink: str, checkpoint: str, key: str = "event_id",
+    order: Sequence[str] = ("timestamp",),
+) -> StreamingQuery:
+    """Drain a stream of any schema into a table that has each id once, and stop.
+
+    The stored ids are the state, so an event counts however late it comes and whatever lies
+    between two copies; nothing is dropped for being behind a watermark.
+    """
+
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        stored = (spark.read.schema(batch.schema).parquet(sink) if path_exists(spark, sink)
+                  else spark.createDataFrame([], batch.schema))
+        fresh = materialize(new_rows(batch, stored, order, key), "dedup")
+        fresh.write.mode("append").parquet(sink)
+
+    return _drain(stream, insert, checkpoint)
+
+
+def window_metrics(events: DataFrame, every: str, keys: Sequence[str] = (), ts: str = "timestamp") -> DataFrame:
+    """Traffic, errors, latency, tokens and users per tumbling window."""
+    return events.groupBy(F.window(ts, every), *keys).agg(
+        F.count(F.lit(1)).alias("requests"),
+        F.count_if("is_error").alias("error_count"),
+        ratio(F.count_if("is_error"), F.count(F.lit(1))).alias("error_rate"),
+        F.avg("latency_ms").alias("avg_latency"),
+        F.sum("total_tokens").alias("tokens"),
+        F.countDistinct("user_id").alias("users"),
+    ).select(
+        F.to_date("window.start").alias("window_date"),
+        F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+        *keys, "requests", "error_count", "error_rate", "avg_latency", "tokens", "users",
+    )
 
 
 def live_metrics(
-    stream: DataFrame, every: str = "1 hour", delay: str = "1 hour", keys: Sequence[str] = (),
-    ts: str = "timestamp",
-) -> DataFrame:
-    """Traffic, errors, latency, tokens and approximate users per tumbling window.
+    stream: DataFrame, events: str, sink: str, checkpoint: str, every: str = "1 hour",
+    keys: Sequence[str] = (),
+) -> StreamingQuery:
+    """Keep :func:`window_metrics` of a stream of staged events up to date, and stop when drained.
 
-    In append mode a window is given out once the watermark has passed its end.
+    ``every`` divides a day. A batch's new events are added to the table ``events``, by day; then
+    the windows of the days it touches are computed again from that table and replace those in
+    ``sink``. So late events change the windows they belong to, none is lost, and a batch that is
+    delivered again changes nothing.
     """
-    return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, every), *keys)
-        .agg(
-            F.count(F.lit(1)).alias("requests"),
-            F.count_if("is_error").alias("error_count"),
-            ratio(F.count_if("is_error"), F.count(F.lit(1))).alias("error_rate"),
-            F.avg("latency_ms").alias("avg_latency"),
-            F.sum("total_tokens").alias("tokens"),
-            F.approx_count_distinct("user_id").alias("approx_users"),
-        )
-        .select(
-            F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-            *keys, "requests", "error_count", "error_rate", "avg_latency", "tokens", "approx_users",
-        )
-    )
 
-
-def drain_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Write a stream to Parquet files until its source is drained."""
+    def refresh(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch = materialize(batch.withColumn("event_date", F.to_date("timestamp")), "live")
+        days = [r[0] for r in batch.select("event_date").distinct().collect()]
+        if not days:
+            return
+        touched = F.col("event_date").isin(days)
+        if path_exists(spark, events):
+            stored = spark.read.schema(batch.schema).parquet(events)
+            batch = materialize(new_rows(batch, stored), "live-new")
+        batch.hint("rebalance", "event_date").write.mode("append").partitionBy("event_date").parquet(events)
+        rows = spark.read.schema(batch.schema).parquet(events).filter(touched)
+        window_metrics(rows, every, keys).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("window_date").parquet(sink)
+
+    return _drain(stream, refresh, checkpoint)
+
+
+def _drain(stream: DataFrame, each, checkpoint: str) -> StreamingQuery:
     return (
-        stream.writeStream.format("parquet").outputMode(mode)
-        .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
     )
