@@ -18,7 +18,7 @@ from typing import NamedTuple
 import numpy as np
 from pyspark.sql import DataFrame
 
-from usagelens.llm.common import map_texts, text_bytes
+from usagelens.llm.common import map_texts, spread, text_bytes
 
 NO_RANK = np.iinfo(np.int64).max
 #: White space in the sense of Unicode without the line feed, which separates words here.
@@ -158,12 +158,6 @@ def merge_words(words: list[bytes], vocabulary: Vocabulary, budget: int = 1 << 2
     return flat, sizes
 
 
-def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """The places of runs with these starts and sizes, one after another."""
-    ends = np.cumsum(sizes)
-    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
-
-
 def category_ranges(letter: str) -> str:
     """The code points of a general category, as ranges of a character class."""
     codes = np.array([i for i in range(0x110000) if unicodedata.category(chr(i))[0] == letter])

@@ -1,9 +1,11 @@
 """Benchmark decontamination: BM25 over an inverted index of test items with block-max WAND.
 
 Every passage of every document is a query. Impacts are divided by what an item needs to be retrieved,
-a share of its score against itself, so that one threshold, 1, holds for all items. WAND's first test,
-that the greatest impacts of a passage's terms reach the threshold at all, is made for all passages
-of a batch at once with prefix sums; passages that pass it walk the posting lists.
+a share of its score against itself, so that one threshold, 1, holds for all items. A first test, that a
+passage can reach the threshold for some item at all, is made for all passages of a batch at once. The
+most common terms are set aside for as long as no item gets more than ``COMMON_SHARE`` of the threshold
+from them; the impacts of the rare ones are added up for each passage and item. A passage without the
+rest of the threshold in rare terms cannot reach it. Passages that pass walk the posting lists.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import WordTable, map_texts, text_bytes
+from usagelens.llm.common import WordTable, map_texts, spread, text_bytes
 
 EDGES = b".,;:!?\"'()[]{}<>*#%&$|"
 
@@ -28,6 +30,10 @@ def normal_words(text: str | None) -> list[bytes]:
     return [w for w in (x.strip(EDGES) for x in text_bytes(text).lower().split()) if w]
 
 
+#: Part of the threshold that an item's common terms may make up.
+COMMON_SHARE = 0.6
+
+
 class Item(NamedTuple):
     """A test item: its words up to the last sentence, and the words of the last sentence. An item
     of one sentence takes its last quarter as the answer."""
@@ -56,7 +62,7 @@ class Index:
     must reach. Items without a word are in no list.
     """
 
-    def __init__(self, items: dict[int, str], share: float = 0.5, k1: float = 1.2, b: float = 0.75,
+    def __init__(self, items: dict[int, str], share: float = 0.7, k1: float = 1.2, b: float = 0.75,
                  block: int = 64) -> None:
         self.block = block
         self.ids = sorted(i for i, text in items.items() if normal_words(text))
@@ -77,6 +83,26 @@ class Index:
         self.blocks = {t: [max(x for _, x in p[i:i + block]) for i in range(0, len(p), block)]
                        for t, p in self.postings.items()}
 
+        self._set_rare()
+
+    def _set_rare(self) -> None:
+        """The rare terms, their postings in one array each for items and impacts, and what each
+        item needs from them."""
+        common = [0.0] * len(self.ids)
+        self.rare: list[bytes] = []
+        for t, posting in sorted(self.postings.items(), key=lambda p: (-len(p[1]), p[0])):
+            if all(common[n] + x <= COMMON_SHARE for n, x in posting):
+                for n, x in posting:
+                    common[n] += x
+            else:
+                self.rare.append(t)
+        lists = [self.postings[t] for t in self.rare]
+        self.sizes = np.array([0, *map(len, lists)], np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.items = np.array([n for p in lists for n, _ in p], np.int64)
+        self.impacts = np.array([x for p in lists for _, x in p], np.float64)
+        self.needs = 1 - np.array(common)
+
     def search(self, terms: set[bytes]) -> list[tuple[int, float]]:
         """All items (number, score) whose score for ``terms`` is at least 1, by block-max WAND."""
         found = []
@@ -125,19 +151,10 @@ class Index:
             cursors = moved + cursors[pivot + 1:]
         return found
 
-    def bounds(self) -> WordTable:
-        """For each raw word a number of its term, 0 if no item has it, and its greatest impact."""
-        numbers = {t: n for n, t in enumerate(self.postings, 1)}
-
-        def compute(words: list[bytes]) -> np.ndarray:
-            out = np.zeros(len(words), [("term", np.int64), ("most", np.float64)])
-            for i, w in enumerate(words):
-                term = w.lower().strip(EDGES)
-                if number := numbers.get(term):
-                    out[i] = number, self.most[term]
-            return out
-
-        return WordTable(compute)
+    def rare_terms(self) -> WordTable:
+        """For each raw word the number of its term, 0 if it is no rare one."""
+        numbers = {t: n for n, t in enumerate(self.rare, 1)}
+        return WordTable(lambda words: np.array([numbers.get(w.lower().strip(EDGES), 0) for w in words], np.int64))
 
 
 def overlap(item: Item, passage: list[bytes]) -> tuple[float, float]:
@@ -166,25 +183,36 @@ def document_leaks(text: str | None, passages: list[int], width: int, index: Ind
     return out
 
 
-def candidate_passages(rows: np.ndarray, width: int, stride: int) -> list[int]:
-    """Starts of the passages of a text whose terms can reach the threshold; a term counts once in
-    each half of a passage, so the sum is never too low."""
-    size = len(rows)
-    if rows["most"].sum() < 1 - 1e-6:
-        return []
-    most = np.where(rows["term"] > 0, rows["most"], 0.0)
-    # The first of equal terms within a stride counts.
-    key = rows["term"] + (np.arange(size) // stride) * (rows["term"].max() + 1)
-    once = np.zeros(size)
-    _, firsts = np.unique(key, return_index=True)
-    once[firsts] = most[firsts]
-    total = np.concatenate([[0.0], np.cumsum(once)])
-    starts = np.arange(0, max(1, size - stride), stride)
-    return starts[total[np.minimum(starts + width, size)] - total[starts] >= 1 - 1e-6].tolist()
+def candidate_passages(terms: np.ndarray, sizes: np.ndarray, stride: int, index: Index) -> list[list[int]]:
+    """For each text the starts of the passages, two strides long, that some item can be found in.
+
+    ``terms``: rare terms of the words of all texts, ``sizes``: the words of each. A term counts once
+    in each stride, so the sum of a passage is never too low.
+    """
+    strides = -(-sizes // stride)
+    first = np.cumsum(strides) - strides
+    at = np.flatnonzero(terms)
+    text = np.repeat(np.arange(len(sizes)), sizes)[at]
+    window = first[text] + (at - (np.cumsum(sizes) - sizes)[text]) // stride
+    window, term = np.divmod(np.unique(window * len(index.sizes) + terms[at]), len(index.sizes))
+    places = spread(index.starts[term], index.sizes[term])
+    window = np.repeat(window, index.sizes[term])
+    item, impact = index.items[places], index.impacts[places]
+    # A stride belongs to the passage that starts with it and to the one before, in the same text.
+    also = ~np.isin(window, first)
+    passage = np.concatenate([window, window[also] - 1])
+    key, inverse = np.unique(passage * len(index.needs) + np.concatenate([item, item[also]]), return_inverse=True)
+    total = np.bincount(inverse, np.concatenate([impact, impact[also]]), len(key))
+    passage, item = np.divmod(key, len(index.needs))
+    out: list[list[int]] = [[] for _ in sizes]
+    for p in np.unique(passage[total >= index.needs[item] - 1e-6]).tolist():
+        owner = int(np.searchsorted(first, p, side="right")) - 1
+        out[owner].append((p - int(first[owner])) * stride)
+    return out
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
-               item_key: str = "item_id", item_text: str = "text", share: float = 0.5,
+               item_key: str = "item_id", item_text: str = "text", share: float = 0.7,
                least_overlap: float = 0.8, shard_items: int = 20_000) -> DataFrame:
     """(key, item_key, score, question_overlap, answer_overlap): the test items in each document.
 
@@ -208,16 +236,14 @@ def find_leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str
 
         def start(shared=shared) -> Callable[[list[str | None]], list]:
             index, names = shared.value
-            table, stride = index.bounds(), max(64, index.longest)
+            table, stride = index.rare_terms(), max(64, index.longest)
 
             def make(texts: list[str | None]) -> list:
                 split = [text_bytes(t).split() for t in texts]
-                rows = table.lookup([w for ws in split for w in ws])
-                at, out = 0, []
-                for text, words in zip(texts, split, strict=True):
-                    own = rows[at:at + len(words)]
-                    at += len(words)
-                    starts = candidate_passages(own, 2 * stride, stride)
+                sizes = np.fromiter(map(len, split), np.int64, len(split))
+                found = candidate_passages(table.lookup([w for ws in split for w in ws]), sizes, stride, index)
+                out = []
+                for text, starts in zip(texts, found, strict=True):
                     leaks = document_leaks(text, starts, 2 * stride, index, least_overlap) if starts else {}
                     out.append([{item_key: names[n], "score": s, "question_overlap": q, "answer_overlap": a}
                                 for n, (s, q, a) in leaks.items()])
