@@ -97,19 +97,18 @@ def document_features(text: str | None, shape: Features) -> tuple[np.ndarray, np
     return place.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
-def sample_features(labelled: DataFrame, text: str, label: str, per_class: int, shape: Features) -> pd.DataFrame:
-    """Features of at most ``per_class`` documents of each label, those of lowest hash."""
-    parts = [labelled.where(F.col(label) == value).orderBy(F.xxhash64("sample_key"), "sample_key").limit(per_class)
-             for value in (0, 1)]
+def sample_features(docs: DataFrame, chosen: DataFrame, text: str, shape: Features) -> pd.DataFrame:
+    """Features of the documents in ``chosen`` (sample_key, sample_label), one for each key."""
 
     def make(texts: list[str | None]) -> list:
         rows = [document_features(t, shape) for t in texts]
         return [[place.tobytes() for place, _ in rows], [share.tobytes() for _, share in rows]]
 
-    # Packed, so that the driver gets eight bytes for each bucket of a document.
-    sample = map_texts(parts[0].union(parts[1]).select("sample_key", text, label), text,
-                       "place binary, share binary", lambda: make)
-    return sample.select(F.col(label).alias("label"), "place", "share").toPandas()
+    # The chosen keys are bounded, so they go to the documents. Features come packed, so the driver
+    # gets eight bytes for each bucket of a document.
+    sample = docs.join(F.broadcast(chosen), "sample_key").dropDuplicates(["sample_key"])
+    return map_texts(sample, text, "place binary, share binary", lambda: make).select(
+        F.col("sample_label").alias("label"), "place", "share").toPandas()
 
 
 def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12, rate: float = 0.5,
@@ -150,15 +149,18 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
           label: str = "quality", per_class: int = 1_500, shape: Features = Features()) -> Model:
     """Learn from documents that ``labels`` (key, label 0 or 1) covers.
 
-    At most ``per_class`` documents of each label are used; the bound keeps the fit on one machine.
+    At most ``per_class`` documents of each label are used, those of lowest hash; the bound keeps the
+    fit on one machine and the chosen keys small enough to broadcast.
     A key labelled twice counts once, with its lower label; null labels and keys are ignored. With
     no document of one class the model is undecided: every score is one half.
     """
     once = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
-            .groupBy(key).agg(F.min(label).cast("int").alias("sample_label")))
-    labelled = docs.select(F.col(key), F.col(text)).join(once, key).withColumnsRenamed(
-        {key: "sample_key"}).dropDuplicates(["sample_key"])
-    return fit(sample_features(labelled, text, "sample_label", per_class, shape), shape)
+            .groupBy(F.col(key).alias("sample_key")).agg(F.min(label).cast("int").alias("sample_label")))
+    keyed = docs.select(F.col(key).alias("sample_key"), F.col(text))
+    there = once.join(keyed.select("sample_key"), "sample_key", "left_semi")
+    chosen = [there.where(F.col("sample_label") == value)
+              .orderBy(F.xxhash64("sample_key"), "sample_key").limit(per_class) for value in (0, 1)]
+    return fit(sample_features(keyed, chosen[0].union(chosen[1]), text, shape), shape)
 
 
 def score_texts(texts: list[str | None], model: Model, table: WordTable) -> np.ndarray:
