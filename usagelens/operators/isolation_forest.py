@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,12 +44,13 @@ def draw_subsamples(
     """
     rate = min(1.0, (size + 10.0 * math.sqrt(size)) / max(n, 1))
     span = 1 << 40
-    draw = F.pmod(F.xxhash64(F.col(key), F.col("tree"), F.lit(seed)), F.lit(span))
-    drawn = (
-        df.select(key, *features, F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-        .withColumn("draw", draw)
-        .filter(F.col("draw") < int(rate * span))
-    )
+
+    def draw(tree: Column) -> Column:
+        return F.pmod(F.xxhash64(F.col(key), tree, F.lit(seed)), F.lit(span))
+
+    # A row's trees are chosen inside the row, so only chosen pairs become rows.
+    joined = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda tree: draw(tree) < int(rate * span))
+    drawn = df.select(key, *features, F.explode(joined).alias("tree")).withColumn("draw", draw(F.col("tree")))
     order = W.partitionBy("tree").orderBy("draw", key)
     return drawn.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= size)
 

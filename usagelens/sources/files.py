@@ -5,18 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+
 def read_sql(spark: SparkSession, query: str, **params) -> DataFrame:
     """Result of a query with named parameters (``:name``), bound and not pasted in."""
     return spark.sql(query, args=params or None)
 
 
 def read_jdbc(
-    spark: SparkSession, url: str, table: str, partition: tuple[str, str, str, int] | None = None,
-    **options,
+    spark: SparkSession, url: str, table: str, partition: tuple[str, str, str, int] | None, **options,
 ) -> DataFrame:
     """Table or ``(query) alias`` over JDBC.
 
-    ``partition`` is (column, lower, upper, parts); without it one task reads everything.
+    ``partition`` is (column, lower, upper, parts) and has to be said; with None one task reads
+    everything, right only for small tables.
     """
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table).options(**options)
     if partition:

@@ -43,8 +43,9 @@ def read_events(
 
     The columns ``arrived_at, partition, offset`` order the messages for first-writer-wins.
     """
-    reader = (spark.readStream.format("kafka").options(**options)
-              .option("subscribe", topic).option("startingOffsets", "earliest"))
+    # The caller's options come last, so they may choose another start.
+    reader = (spark.readStream.format("kafka").option("subscribe", topic)
+              .option("startingOffsets", "earliest").options(**options))
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     return received(reader.load(), bad)
