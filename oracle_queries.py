@@ -504,7 +504,7 @@ _orders("kaplan_meier", _survival("churned"))
 _orders("kaplan_meier_inverted", _survival("1 - churned"))
 
 
-def _did(name: str, table: str, y: str) -> str:
+def _did(name: str, table: str, y: str, line: bool = False) -> str:
     cells = {"treated_pre": "treated AND NOT post", "treated_post": "treated AND post",
              "control_pre": "NOT treated AND NOT post", "control_post": "NOT treated AND post"}
     agg = ", ".join(
@@ -512,20 +512,39 @@ def _did(name: str, table: str, y: str) -> str:
         f"VAR_SAMP(y) FILTER (WHERE {w}) AS {c}_var" for c, w in cells.items())
     did = "(treated_post_mean - treated_pre_mean) - (control_post_mean - control_pre_mean)"
     se = "SQRT(" + " + ".join(f"{c}_var / {c}_n" for c in cells) + ")"
-    return f"""SELECT '{name}' AS outcome, {", ".join(f"{c}_n" for c in cells)},
+    if line:
+        shown = f"""printf('- **%s**: treated %.4f -> %.4f, control %.4f -> %.4f, effect %+.4f (se %.4f, t %.2f)',
+    '{name}', treated_pre_mean, treated_post_mean, control_pre_mean, control_post_mean, {did}, {se}, ({did}) / {se}) AS line"""
+    else:
+        shown = f"""'{name}' AS outcome, {", ".join(f"{c}_n" for c in cells)},
        {", ".join(f"{_round(f'{c}_mean', 6)} AS {c}_mean" for c in cells)},
-       {_round(did, 6)} AS did, {_round(se, 6)} AS se, {_round(f"({did}) / {se}", 6)} AS t_stat
+       {_round(did, 6)} AS did, {_round(se, 6)} AS se, {_round(f"({did}) / {se}", 6)} AS t_stat"""
+    return f"""SELECT {shown}
 FROM (SELECT {agg} FROM (
     SELECT CAST({y} AS DOUBLE) AS y, user_tier = 'enterprise' AND region = 'AMERICA' AS treated,
            event_date >= DATE '1998-06-01' AS post
     FROM {table} WHERE user_tier = 'enterprise' OR region = 'AMERICA'))"""
 
 
-_orders("diff_in_diff", f"""{_VISITS}, ud AS (
+def _rollout(line: bool) -> str:
+    return f"""{_VISITS}, ud AS (
 SELECT event_date, user_id, user_tier, region, SUM(total_tokens) AS total_tokens FROM usage GROUP BY ALL)
-{_did("retained", "ret", "retained")}
+{_did("retained", "ret", "retained", line)}
 UNION ALL
-{_did("tokens_per_user_day", "ud", "total_tokens")}""")
+{_did("tokens_per_user_day", "ud", "total_tokens", line)}"""
+
+
+_orders("diff_in_diff", _rollout(False))
+_orders("rollout_report", _rollout(True))
+
+_orders("model_metrics", f"""{_ACTIVITY}, pos AS (SELECT days_since_last AS s FROM cf WHERE churned = 1),
+neg AS (SELECT days_since_last AS s FROM cf WHERE churned = 0)
+SELECT 'accuracy' AS metric,
+       {_round("AVG(CASE WHEN (days_since_last > 150) = (churned = 1) THEN 1.0 ELSE 0.0 END)", 6)} AS value
+FROM cf
+UNION ALL
+SELECT 'roc_auc', {_round("AVG(CASE WHEN pos.s > neg.s THEN 1.0 WHEN pos.s = neg.s THEN 0.5 ELSE 0.0 END)", 6)}
+FROM pos CROSS JOIN neg""")
 
 _usage("streaming_metrics", f"""
 , w AS (SELECT *, date_trunc('hour', "timestamp") AS window_start FROM usage)

@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 from usagelens.functions.numeric import half_up
 from usagelens.functions.wire import decode_events, encode_event, rejected
 from usagelens.operators import cohorts, filters, gaps, quality, splits, users
+from usagelens.operators.churn import evaluate
 from usagelens.operators.keyed import latest_per_key
 from usagelens.plans import marts, reports, training
 from usagelens.schema import WIRE_SCHEMA, conform, stage
@@ -482,6 +483,16 @@ def churn_model(spark, sf_dir):
     return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).metrics()
 
 
+@query
+def model_metrics(spark, sf_dir):
+    # The metrics of a score that is a formula of the data: the days since the last activity.
+    rows = users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF)
+    away = F.col("days_since_last")
+    scored = rows.select(F.col("churned").cast("double").alias("churned"), away.cast("double").alias("rawPrediction"),
+                         (away > 150).cast("double").alias("prediction"))
+    return _rounded(evaluate(materialize(scored, "scored"), "churned"))
+
+
 @query
 def churn_importances(spark, sf_dir):
     return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).importances()
