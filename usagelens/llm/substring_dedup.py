@@ -218,11 +218,13 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
 
         anchors = materialize(
             map_texts(source, "text", "anchors array<struct<key: long, at: int>>", start_anchors, ("runs",))
-            .drop("text", "runs").where(F.size("anchors") > 0).withColumn("anchors", F.col("anchors")), "anchors")
+            .drop("text", "runs").where(F.size("anchors") > 0), "anchors")
         places = anchors.select("id", "mark", F.inline("anchors"))
         large = F.lit(False) if at_end else F.col("n") > group_rows
-        common = (places.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
-                  .where("low < high").select("key", large.alias("large")))
+        # Stored, so that the join has a plain exchange on both sides and a very common key can be split.
+        common = materialize(
+            places.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
+            .where("low < high").select("key", large.alias("large")), "shared-keys")
         marks = places.join(common, "key").groupBy("id", "mark").agg(
             F.collect_list(F.struct("at", "large")).alias("shared"))
 
