@@ -40,6 +40,12 @@ def test_metrics_of_an_empty_table(sample):
     assert reports.errors_top(empty).count() == 0
 
 
+def test_events_with_a_count_of_their_own_are_events(sample):
+    counted = sample.withColumn("request_count", F.lit(100))
+    assert reports.dau(counted).collect() == reports.dau(sample).collect()
+    assert reports.user_tiers(counted).collect() == reports.user_tiers(sample).collect()
+
+
 def test_narrative(sample):
     text = reports.narrative(sample).first()["narrative"]
     assert text == (

@@ -14,8 +14,15 @@ from usagelens.functions.numeric import ratio
 ROLLUP_KEYS = ("event_date", "user_id", "user_tier", "region")
 
 
+# What :func:`user_days` adds and staged events do not have.
+ROLLUP_COLUMNS = frozenset({
+    "request_count", "error_count", "latency_total", "latency_count", "last_timestamp"})
+
+
 def is_rollup(df: DataFrame) -> bool:
-    return "request_count" in df.columns
+    """Is this the rollup? It has all of its columns; events with a ``request_count`` of their own
+    are still events."""
+    return ROLLUP_COLUMNS <= set(df.columns)
 
 
 def user_days(df: DataFrame, keys: tuple[str, ...] = ROLLUP_KEYS) -> DataFrame:
