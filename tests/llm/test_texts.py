@@ -238,7 +238,8 @@ def test_automata_find_the_same_format_elsewhere(spark):
     assert hit >= 36
     assert not any(s["kind"] == "format" for t in rows[:200] + rows[240:] for s in got[t][0])
     clean = by_text(secrets.redact(docs, automata), "doc_id")
-    assert "[SECRET]" in clean and sum("please use [SECRET] for now" == t for t in clean) == 1
+    assert '[SECRET]"' in clean and "please use [SECRET] for now" in clean
+    assert not any("api_key" in t for t in clean)
 
 
 def test_an_automaton_is_a_distribution():

@@ -258,6 +258,8 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text."""
+        if not texts:
+            return []
         if len(self.words) > self.limit:
             self.clear()
         split = [text_bytes(t).split() for t in texts]
