@@ -67,15 +67,15 @@ def grams(text: Column, order: int, shortest: int = 1) -> Column:
 
 
 def train(labelled: DataFrame, order: int = 4, weight: float = 4.0, min_count: int = 3,
-          max_grams: int = 100_000) -> DataFrame:
-    """Substring weights (gram, weight) from ``labelled`` (key, accepted, n).
-
-    All rows count. A substring seen fewer than ``min_count`` times is left to the order below; the
-    bound rises, in steps of an eighth of a power of two, until at most ``max_grams`` are left, so
-    the table can always be broadcast. With p_o(c | ctx) = (n(ctx c) + weight * p_{o-1}) /
-    (n(ctx) + weight) in each model, a substring's weight is its change of log p_accepted -
-    log p_rejected against the order below; a context's weight is that of a character never seen
-    after it.
+          max_grams: int | None = None) -> DataFrame:
+    """Substrings with weights and counts (gram, weight, n) from ``labelled`` (key, accepted, n).
+
+    All rows count. A substring seen fewer than ``min_count`` times is left to the order below, and
+    so is a context; contexts are counted before. With ``max_grams`` the bound rises, in steps of an
+    eighth of a power of two, until at most so many are left; without it the model grows with the
+    URLs. With p_o(c | ctx) = (n(ctx c) + weight * p_{o-1}) / (n(ctx) + weight) in each model, a
+    substring's weight is its change of log p_accepted - log p_rejected against the order below; a
+    context's weight is that of a character never seen after it.
     """
     spark = labelled.sparkSession
     side = lambda flag: F.sum(F.when(F.col("accepted") == flag, F.col("n")).otherwise(0))
@@ -83,12 +83,15 @@ def train(labelled: DataFrame, order: int = 4, weight: float = 4.0, min_count: i
                .groupBy("gram").agg(side(True).alias("a"), side(False).alias("r")))
     counted = materialize(counted.withColumn("level", F.length("gram")), "url-grams")
     counted = counted.withColumn("both", F.col("a") + F.col("r"))
-    if (floor := count_floor(counted, "both", max_grams)) is None:
-        return spark.createDataFrame([], "gram string, weight double")
-    counted = counted.where(F.col("both") >= max(floor, min_count))
+    least = min_count
+    if max_grams is not None:
+        if (floor := count_floor(counted, "both", max_grams)) is None:
+            return spark.createDataFrame([], "gram string, weight double, n long")
+        least = max(floor, min_count)
     context = F.expr("substring(gram, 1, level - 1)")
-    contexts = counted.groupBy(context.alias("context")).agg(
-        F.sum("a").alias("ca"), F.sum("r").alias("cr"))
+    contexts = materialize(counted.groupBy(context.alias("context")).agg(
+        F.sum("a").alias("ca"), F.sum("r").alias("cr")).where(F.col("ca") + F.col("cr") >= least), "url-contexts")
+    counted = counted.where(F.col("both") >= least)
     below, levels, base = None, [], 1.0 / 256
     for level in range(1, order + 1):
         rows = counted.where(F.col("level") == level).withColumns({
@@ -100,29 +103,42 @@ def train(labelled: DataFrame, order: int = 4, weight: float = 4.0, min_count: i
                 F.col("gram").alias("suffix"), F.col("pa").alias("qa"), F.col("pr").alias("qr")), "suffix")
         p = lambda n, c, q: (F.col(n) + weight * F.col(q)) / (F.col(c) + weight)
         below = materialize(rows.withColumns({"pa": p("a", "ca", "qa"), "pr": p("r", "cr", "qr")})
-                            .select("gram", "ca", "cr", "pa", "pr", "qa", "qr"), "url-level")
+                            .select("gram", "both", "ca", "cr", "pa", "pr", "qa", "qr"), "url-level")
         levels.append(below)
     every = levels[0]
     for level in levels[1:]:
         every = every.union(level)
     unseen = lambda a, r: F.log(F.col(r) + weight) - F.log(F.col(a) + weight)
     seen = every.select("gram", (F.log(F.col("pa") / F.col("qa")) - F.log(F.col("pr") / F.col("qr"))
-                                 - unseen("ca", "cr")).alias("w"))
-    after = contexts.select(F.col("context").alias("gram"), unseen("ca", "cr").alias("w"))
+                                 - unseen("ca", "cr")).alias("w"), F.col("both").alias("n"))
+    after = contexts.select(F.col("context").alias("gram"), unseen("ca", "cr").alias("w"),
+                            (F.col("ca") + F.col("cr")).alias("n"))
     return materialize(seen.union(after).groupBy("gram")
-                       .agg(F.sum("w").alias("weight")), "url-model")
+                       .agg(F.sum("w").alias("weight"), F.max("n").alias("n")), "url-model")
 
 
-def score(keys: DataFrame, model: DataFrame, order: int = 4) -> DataFrame:
+def score(keys: DataFrame, model: DataFrame, order: int = 4, most_broadcast: int = 100_000) -> DataFrame:
     """``keys`` (key: distinct) with ``score``, the difference of log-likelihoods per character.
 
-    The model is broadcast: :func:`train` bounds its rows. A key without a known substring has 0.
+    At most ``most_broadcast`` of the model's most frequent substrings are broadcast; the distinct
+    substrings of a key that are not among them meet the rest of the model through a shuffle. A key
+    without a known substring has 0.
     """
+    floor = count_floor(model, "n", most_broadcast)
+    often = F.lit(False) if floor is None else F.col("n") >= floor
+    frequent, rest = (model.where(c).select("gram", "weight") for c in (often, ~often))
     # The empty substring at each place stands for the context that is always there.
     parts = keys.select("key", F.explode(grams(F.col("key"), order, 0)).alias("gram"))
-    return (parts.join(F.broadcast(model), "gram", "left").groupBy("key")
-            .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total"))
-            .select("key", (F.col("total") / (F.length("key") + 1)).alias("score")))
+    totals = (parts.join(F.broadcast(frequent), "gram", "left").groupBy("key")
+              .agg(F.coalesce(F.sum("weight"), F.lit(0.0)).alias("total")))
+    if not rest.isEmpty():
+        others = materialize(parts.join(F.broadcast(frequent), "gram", "left_anti")
+                             .groupBy("key", "gram").count(), "url-others")
+        # Written apart, so that adaptive execution can split a substring that very many keys have.
+        found = materialize(others.join(rest, "gram").select(
+            "key", (F.col("weight") * F.col("count")).alias("total")), "url-found")
+        totals = totals.union(found).groupBy("key").agg(F.sum("total").alias("total"))
+    return totals.select("key", (F.col("total") / (F.length("key") + 1)).alias("score"))
 
 
 def calibrate(scored: DataFrame, bins: int = 400, limit: float = 10.0) -> float:
