@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from usagelens.llm import bpe, decontaminate, quality_model, secrets, shingle_dedup
+from usagelens.llm import bpe, decontaminate, quality_model, secrets, simhash
 from usagelens.llm.common import table
 from usagelens.llm.queries import vocabulary_path
 from usagelens.session import materialize
@@ -22,9 +22,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document, that of the smallest id, of each group of near duplicates: five-word
-    shingles with a similarity of 0.8."""
-    return shingle_dedup.keep_one(docs)
+    """Keep one document, that of the smallest id, of each group of near duplicates: fingerprints of
+    three-word shingles that differ in two bits at most."""
+    return simhash.keep_one(docs, size=3, bits=2)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
