@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from usagelens.llm import (
     bpe,
+    conversations,
     decontaminate,
     licences,
     lm,
+    packing,
     quality_model,
     quality_rules,
     secrets,
     simhash,
+    spelling,
     substring_dedup,
     url_filter,
 )
@@ -45,10 +48,10 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                                     table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
-def vocabulary_path() -> str:
+def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op5_bpe_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,6 +106,25 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forms and roots of the words of all documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.counted_words(docs, typo_every=31).where("n >= 2"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all damaged conversations and the cheapest edits that repair them."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.figures(conversations.damage(rows), rows)
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place of every piece of every document in sequences of 1024 ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, vocabulary_path("byte_bpe_50k.json")).select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_license_scans": op1_license_scans,
     "op2_substring_dedup": op2_substring_dedup,
@@ -114,6 +136,9 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_url_filters": op10_url_filters,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_packing": op13_packing,
 }
 
 ORACLES: dict[str, str] = {}
