@@ -558,6 +558,6 @@ _usage("stream_dedup", 'SELECT event_id, "timestamp", user_id, endpoint FROM usa
 
 _usage("ingest_stream", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", event_date,
-       CAST(user_id AS VARCHAR) AS user_id, user_tier, endpoint, latency_ms, status_code,
-       error_type, region, will_churn
+       CAST(user_id AS VARCHAR) AS user_id, user_tier, endpoint, input_tokens, output_tokens,
+       latency_ms, status_code, error_type, region, will_churn
 FROM usage""")

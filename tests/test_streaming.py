@@ -99,7 +99,7 @@ def test_live_metrics_count_late_events(spark, tmp_path):
         jobs.live_metrics(stream, out["events"], out["windows"], out[checkpoint], every="10 minutes").awaitTermination()
         spark.catalog.clearCache()
         got = {r["window_start"].minute: (r["requests"], r["users"])
-               for r in spark.read.parquet(out["windows"]).collect()}
+               for r in jobs.read_live_metrics(spark, out["windows"]).collect()}
         assert got == {0: (5, 2), 10: (3, 2), 20: (1, 1), 40: (2, 2), 50: (3, 2)}
 
 
@@ -109,3 +109,63 @@ def test_dedup_keeps_late_events(spark, tmp_path):
     jobs.dedup_stream(stream, str(tmp_path / "out"), str(tmp_path / "ckpt")).awaitTermination()
     got = spark.read.schema(stream.schema).parquet(str(tmp_path / "out"))
     assert sorted(r["event_id"] for r in got.collect()) == list("abcdefghijklmn")
+
+
+def live(spark, tmp_path, checkpoint, **options):
+    stream = staged(read_events_stream(spark, "json", {"maxFilesPerTrigger": "1"}, str(tmp_path / "in")))
+    jobs.live_metrics(stream, str(tmp_path / "events"), str(tmp_path / "windows"), str(tmp_path / checkpoint),
+                      every="10 minutes", **options).awaitTermination()
+    spark.catalog.clearCache()
+
+
+def windows(spark, tmp_path, **options):
+    return {(r["window_start"].minute, r["user_id"] if "user_id" in r else None): (r["requests"], r["users"])
+            for r in jobs.read_live_metrics(spark, str(tmp_path / "windows"), **options).collect()}
+
+
+EXPECTED = {(0, None): (5, 2), (10, None): (3, 2), (20, None): (1, 1), (40, None): (2, 2), (50, None): (3, 2)}
+
+
+@pytest.mark.parametrize("lost", ["window_users", "window_parts"])
+def test_a_batch_that_fails_half_way_is_counted_once(spark, tmp_path, monkeypatch, lost):
+    publish_out_of_order(tmp_path)
+    whole, calls = getattr(jobs, lost), []
+
+    def fails_once(*args):
+        calls.append(1)
+        if len(calls) == 3:
+            raise OSError("executor lost")
+        return whole(*args)
+
+    monkeypatch.setattr(jobs, lost, fails_once)
+    with pytest.raises(Exception, match="executor lost"):
+        live(spark, tmp_path, "ckpt")
+    live(spark, tmp_path, "ckpt")
+    assert windows(spark, tmp_path) == windows(spark, tmp_path, approx=True) == EXPECTED
+
+
+def test_parts_are_merged_between_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "MERGED_PARTS", 2)
+    publish_out_of_order(tmp_path)
+    live(spark, tmp_path, "ckpt")
+    names = [p.name for p in (tmp_path / "windows").iterdir() if p.name.startswith("generation")]
+    assert len(names) == 1 and names != ["generation-00000000"]
+    assert len(list((tmp_path / "windows" / names[0] / "parts").iterdir())) <= 2
+    assert windows(spark, tmp_path) == windows(spark, tmp_path, approx=True) == EXPECTED
+    live(spark, tmp_path, "ckpt2")
+    assert windows(spark, tmp_path) == EXPECTED
+
+
+def test_keyed_windows(spark, tmp_path):
+    publish_out_of_order(tmp_path)
+    live(spark, tmp_path, "ckpt", keys=["user_id"])
+    found = windows(spark, tmp_path, keys=["user_id"])
+    assert found[0, "u0"] == (2, 1) and found[0, "u1"] == (3, 1) and sum(n for n, _ in found.values()) == 14
+
+
+def test_a_batch_reads_only_its_own_windows(spark, tmp_path, monkeypatch):
+    publish_out_of_order(tmp_path)
+    read = []
+    monkeypatch.setattr(jobs.KeyedTable, "read", lambda self: read.append(1))
+    live(spark, tmp_path, "ckpt")
+    assert not read and windows(spark, tmp_path) == EXPECTED

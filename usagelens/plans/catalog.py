@@ -17,11 +17,12 @@ from usagelens.functions.numeric import half_up
 from usagelens.functions.wire import decode_events, encode_event, rejected
 from usagelens.operators import cohorts, filters, gaps, quality, splits, users
 from usagelens.operators.churn import evaluate
-from usagelens.operators.keyed import latest_per_key
+from usagelens.operators.keyed import first_per_key, latest_per_key
 from usagelens.plans import marts, reports, training
 from usagelens.schema import WIRE_SCHEMA, conform, stage
 from usagelens.session import materialize, scratch_path
 from usagelens.sources import events_table, kafka, testtables
+from usagelens.sources.keyed_table import KeyedTable
 from usagelens.streaming import jobs
 
 # The day the events are looked at from.
@@ -312,13 +313,17 @@ def insert_new(spark, sf_dir):
     # The table holds the first half of the month. The batch overlaps it, and each of its
     # events comes twice: the later copy, with another latency, must lose.
     rows = events(spark, sf_dir).select("event_id", "timestamp", "user_id", "latency_ms")
-    table = rows.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
+    first = rows.filter(F.col("timestamp") < F.lit("2024-01-15").cast("timestamp"))
     batch = rows.filter(F.col("timestamp") >= F.lit("2024-01-10").cast("timestamp"))
     again = batch.withColumns({
         "timestamp": F.col("timestamp") + F.expr("interval 5 minutes"),
         "latency_ms": F.col("latency_ms") + 1,
     })
-    return events_table.new_rows(batch.unionByName(again), table)
+    table = KeyedTable(spark, scratch_path(spark, "keyed-table"), rows.schema, "event_id")
+    table.append(first)
+    table.append(first_per_key(batch.unionByName(again), "event_id", ["timestamp"]))
+    # What the table has besides its first half; an event that is in it twice would show.
+    return table.read().exceptAll(first)
 
 
 @query
@@ -501,12 +506,17 @@ def churn_importances(spark, sf_dir):
 # Streams, run until the events are used up; their output is read back as a table.
 
 
+EVENTS_OF_A_FILE = 1_000_000
+
+
 def _event_stream(spark, sf_dir, batches=3):
-    # The events dealt over some files at random, one a batch: most of them come late.
+    # The events dealt over some batches at random: most of them come late. The files of a batch
+    # follow the number of events.
     path = scratch_path(spark, "event-files")
     rows = testtables.table(spark, sf_dir, "events")
-    rows.repartition(batches, F.xxhash64("event_id")).write.parquet(path)
-    raw = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(path)
+    files = 1 + rows.count() // (batches * EVENTS_OF_A_FILE)
+    rows.repartition(batches * files, F.xxhash64("event_id")).write.parquet(path)
+    raw = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(path)
     return testtables.event_columns(raw)
 
 
@@ -516,7 +526,7 @@ def streaming_metrics(spark, sf_dir):
     jobs.live_metrics(
         _event_stream(spark, sf_dir), f"{out}/events", f"{out}/windows", f"{out}/checkpoint",
     ).awaitTermination()
-    return _rounded(spark.read.parquet(f"{out}/windows").drop("window_date"))
+    return _rounded(jobs.read_live_metrics(spark, f"{out}/windows").drop("window_date"))
 
 
 @query
@@ -531,12 +541,11 @@ def stream_dedup(spark, sf_dir):
 @query
 def ingest_stream(spark, sf_dir):
     twice = _event_stream(spark, sf_dir).unionByName(_event_stream(spark, sf_dir))
-    rows = testtables.with_users(twice, sf_dir)
+    rows = testtables.with_users(twice, sf_dir).withColumns(
+        {c: F.lit("-") for c in ("model_variant", "sdk_version", "session_id")})
     sink = scratch_path(spark, "ingest-stream")
-    jobs.ingest_stream(
-        rows, sink, scratch_path(spark, "ingest-stream-checkpoint"), strict=False
-    ).awaitTermination()
+    jobs.ingest_stream(rows, sink, scratch_path(spark, "ingest-stream-checkpoint")).awaitTermination()
     return events_table.read_events(spark, sink).select(
-        "event_id", "timestamp", "event_date", "user_id", "user_tier", "endpoint", "latency_ms",
-        "status_code", "error_type", "region", "will_churn",
+        "event_id", "timestamp", "event_date", "user_id", "user_tier", "endpoint", "input_tokens",
+        "output_tokens", "latency_ms", "status_code", "error_type", "region", "will_churn",
     )

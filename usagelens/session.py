@@ -71,6 +71,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         spark.sparkContext.setCheckpointDir(scratch_path(spark, "lineage"))
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _file_system(spark: SparkSession, path: str):
+    # Spark has no public call for this, so the only uses of its gateway are the four below.
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, at = _file_system(spark, path)
+    return files.exists(at)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder has; none if there is no such folder."""
+    files, at = _file_system(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(at)] if files.exists(at) else []
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    files, at = _file_system(spark, old)
+    if not files.rename(at, spark._jvm.org.apache.hadoop.fs.Path(new)):
+        raise OSError(f"{old} could not be renamed")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder, if it is there."""
+    files, at = _file_system(spark, path)
+    files.delete(at, True)

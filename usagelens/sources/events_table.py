@@ -1,12 +1,13 @@
 """The Parquet event table: idempotent inserts and retention.
 
 The table is partitioned by ``event_date`` and has one writer at a time. Uniqueness of
-``event_id`` is kept by the inserts below.
+``event_id`` is kept by the inserts below, through the index of :mod:`usagelens.sources.keyed_table`.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +17,8 @@ from pyspark.sql import types as T
 from usagelens.functions import dates
 from usagelens.operators.keyed import first_per_key
 from usagelens.schema import RAW_SCHEMA
-from usagelens.session import materialize, path_exists
+from usagelens.session import delete, list_names, materialize, path_exists
+from usagelens.sources.keyed_table import KeyedTable
 
 TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("event_date", T.DateType())])
 
@@ -37,16 +39,21 @@ def new_rows(
 ) -> DataFrame:
     """Rows of ``batch`` to insert: the first one per key, unless the key exists already.
 
-    Only the key column of the table is read. The plan is the same for all sizes: adaptive execution
+    For any two tables. The event table itself is asked through its index, see :func:`insert_new`.
+    Only the key column of ``existing`` is read. The plan is the same for all sizes: adaptive execution
     sends a small batch to the table's partitions and shuffles both sides of a large one.
     """
-    return _unseen(first_per_key(batch, key, order), existing, key)
+    rows = first_per_key(batch, key, order)
+    return rows.join(_stored(rows, existing, key), key, "left_anti")
 
 
-def _unseen(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
-    # The table's keys that the batch has: no more rows than the batch, so the second join is small.
-    stored = existing.select(key).join(rows.select(key), key, "left_semi").distinct()
-    return rows.join(stored, key, "left_anti")
+def _stored(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
+    """Keys of ``rows`` that exist: no more than the rows, so that a join with them is small."""
+    return existing.select(key).join(rows.select(key), key, "left_semi").distinct()
+
+
+def event_table(spark: SparkSession, path: str) -> KeyedTable:
+    return KeyedTable(spark, path, TABLE_SCHEMA, "event_id", "event_date", ("timestamp", "user_id"))
 
 
 def insert_new(
@@ -57,8 +64,9 @@ def insert_new(
 ) -> int:
     """Append the unseen rows of ``batch`` to the table; gives the number of rows offered.
 
-    Inserting the same batch again changes nothing, so a failed attempt can be repeated.
-    ``prune_by_date`` looks for existing keys on the batch's own days only. That is right
+    Inserting the same batch again changes nothing, so a failed attempt can be repeated. Which ids are
+    stored is asked of the table's index, in the buckets of the batch's ids only.
+    ``prune_by_date`` looks for existing keys in the table, on the batch's own days. That is right
     when the id fixes the day, as the ids of time slots do, and wrong otherwise. Within a day the
     rows of a file are sorted by time and user, so that file statistics can skip.
     """
@@ -70,18 +78,14 @@ def insert_new(
     ).first()
     if span["n"] == 0:
         return 0
-    # Stored, as it is read for its keys and for the insert.
-    rows = materialize(
-        with_event_date(first_per_key(batch, "event_id", order)).select(*TABLE_SCHEMA.names), "insert")
-    fresh = rows
-    if path_exists(spark, path):
-        table = read_events(spark, path)
-        if prune_by_date:
-            days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
-            table = table.filter(days)
-        fresh = _unseen(rows, table, "event_id")
-    fresh.hint("rebalance", F.col("event_date")).sortWithinPartitions(
-        "event_date", "timestamp", "user_id").write.mode("append").partitionBy("event_date").parquet(path)
+
+    def on_its_days(keys: DataFrame) -> DataFrame:
+        days = F.col("event_date").between(F.lit(span["first"]), F.lit(span["last"]))
+        return _stored(keys, read_events(spark, path).filter(days), "event_id")
+
+    pruned = prune_by_date and path_exists(spark, path)
+    rows = with_event_date(first_per_key(batch, "event_id", order))
+    event_table(spark, path).append(rows, on_its_days if pruned else None)
     return span["n"]
 
 
@@ -142,13 +146,10 @@ def cull_table(
         kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "event_date").parquet(path)
 
-    root = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(root):
-        name = status.getPath().getName()
+    for name in list_names(spark, path):
         if not name.startswith("event_date="):
             continue
         day = name.removeprefix("event_date=")
         if day < cutoff.date().isoformat() or (day == cutoff.date().isoformat() and not rewrite):
-            fs.delete(status.getPath(), True)
+            delete(spark, os.path.join(path, name))
     return culled
