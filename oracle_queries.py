@@ -561,3 +561,22 @@ SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", event_date,
        CAST(user_id AS VARCHAR) AS user_id, user_tier, endpoint, input_tokens, output_tokens,
        latency_ms, status_code, error_type, region, will_churn
 FROM usage""")
+
+# The same results by another way, from stored and merged parts.
+for _same_as, _name in (
+    ("endpoint_metrics", "endpoint_metrics_from_marts"),
+    ("current_metrics", "current_metrics_from_marts"),
+    ("cohort_mart_orders", "cohort_mart_incremental"),
+    ("endpoint_metrics", "mart_endpoints"),
+    ("user_day_rollup", "mart_user_days"),
+    *((name, f"mart_{name}") for name in (
+        "dau", "token_usage", "user_tiers", "daily_errors", "daily_latency_error")),
+):
+    ORACLES[_name] = ORACLES[_same_as]
+
+_usage("mart_cohort_retention", """
+, a AS (SELECT DISTINCT user_id, date_trunc('month', event_date) AS month FROM usage),
+f AS (SELECT user_id, month, MIN(month) OVER (PARTITION BY user_id) AS first FROM a)
+SELECT CAST(first AS DATE) AS cohort_month, date_diff('month', first, month) AS months_since_cohort,
+       COUNT(*) AS active_users
+FROM f GROUP BY 1, 2""")

@@ -155,7 +155,7 @@ def test_first_and_latest_per_key_break_ties(spark):
 def test_marts_and_their_incremental_refresh(spark, sample, tmp_path):
     out = str(tmp_path / "marts")
     paths = marts.build_marts(spark, sample, out)
-    assert set(paths) == {*marts.DAILY_FROM_EVENTS, *marts.FROM_EVENTS, *marts.FROM_ROLLUP}
+    assert set(paths) == {*marts.DAILY_FROM_EVENTS, *marts.FROM_PARTS, *marts.FROM_ROLLUP}
     assert spark.table(marts.STAGING_VIEW).count() == 4
     tables = {n: spark.read.parquet(p) for n, p in paths.items()}
     assert sorted(tables["dau"].collect()) == sorted(reports.dau(sample).collect())

@@ -44,6 +44,38 @@ def cohort_retention(
     return aged.groupBy(cohort, age).agg(F.count(F.lit(1)).alias("active_users")).orderBy(cohort, age)
 
 
+#: Months of a word of :func:`user_months`.
+WORD = 64
+
+
+def user_months(df: DataFrame, user: str = "user_id", date: str = "event_date") -> DataFrame:
+    """(user, word, bits): the months a user was active in, as bits of words of 64 months.
+
+    Parts made of different days are merged by :func:`merged_months`.
+    """
+    month = F.year(date) * 12 + F.month(date) - 1
+    rows = df.select(F.col(user).alias("user"), month.alias("month")).where("month is not null")
+    return rows.groupBy("user", F.floor(F.col("month") / WORD).cast("int").alias("word")).agg(
+        F.expr(f"bit_or(shiftleft(1L, pmod(month, {WORD})))").alias("bits"))
+
+
+def merged_months(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("user", "word").agg(F.bit_or("bits").alias("bits"))
+
+
+def cohorts_of_months(months: DataFrame) -> DataFrame:
+    """:func:`cohort_retention` by month, all ages, of :func:`user_months`."""
+    active = F.expr(f"filter(transform(sequence(0, {WORD - 1}), b -> if(shiftright(bits, b) & 1 = 1, "
+                    f"word * {WORD} + b, null)), b -> b is not null)")
+    rows = months.select("user", active.alias("months"))
+    # A user of more than 64 months has several words.
+    first = F.min(F.array_min("months")).over(W.partitionBy("user"))
+    aged = rows.select(first.alias("first"), F.explode("months").alias("month"))
+    cohort = F.make_date(F.floor(F.col("first") / 12).cast("int"), F.col("first") % 12 + 1, F.lit(1))
+    return aged.groupBy(cohort.alias("cohort_month"), (F.col("month") - F.col("first")).alias("months_since_cohort")
+                        ).agg(F.count(F.lit(1)).alias("active_users")).orderBy("cohort_month", "months_since_cohort")
+
+
 def cohort_matrix(long: DataFrame, ages: Sequence[int] = range(13), grain: str = "month") -> DataFrame:
     """One row per cohort, one column ``age_{n}`` per age; null where there is no value.
 

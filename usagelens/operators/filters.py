@@ -17,11 +17,6 @@ def latest_day(df: DataFrame, date: str = "event_date") -> DataFrame:
     return df.filter(F.col(date) == newest)
 
 
-def newest_day(df: DataFrame, date: str = "event_date") -> dt.date | None:
-    """The newest day, looked up now, for plans that use it several times."""
-    return df.agg(F.max(date)).first()[0]
-
-
 def last_days(
     df: DataFrame, as_of: dt.date | str, days: int, date: str = "event_date"
 ) -> DataFrame:

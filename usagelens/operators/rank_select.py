@@ -81,30 +81,31 @@ def _narrow(values: DataFrame, keys: Sequence[str]) -> DataFrame:
         "_narrow_start", "_start")
 
 
-def exact_percentile(
-    df: DataFrame, keys: Sequence[str], value: str, p: float, name: str
-) -> DataFrame:
-    """Linearly interpolated percentile (``percentile_cont``) of ``value`` per ``keys``.
-
-    Nulls are ignored; NaN counts as the greatest value. The result is lazy.
-    """
-    keys = list(keys)
-    number = F.col(value).cast("double")
-    rows = df.select(*keys, number.alias("_value")).filter(F.col("_value").isNotNull())
-    rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_value"), COARSE))
-
-    counted = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+def located_ranks(counted: DataFrame, keys: Sequence[str], p: float) -> DataFrame:
+    """The buckets of ``counted`` (keys, _bucket, _rows) that hold the ranks of a percentile."""
     rank = (F.col("_group_rows") - 1) * F.lit(float(p))
     located = running_counts(counted, keys, "_bucket").withColumns({
         "_low": F.floor(rank), "_high": F.ceil(rank), "_weight": rank - F.floor(rank),
     })
-    located = located.filter(_holds("_low") | _holds("_high")).select(
-        *keys, "_bucket", F.col("_before").alias("_start"), *RANKS)
+    return located.filter(_holds("_low") | _holds("_high")).withColumnRenamed("_before", "_start").drop("_group_rows")
+
+
+def percentile_near(
+    rows: DataFrame, located: DataFrame, keys: Sequence[str], name: str, known: DataFrame | None = None
+) -> DataFrame:
+    """The percentile from those of ``rows`` (keys, _value, _bucket) that lie in ``located`` buckets.
 
-    near = rows.alias("l").join(located.alias("r"), _same([*keys, "_bucket"])).select(
+    ``known`` are located buckets of a single ``_value``, for which no rows are needed.
+    """
+    keys = list(keys)
+    columns = [*keys, "_bucket", "_start", *RANKS]
+    wanted = located if known is None else located.filter("_least < _most")
+    near = rows.alias("l").join(wanted.alias("r"), _same([*keys, "_bucket"])).select(
         "l.*", *[f"r.{c}" for c in ("_start", *RANKS)])
     values = near.groupBy(*keys, "_bucket", "_value", "_start", *RANKS).agg(
         F.count(F.lit(1)).alias("_rows"))
+    if known is not None:
+        values = values.unionByName(known.select(*columns, "_value", "_rows"))
     values = _narrow(values, keys)
     placed = running_counts(values, [*keys, "_bucket", "_fine"], "_value").withColumn(
         "_before", F.col("_before") + F.col("_start"))
@@ -115,6 +116,21 @@ def exact_percentile(
     return placed.groupBy(*keys).agg(between.alias(name))
 
 
+def exact_percentile(
+    df: DataFrame, keys: Sequence[str], value: str, p: float, name: str
+) -> DataFrame:
+    """Linearly interpolated percentile (``percentile_cont``) of ``value`` per ``keys``.
+
+    Nulls are ignored; NaN counts as the greatest value. The result is lazy.
+    """
+    keys = list(keys)
+    number = F.col(value).cast("double")
+    rows = df.select(*keys, number.alias("_value")).filter(F.col("_value").isNotNull())
+    rows = rows.withColumn("_bucket", magnitude_bucket(F.col("_value"), COARSE))
+    counted = rows.groupBy(*keys, "_bucket").agg(F.count(F.lit(1)).alias("_rows"))
+    return percentile_near(rows, located_ranks(counted, keys, p), keys, name)
+
+
 def percentile(
     df: DataFrame,
     keys: Sequence[str],

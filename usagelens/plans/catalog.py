@@ -83,6 +83,24 @@ def endpoint_metrics(spark, sf_dir):
     return reports.endpoint_metrics(events(spark, sf_dir))
 
 
+def _stored_parts(spark, sf_dir):
+    """The daily counts as the marts store them, written as one table a day."""
+    path = scratch_path(spark, "endpoint-parts")
+    parts = marts.endpoint_parts(events(spark, sf_dir))
+    parts.write.partitionBy("event_date").parquet(path)
+    return spark.read.schema(parts.schema).parquet(path)
+
+
+@query
+def endpoint_metrics_from_marts(spark, sf_dir):
+    return reports.endpoint_metrics(events(spark, sf_dir), parts=_stored_parts(spark, sf_dir))
+
+
+@query
+def current_metrics_from_marts(spark, sf_dir):
+    return reports.current_metrics(events(spark, sf_dir), parts=_stored_parts(spark, sf_dir))
+
+
 @query
 def current_metrics(spark, sf_dir):
     return reports.current_metrics(events(spark, sf_dir))
@@ -244,6 +262,21 @@ def cohort_mart_orders(spark, sf_dir):
     return cohorts.cohort_retention(testtables.table(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
 
 
+@query
+def cohort_mart_incremental(spark, sf_dir):
+    # Built in three steps, each adding the orders of some years to what is stored.
+    rows = testtables.table(spark, sf_dir, "orders")
+    path = scratch_path(spark, "user-months")
+    bounds = ["1990-01-01", "1995-03-10", "1998-07-01", "2100-01-01"]
+    for low, high in zip(bounds, bounds[1:]):
+        some = rows.where(F.col("o_orderdate").between(F.lit(low), F.lit(high)) & (F.col("o_orderdate") < F.lit(high)))
+        part = cohorts.user_months(some, "o_custkey", "o_orderdate")
+        if low != bounds[0]:
+            part = materialize(cohorts.merged_months(part.unionByName(spark.read.parquet(path))), "months")
+        part.write.mode("overwrite").parquet(path)
+    return cohorts.cohorts_of_months(spark.read.parquet(path))
+
+
 @query
 def cohort_matrix(spark, sf_dir):
     wide = cohorts.cohort_matrix(_order_cohorts(spark, sf_dir))
@@ -413,6 +446,32 @@ def dq_marts(spark, sf_dir):
     return marts.check_marts({name: spark.read.parquet(path) for name, path in paths.items()})
 
 
+@functools.cache
+def _refreshed_marts(session: str, sf_dir: str) -> dict[str, str]:
+    # Built on the days up to the middle of the month, then refreshed with the rest.
+    spark = SparkSession.active()
+    out, staged = scratch_path(spark, "marts"), usage(spark, sf_dir)
+    marts.build_marts(spark, staged.where("event_date < '2024-01-15'"), out)
+    return marts.build_marts(spark, staged, out, since="2024-01-15")
+
+
+def _mart(name: str) -> None:
+    """A query that reads the mart of this name back; the marts are built once a session."""
+
+    def read(spark, sf_dir):
+        rows = spark.read.parquet(_refreshed_marts(spark.sparkContext.applicationId, sf_dir)[name])
+        if name == marts.ROLLUP:
+            return _rounded(rows, 2).withColumn("churn_day", F.col("churn_day").cast("double"))
+        return _rounded(rows) if name == "daily_latency_error" else rows
+
+    read.__name__ = f"mart_{name}"
+    query(read)
+
+
+for _name in marts.MART_CHECKS:
+    _mart(_name)
+
+
 @query
 def label_guard(spark, sf_dir):
     return quality.label_guard(users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF))

@@ -10,26 +10,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from usagelens.functions import dates
-from usagelens.operators.cohorts import cohort_retention
+from usagelens.operators.cohorts import cohorts_of_months, merged_months, user_months
+from usagelens.operators.histograms import latency_parts
 from usagelens.operators.measures import user_days
 from usagelens.operators.quality import Check, check_rows, in_set, not_null, unique
 from usagelens.plans import reports
 from usagelens.schema import ENDPOINTS, USER_TIERS
+from usagelens.session import materialize, path_exists
 
 STAGING_VIEW = "stg_api_events"
 ROLLUP = "user_days"
 
-# Marts read from the events, and marts that the much smaller rollup is enough for.
-FROM_EVENTS = {"endpoints": reports.endpoint_metrics}
+# Stored beside the marts, for their next refresh: counts by day and endpoint, and months of users.
+PARTS = "endpoint_parts"
+MONTHS = "user_months"
+
+
+def endpoint_parts(events: DataFrame) -> DataFrame:
+    """Counts by day and endpoint: of latencies by bucket, and the users."""
+    return latency_parts(events, ["event_date", "endpoint"])
+
+
+# Tables with one partition per day, which can be refreshed for recent days only.
+DAILY_FROM_EVENTS = {ROLLUP: user_days, "daily_errors": reports.daily_errors}
+DAILY = DAILY_FROM_EVENTS | {PARTS: endpoint_parts}
+# Marts that the much smaller rollup is enough for.
 FROM_ROLLUP = {
     "dau": reports.dau,
     "token_usage": reports.token_usage,
     "user_tiers": reports.user_tiers,
     "daily_latency_error": reports.daily_latency_error,
-    "cohort_retention": cohort_retention,
 }
-# Marts with one partition per day, which can be refreshed for recent days only.
-DAILY_FROM_EVENTS = {ROLLUP: user_days, "daily_errors": reports.daily_errors}
+# Marts that follow from what is stored beside.
+FROM_PARTS = ("endpoints", "cohort_retention")
 
 MART_CHECKS: dict[str, list[Check]] = {
     "dau": [not_null("event_date"), unique("event_date"), not_null("dau")],
@@ -56,22 +69,37 @@ def build_marts(
 ) -> dict[str, str]:
     """Write all marts below ``out`` and register the staging view; gives the path of each.
 
-    The events are read for the rollup, the daily errors and the endpoint table; every other
-    mart comes from the stored rollup. With ``since`` only the days from then on are computed
-    again in the daily tables, and the others follow from them.
+    The events are read for the three daily tables: the rollup, the errors, and the counts by endpoint.
+    Other marts come from those, but for the values near each endpoint's percentile, which are read on
+    the days that have some. With ``since`` only the days from then on are read and written again in
+    the daily tables; their months are added to those known of each user, so no old day is read for
+    the cohorts either. A user's month stays even if its events go; a full build forgets it.
     """
     staged.createOrReplaceTempView(STAGING_VIEW)
-    paths = {}
+    paths = {name: os.path.join(out, name) for name in [*DAILY, *FROM_ROLLUP, *FROM_PARTS, MONTHS]}
     recent = staged if since is None else staged.filter(F.col("event_date") >= dates.day(since))
-    for name, build in DAILY_FROM_EVENTS.items():
-        paths[name] = os.path.join(out, name)
+    for name, build in DAILY.items():
         _write_days(build(recent), paths[name], keep_other_days=since is not None)
-    rollup = spark.read.schema(user_days(staged).schema).parquet(paths[ROLLUP])
-    for source, marts in ((staged, FROM_EVENTS), (rollup, FROM_ROLLUP)):
-        for name, build in marts.items():
-            paths[name] = os.path.join(out, name)
-            build(source).write.mode("overwrite").parquet(paths[name])
-    return paths
+
+    def daily(name: str) -> DataFrame:
+        return spark.read.schema(DAILY[name](staged).schema).parquet(paths[name])
+
+    for name, build in FROM_ROLLUP.items():
+        build(daily(ROLLUP)).write.mode("overwrite").parquet(paths[name])
+    reports.endpoint_metrics(staged, parts=daily(PARTS)).write.mode("overwrite").parquet(paths["endpoints"])
+    _write_months(spark, daily(ROLLUP), paths[MONTHS], since)
+    cohorts_of_months(spark.read.parquet(paths[MONTHS])).write.mode("overwrite").parquet(paths["cohort_retention"])
+    return {name: path for name, path in paths.items() if name not in (PARTS, MONTHS)}
+
+
+def _write_months(spark: SparkSession, rollup: DataFrame, path: str, since: dt.date | str | None) -> None:
+    """Merge the months of recent days into the stored ones, where those are whole."""
+    if since is not None and path_exists(spark, os.path.join(path, "_SUCCESS")):
+        fresh = user_months(rollup.filter(F.col("event_date") >= dates.day(since)))
+        months = materialize(merged_months(fresh.unionByName(spark.read.schema(fresh.schema).parquet(path))), "months")
+    else:
+        months = user_months(rollup)
+    months.write.mode("overwrite").parquet(path)
 
 
 def check_marts(marts: dict[str, DataFrame]) -> DataFrame:

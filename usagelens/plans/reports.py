@@ -10,40 +10,56 @@ from pyspark.sql import functions as F
 from usagelens.functions.numeric import half_up, percent
 from usagelens.operators import measures as m
 from usagelens.operators.cohorts import cohort_retention
-from usagelens.operators.filters import last_days, newest_day
-from usagelens.operators.rank_select import percentile
+from usagelens.operators.filters import last_days, latest_day
+from usagelens.operators.histograms import latency_parts, part_percentile, part_totals
 from usagelens.operators.rolling import rolling
+from usagelens.session import materialize
 
 P95 = 0.95
 
 
-def _latest_day_metrics(df: DataFrame, approx: bool) -> DataFrame:
-    """One row, also for an empty table."""
-    day = df.filter(F.col("event_date") == F.lit(newest_day(df)).cast("date"))
-    totals = day.agg(
-        F.max("event_date").alias("event_date"),
-        (F.approx_count_distinct("user_id") if approx else m.users()).alias("dau"),
-        m.requests(day).alias("requests"),
-        m.error_ratio(day).alias("error_ratio"),
-        half_up(m.mean_latency(day), 1).alias("avg_latency"),
-        m.tokens().alias("tokens"),
-    )
-    p95 = percentile(day, ["event_date"], "latency_ms", P95, "p95_latency", approx, digits=1)
-    return totals.join(p95, "event_date", "left")
-
-
-def current_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Key figures of the newest day; the error rate is a fraction."""
-    return _latest_day_metrics(df, approx).select(
-        "dau", "requests", half_up("error_ratio", 4).alias("error_rate"),
+def _latest_day_metrics(df: DataFrame, approx: bool, parts: DataFrame | None = None) -> DataFrame:
+    """One row, also for an empty table; ``parts``: stored :func:`latency_parts` by day."""
+    day = latest_day(df)
+    if approx:
+        return day.agg(
+            F.max("event_date").alias("event_date"),
+            F.approx_count_distinct("user_id").alias("users"), m.requests(day).alias("requests"),
+            m.error_ratio(day).alias("error_ratio"), half_up(m.mean_latency(day), 1).alias("avg_latency"),
+            m.tokens().alias("tokens"), _approx_p95())
+    if parts is None:
+        parts = materialize(latency_parts(day, ["event_date"]), "latency-parts")
+    else:
+        parts = latest_day(parts)
+    newest = parts.agg(F.max("event_date").alias("event_date"))
+    # One row that is there without any rows too.
+    totals = part_totals(parts.drop("event_date"), [])
+    p95 = part_percentile(parts, day, ["event_date"], P95, "p95")
+    return newest.join(p95, "event_date", "left").crossJoin(F.broadcast(totals)).withColumn(
+        "p95_latency", half_up("p95", 1))
+
+
+def _approx_p95():
+    value = F.percentile_approx(F.col("latency_ms").cast("double"), P95, 10_000)
+    return half_up(value, 1).alias("p95_latency")
+
+
+def current_metrics(df: DataFrame, approx: bool = False, parts: DataFrame | None = None) -> DataFrame:
+    """Key figures of the newest day; the error rate is a fraction.
+
+    The day is scanned once for counts and sums, which are stored, and once for the values near the
+    percentile. ``parts`` are the stored counts of a mart; then only the second scan is left.
+    """
+    return _latest_day_metrics(df, approx, parts).select(
+        F.col("users").alias("dau"), "requests", half_up("error_ratio", 4).alias("error_rate"),
         "avg_latency", "p95_latency", "tokens",
     )
 
 
-def narrative_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
+def narrative_metrics(df: DataFrame, approx: bool = False, parts: DataFrame | None = None) -> DataFrame:
     """Key figures of the newest day for the summary; the error rate is in percent."""
-    return _latest_day_metrics(df, approx).select(
-        "dau", F.col("requests").alias("total_requests"),
+    return _latest_day_metrics(df, approx, parts).select(
+        F.col("users").alias("dau"), F.col("requests").alias("total_requests"),
         half_up(F.col("error_ratio") * 100, 2).alias("error_rate"),
         "avg_latency", "p95_latency",
     )
@@ -61,7 +77,8 @@ SUMMARY = (
 )
 
 
-def narrative(df: DataFrame, max_error_rate: float = 5.0, max_p95_latency: float = 1_000.0) -> DataFrame:
+def narrative(df: DataFrame, max_error_rate: float = 5.0, max_p95_latency: float = 1_000.0,
+              parts: DataFrame | None = None) -> DataFrame:
     """The key figures as a text, in one row; it ends with those above their limits (percent, ms)."""
     above = F.concat_ws(
         " and ",
@@ -69,7 +86,7 @@ def narrative(df: DataFrame, max_error_rate: float = 5.0, max_p95_latency: float
         F.when(F.col("p95_latency") > max_p95_latency, "P95 latency"))
     conclusion = F.when(above == "", "No figure is above its limit.").otherwise(
         F.concat(F.lit("Above its limit: "), above, F.lit(".")))
-    return narrative_metrics(df).select(
+    return narrative_metrics(df, parts=parts).select(
         F.format_string(
             SUMMARY,
             F.format_number("dau", 0),
@@ -91,20 +108,28 @@ def time_series(df: DataFrame, as_of: dt.date | str, days: int = 30) -> DataFram
     ).orderBy("event_date")
 
 
-def endpoint_metrics(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Traffic, latency, errors and users per endpoint, busiest first."""
-    totals = df.groupBy("endpoint").agg(
-        m.requests(df).alias("requests"),
-        half_up(m.mean_latency(df), 1).alias("avg_latency"),
-        percent(m.errors(df), m.requests(df)).alias("error_pct"),
-        (F.approx_count_distinct("user_id") if approx else m.users()).alias("users"),
-    )
-    p95 = percentile(df, ["endpoint"], "latency_ms", P95, "p95_latency", approx, digits=1)
-    return (
-        totals.join(p95, "endpoint", "left")
-        .select("endpoint", "requests", "avg_latency", "p95_latency", "error_pct", "users")
-        .orderBy(F.desc("requests"), "endpoint")
-    )
+def endpoint_metrics(df: DataFrame, approx: bool = False, parts: DataFrame | None = None) -> DataFrame:
+    """Traffic, latency, errors and users per endpoint, busiest first.
+
+    The events are read twice: for counts and sums, which are stored, and for the values near the
+    percentile. ``parts`` are the stored counts by day of a mart; then only the days that have the
+    percentile's bucket are read, and of them the values between its ends.
+    """
+    columns = ["endpoint", "requests", "avg_latency", "p95_latency", "error_pct", "users"]
+    if approx:
+        rows = df.groupBy("endpoint").agg(
+            m.requests(df).alias("requests"),
+            half_up(m.mean_latency(df), 1).alias("avg_latency"),
+            percent(m.errors(df), m.requests(df)).alias("error_pct"),
+            F.approx_count_distinct("user_id").alias("users"), _approx_p95())
+        return rows.select(*columns).orderBy(F.desc("requests"), "endpoint")
+    if parts is None:
+        parts = materialize(latency_parts(df, ["endpoint"]), "latency-parts")
+    p95 = part_percentile(parts, df, ["endpoint"], P95, "p95").withColumnRenamed("endpoint", "of")
+    totals = part_totals(parts, ["endpoint"])
+    rows = totals.join(p95, F.col("endpoint").eqNullSafe(F.col("of")), "left")
+    return rows.withColumn("p95_latency", half_up("p95", 1)).select(*columns).orderBy(
+        F.desc("requests"), "endpoint")
 
 
 def user_tiers(df: DataFrame) -> DataFrame:
