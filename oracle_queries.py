@@ -512,18 +512,35 @@ def _did(name: str, table: str, y: str, line: bool = False) -> str:
         f"VAR_SAMP(y) FILTER (WHERE {w}) AS {c}_var" for c, w in cells.items())
     did = "(treated_post_mean - treated_pre_mean) - (control_post_mean - control_pre_mean)"
     se = "SQRT(" + " + ".join(f"{c}_var / {c}_n" for c in cells) + ")"
+    sign = {"treated_pre": "-", "treated_post": "+", "control_pre": "+", "control_post": "-"}
+    share = " ".join(f"{sign[c]} COALESCE(SUM(y - {c}_mean) FILTER (WHERE {w}), 0) / {c}_n" for c, w in cells.items())
+    rows = " + ".join(f"{c}_n" for c in cells)
+    # The probability beyond t is one less the area up to t, by Simpson's rule.
+    steps, v = 4000, "(clusters - 1)"
+    p = f"""1 - 2 * (SELECT SUM(CASE WHEN i IN (0, {steps}) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END
+        * EXP(LGAMMA(({v} + 1) / 2.0) - LGAMMA({v} / 2.0)) / SQRT(PI() * {v})
+        * POWER(1 + POWER(i * ABS(ct) / {steps}, 2) / {v}, -({v} + 1) / 2.0)) * ABS(ct) / {steps} / 3
+        FROM range({steps + 1}) AS s(i))"""
     if line:
-        shown = f"""printf('- **%s**: treated %.4f -> %.4f, control %.4f -> %.4f, effect %+.4f (se %.4f, t %.2f)',
-    '{name}', treated_pre_mean, treated_post_mean, control_pre_mean, control_post_mean, {did}, {se}, ({did}) / {se}) AS line"""
+        shown = f"""printf('- **%s**: treated %.4f -> %.4f, control %.4f -> %.4f, effect %+.4f (%+.2f%%; se %.4f, t %.2f, p %.4f; %d users)',
+    '{name}', treated_pre_mean, treated_post_mean, control_pre_mean, control_post_mean, did,
+    100 * relative, cse, ct, {p}, clusters) AS line"""
     else:
         shown = f"""'{name}' AS outcome, {", ".join(f"{c}_n" for c in cells)},
        {", ".join(f"{_round(f'{c}_mean', 6)} AS {c}_mean" for c in cells)},
-       {_round(did, 6)} AS did, {_round(se, 6)} AS se, {_round(f"({did}) / {se}", 6)} AS t_stat"""
+       {_round("did", 6)} AS did, {_round("se", 6)} AS se, {_round("did / se", 6)} AS t_stat, clusters,
+       {_round("cse", 6)} AS cluster_se, {_round("ct", 6)} AS cluster_t,
+       {_round("relative", 6)} AS relative_effect, {_round(p, 6)} AS p_value"""
     return f"""SELECT {shown}
-FROM (SELECT {agg} FROM (
-    SELECT CAST({y} AS DOUBLE) AS y, user_tier = 'enterprise' AND region = 'AMERICA' AS treated,
+FROM (SELECT *, did / cse AS ct, did / (treated_post_mean - did) AS relative FROM (
+SELECT *, {did} AS did, {se} AS se, SQRT(meat * clusters / (clusters - 1) * ({rows} - 1) / ({rows} - 4)) AS cse
+FROM (WITH r AS (
+    SELECT user_id, CAST({y} AS DOUBLE) AS y, user_tier = 'enterprise' AND region = 'AMERICA' AS treated,
            event_date >= DATE '1998-06-01' AS post
-    FROM {table} WHERE user_tier = 'enterprise' OR region = 'AMERICA'))"""
+    FROM {table} WHERE user_tier = 'enterprise' OR region = 'AMERICA'),
+m AS (SELECT {agg} FROM r)
+SELECT m.*, k.* FROM m, (SELECT COUNT(*) AS clusters, SUM(z * z) AS meat FROM (
+    SELECT user_id, {share} AS z FROM r, m GROUP BY user_id, {", ".join(f"{c}_n, {c}_mean" for c in cells)})) AS k)))"""
 
 
 def _rollout(line: bool) -> str:

@@ -59,7 +59,7 @@ def rollout_effect(
         "tokens_per_user_day": (rollup, "total_tokens"),
     }
     parts = [
-        diff_in_diff(rollout_panel(panel, rollout, tier, region), column).select(
+        diff_in_diff(rollout_panel(panel, rollout, tier, region), column, user="user_id").select(
             F.lit(name).alias("outcome"), "*"
         )
         for name, (panel, column) in outcomes.items()
@@ -68,11 +68,11 @@ def rollout_effect(
 
 
 def rollout_report(effects: DataFrame) -> DataFrame:
-    """The measured effects as text, one line per outcome."""
+    """The measured effects as text, one line per outcome; errors and p-values are those by user."""
     return effects.select(F.format_string(
-        "- **%s**: treated %.4f -> %.4f, control %.4f -> %.4f, effect %+.4f (se %.4f, t %.2f)",
-        "outcome", "treated_pre_mean", "treated_post_mean", "control_pre_mean",
-        "control_post_mean", "did", "se", "t_stat",
+        "- **%s**: treated %.4f -> %.4f, control %.4f -> %.4f, effect %+.4f (%+.2f%%; se %.4f, t %.2f, p %.4f; %d users)",
+        "outcome", "treated_pre_mean", "treated_post_mean", "control_pre_mean", "control_post_mean",
+        "did", F.col("relative_effect") * 100, "cluster_se", "cluster_t", "p_value", "clusters",
     ).alias("line"))
 
 
