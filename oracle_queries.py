@@ -597,3 +597,23 @@ f AS (SELECT user_id, month, MIN(month) OVER (PARTITION BY user_id) AS first FRO
 SELECT CAST(first AS DATE) AS cohort_month, date_diff('month', first, month) AS months_since_cohort,
        COUNT(*) AS active_users
 FROM f GROUP BY 1, 2""")
+
+# The same small forest as the query's, walked by recursion.
+_usage("forest_scores", f"""
+, n(tree, node, feature, threshold, lo, hi, path) AS (VALUES
+    (0, 0, 0, 50.0, 1, 2, 0.0), (0, 1, 1, 700.5, 3, 4, 0.0), (0, 2, -1, 0.0, 2, 2, 1.5),
+    (0, 3, -1, 0.0, 3, 3, 2.0), (0, 4, 0, 20.25, 5, 6, 0.0), (0, 5, -1, 0.0, 5, 5, 3.25), (0, 6, -1, 0.0, 6, 6, 3.0),
+    (1, 0, 1, 1200.5, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 4.0), (1, 2, 0, 90.125, 3, 4, 0.0),
+    (1, 3, -1, 0.0, 3, 3, 2.5), (1, 4, -1, 0.0, 4, 4, 2.0),
+    (2, 0, -1, 0.0, 0, 0, 0.75)),
+w AS (SELECT * FROM (WITH RECURSIVE walk AS (
+    SELECT event_id, latency_ms, total_tokens, tree, 0 AS node FROM usage, (SELECT DISTINCT tree FROM n)
+    UNION ALL
+    SELECT event_id, latency_ms, total_tokens, walk.tree,
+           CASE WHEN CASE n.feature WHEN 0 THEN latency_ms ELSE total_tokens END <= threshold THEN lo ELSE hi END
+    FROM walk JOIN n ON walk.tree = n.tree AND walk.node = n.node WHERE n.feature >= 0)
+  SELECT event_id, CAST(AVG(n.path) AS DOUBLE) AS path_length
+  FROM walk JOIN n ON walk.tree = n.tree AND walk.node = n.node WHERE n.feature < 0 GROUP BY event_id))
+SELECT event_id, {_round("path_length", 6)} AS path_length,
+       {_round("POWER(2.0, -path_length / (2 * (LN(15) + 0.5772156649015329) - 2 * 15.0 / 16))", 6)} AS anomaly_score
+FROM w""")

@@ -13,7 +13,7 @@ from usagelens.operators import users
 from usagelens.operators.causal import diff_in_diff, rollout_panel
 from usagelens.operators.churn import train_churn
 from usagelens.operators.isolation_forest import (
-    average_path, draw_subsamples, fit_isolation_forest, grow_trees,
+    average_path, draw_subsamples, fit_isolation_forest, grow_trees, path_lengths,
 )
 from usagelens.operators.measures import user_days
 from usagelens.operators.splits import stratified_split
@@ -206,6 +206,24 @@ def test_trees_split_every_row_and_respect_the_depth(spark, points):
         assert (leaves["path"] >= 1).all() and (leaves["path"] <= 6 + average_path(64)).all()
 
 
+def test_scores_equal_a_walk_in_plain_python(spark, points):
+    drawn = draw_subsamples(points.na.drop(), ["a", "b"], "id", 2_001, 5, 64, 7)
+    nodes = grow_trees(drawn, ["a", "b"], 64, 7)
+    tree = {(n.tree, n.node): n for n in nodes.toPandas().itertuples()}
+    some = points.limit(200).union(points.where("id > 9000"))
+    for r in path_lengths(some, nodes, ["a", "b"], 6).collect():
+        total = 0
+        for t in range(5):
+            at = tree[t, 0]
+            while at.feature >= 0:
+                value = r[("a", "b")[at.feature]]
+                at = tree[t, at.left if value is not None and value <= at.threshold else at.right]
+            total += at.path
+        assert r["path_length"] == pytest.approx(total / 5)
+    plan = path_lengths(points, nodes, ["a", "b"], 6)._jdf.queryExecution().executedPlan().toString()
+    assert "mapInPandas" not in plan.split("FlatMapGroupsInPandas")[0] and "BroadcastNestedLoopJoin" in plan
+
+
 def test_constant_and_tiny_data(spark):
     same = spark.createDataFrame([(i, 1.0) for i in range(5)], "id int, a double")
     model = fit_isolation_forest(same, ["a"], "id", trees=5)

@@ -1,8 +1,8 @@
 """Isolation forest (Liu, Ting, Zhou 2008) on Spark.
 
 Each tree is grown on a small random subsample, so training needs one pass that draws the
-subsamples and then one small task per tree. Scoring runs over partitions of the data, with the
-finished trees, whose size is bounded by ``trees * 2 * subsample`` nodes, shipped to the tasks.
+subsamples and then one small task per tree. Scoring is a column expression over the finished trees,
+whose size is bounded by ``trees * 2 * subsample`` nodes.
 """
 
 from __future__ import annotations
@@ -15,12 +15,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from usagelens.operators.rank_select import exact_percentile
 from usagelens.session import materialize
 
-_NODE_SCHEMA = (
+#: A row per node. Nodes of a tree are numbered from 0, its root; a leaf has the feature -1, leads to
+#: itself, and has the length of the path to it, with what rows left together in it would add.
+NODE_SCHEMA = (
     "tree int, node int, feature int, threshold double, left int, right int, path double"
 )
 
@@ -89,7 +90,37 @@ def grow_trees(sample: DataFrame, features: Sequence[str], size: int, seed: int)
             todo.append((rows[goes_left], depth + 1, node, "left"))
         return pd.DataFrame(nodes)
 
-    return sample.groupBy("tree").applyInPandas(grow, _NODE_SCHEMA)
+    return sample.groupBy("tree").applyInPandas(grow, NODE_SCHEMA)
+
+
+def path_lengths(df: DataFrame, nodes: DataFrame, features: Sequence[str], depth: int) -> DataFrame:
+    """``df`` with ``path_length``, the mean over the trees of ``nodes`` of the path to each row's leaf.
+
+    The forest is one row of arrays, trees laid end to end, which is broadcast: its size is that of the
+    forest, bounded by trees and subsample. Each row walks down every tree by column expressions, at
+    most ``depth`` steps. A row without a feature's value goes to the right, as it is not below any
+    threshold. A null sum of nothing: without trees there is no length.
+    """
+    laid = nodes.withColumn("at", F.row_number().over(W.orderBy("tree", "node")) - 1)
+    laid = laid.withColumn("base", F.col("at") - F.col("node"))
+    columns = {
+        "feature": F.greatest("feature", F.lit(0)), "threshold": F.col("threshold"), "path": F.col("path"),
+        "left": F.col("left") + F.col("base"), "right": F.col("right") + F.col("base"),
+    }
+    row = F.struct("at", *[c.alias(n) for n, c in columns.items()], (F.col("node") == 0).alias("root"))
+    forest = laid.agg(F.array_sort(F.collect_list(row)).alias("_n"))
+    forest = forest.select(*[F.col(f"_n.{c}").alias(f"_{c}") for c in columns],
+                           F.expr("filter(_n, n -> n.root).at").alias("_roots"))
+    values = F.array(*[F.col(f).cast("double") for f in features])
+
+    def down(at: Column, _: Column) -> Column:
+        below = F.get("_x", F.get("_feature", at)) <= F.get("_threshold", at)
+        return F.when(below, F.get("_left", at)).otherwise(F.get("_right", at))
+
+    steps = F.sequence(F.lit(1), F.lit(depth))
+    total = F.aggregate("_roots", F.lit(0.0), lambda s, root: s + F.get("_path", F.aggregate(steps, root, down)))
+    joined = df.withColumn("_x", values).crossJoin(F.broadcast(forest))
+    return joined.select(*df.columns, F.try_divide(total, F.size("_roots").cast("double")).alias("path_length"))
 
 
 @dataclass(frozen=True)
@@ -101,33 +132,10 @@ class IsolationForestModel:
 
     def score(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` in (0, 1); rows easier to isolate score higher."""
-        import numpy as np
-
-        features = list(self.features)
-        table = self.nodes.sort_values(["tree", "node"])
-        # Trees are laid end to end; a leaf points at itself, so walking on changes nothing.
-        sizes = table.groupby("tree").size().to_numpy()
-        offset = np.repeat(np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes)
-        roots = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-        feature = np.maximum(table["feature"].to_numpy(), 0)
-        threshold = table["threshold"].to_numpy()
-        left = table["left"].to_numpy() + offset
-        right = table["right"].to_numpy() + offset
-        path = table["path"].to_numpy()
-        depth = max(1, math.ceil(math.log2(max(self.subsample, 2))))
+        nodes = df.sparkSession.createDataFrame(self.nodes, NODE_SCHEMA)
+        scored = path_lengths(df, nodes, self.features, max(1, math.ceil(math.log2(max(self.subsample, 2)))))
         norm = average_path(self.subsample) or 1.0
-
-        def score_batches(batches):
-            for pdf in batches:
-                x = pdf[features].to_numpy(dtype="float64")
-                at = np.broadcast_to(roots, (len(x), len(roots))).copy()
-                row = np.arange(len(x))[:, None]
-                for _ in range(depth):
-                    at = np.where(x[row, feature[at]] <= threshold[at], left[at], right[at])
-                yield pdf.assign(anomaly_score=2.0 ** (-path[at].mean(axis=1) / norm))
-
-        schema = T.StructType([*df.schema.fields, T.StructField("anomaly_score", T.DoubleType())])
-        return df.mapInPandas(score_batches, schema)
+        return scored.withColumn("anomaly_score", F.pow(F.lit(2.0), -F.col("path_length") / norm)).drop("path_length")
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``anomaly_score`` and ``is_anomaly``."""

@@ -17,6 +17,7 @@ from usagelens.functions.numeric import half_up
 from usagelens.functions.wire import decode_events, encode_event, rejected
 from usagelens.operators import cohorts, filters, gaps, quality, splits, users
 from usagelens.operators.churn import evaluate
+from usagelens.operators.isolation_forest import NODE_SCHEMA, IsolationForestModel, path_lengths
 from usagelens.operators.keyed import first_per_key, latest_per_key
 from usagelens.plans import marts, reports, training
 from usagelens.schema import WIRE_SCHEMA, conform, stage
@@ -542,9 +543,38 @@ def isolation_forest(spark, sf_dir):
     return training.anomaly_model(events(spark, sf_dir))[1]
 
 
+# A small forest on the latency and the tokens of an event: (tree, node, feature, threshold, left,
+# right, path), as a fitted one is stored.
+SMALL_FOREST = [
+    (0, 0, 0, 50.0, 1, 2, 0.0), (0, 1, 1, 700.5, 3, 4, 0.0), (0, 2, -1, 0.0, 2, 2, 1.5),
+    (0, 3, -1, 0.0, 3, 3, 2.0), (0, 4, 0, 20.25, 5, 6, 0.0), (0, 5, -1, 0.0, 5, 5, 3.25), (0, 6, -1, 0.0, 6, 6, 3.0),
+    (1, 0, 1, 1200.5, 1, 2, 0.0), (1, 1, -1, 0.0, 1, 1, 4.0), (1, 2, 0, 90.125, 3, 4, 0.0),
+    (1, 3, -1, 0.0, 3, 3, 2.5), (1, 4, -1, 0.0, 4, 4, 2.0),
+    (2, 0, -1, 0.0, 0, 0, 0.75),
+]
+
+
+@query
+def forest_scores(spark, sf_dir):
+    # Every event's mean path down a fixed forest, and its score for a subsample of 16.
+    nodes = spark.createDataFrame(SMALL_FOREST, NODE_SCHEMA)
+    rows = events(spark, sf_dir).select("event_id", "latency_ms", F.col("total_tokens").cast("double").alias("tokens"))
+    model = IsolationForestModel(("latency_ms", "tokens"), nodes.toPandas(), 16)
+    paths = path_lengths(rows, nodes, model.features, depth=4).select("event_id", "path_length")
+    scores = model.score(rows).select("event_id", "anomaly_score")
+    return _rounded(paths.join(scores, "event_id"))
+
+
+@functools.cache
+def _churn(session: str, sf_dir: str):
+    spark = SparkSession.active()
+    return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF)
+
+
 @query
 def churn_model(spark, sf_dir):
-    return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).metrics()
+    # Fitted once a session, for this query and the next.
+    return _churn(spark.sparkContext.applicationId, sf_dir).metrics()
 
 
 @query
@@ -559,7 +589,7 @@ def model_metrics(spark, sf_dir):
 
 @query
 def churn_importances(spark, sf_dir):
-    return training.churn_model(order_days(spark, sf_dir), ORDERS_AS_OF).importances()
+    return _churn(spark.sparkContext.applicationId, sf_dir).importances()
 
 
 # Streams, run until the events are used up; their output is read back as a table.
