@@ -2,6 +2,8 @@
 
 import hashlib
 import random
+import time
+from collections import Counter
 import re
 
 import pytest
@@ -145,3 +147,14 @@ def test_substring_dedup_of_nothing(spark):
     assert substring_dedup.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     out = substring_dedup.dedup(spark.createDataFrame([(1, None), (2, "short")], SCHEMA))
     assert sorted((r["n_words"], r["n_removed"], r["kept"]) for r in out.collect()) == [(0, 0, ""), (1, 0, "short")]
+
+
+@pytest.mark.parametrize("group_rows", [1, 4_000])
+def test_many_equal_rows_cost_no_more_than_their_number(spark, group_rows):
+    long = " ".join(f"w{i}" for i in range(300))
+    rows = [(5, long)] * 1_000 + [(None, long + " end")] * 1_000 + [(7, "x " + long), (9, "other")]
+    start = time.time()
+    out = substring_dedup.dedup(spark.createDataFrame(rows, SCHEMA), group_rows=group_rows)
+    got = Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept"]) for r in out.collect())
+    assert got == {(5, 300, 0, long): 1_000, (None, 301, 300, "end"): 1_000, (7, 301, 300, "x"): 1, (9, 1, 0, "other"): 1}
+    assert time.time() - start < 90

@@ -225,8 +225,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         common = materialize(
             places.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("n"))
             .where("low < high").select("key", large.alias("large")), "shared-keys")
+        # Equal rows of one key have the same anchors, which count once.
         marks = places.join(common, "key").groupBy("id", "mark").agg(
-            F.collect_list(F.struct("at", "large")).alias("shared"))
+            F.collect_set(F.struct("at", "large")).alias("shared"))
 
         def start_stretches(length: int = length) -> Callable[..., list]:
             table = word_hashes()
@@ -238,7 +239,8 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
                       "rest array<struct<first: int, last: int>>", start_stretches, ("runs", "shared"))
             .select("id", "mark", "stretches", "rest"), "stretches")
         levels.append(found.select("id", "mark", F.inline("stretches")).withColumnRenamed("first", "start"))
-        pending = found.where(F.size("rest") > 0).select("id", "mark", F.col("rest").alias("runs"))
+        pending = found.where(F.size("rest") > 0).select("id", "mark", F.col("rest").alias("runs")).dropDuplicates(
+            ["id", "mark"])
         if at_end or pending.isEmpty():
             break
     stretches = levels[0]
@@ -276,11 +278,12 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
 
     A word goes if it lies in a window whose words also start in a document with a smaller key;
     windows are those of the input. A null key is greater than all others, and such rows never remove
-    from each other. Rows of one key do not either. Null, empty and short texts keep what they have.
+    from each other. Rows of one key do not either, and equal rows of one key are treated alike, however
+    many there are. Null, empty and short texts keep what they have.
     Columns of the new names are replaced.
     """
     found = find_repeats(docs, key, text, window, lengths, group_rows).groupBy("id", "mark").agg(
-        F.collect_list(F.struct("first", "last")).alias("runs"))
+        F.collect_set(F.struct("first", "last")).alias("runs"))
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "removed", "kept")]
     base = docs.select(F.struct(*names).alias("row"), F.col(text).alias("text"), *identity(key, text))
 
