@@ -239,8 +239,9 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
                       "rest array<struct<first: int, last: int>>", start_stretches, ("runs", "shared"))
             .select("id", "mark", "stretches", "rest"), "stretches")
         levels.append(found.select("id", "mark", F.inline("stretches")).withColumnRenamed("first", "start"))
-        pending = found.where(F.size("rest") > 0).select("id", "mark", F.col("rest").alias("runs")).dropDuplicates(
-            ["id", "mark"])
+        # Stored, so that its size is known when the texts are joined with it, and a small one is broadcast.
+        pending = materialize(found.where(F.size("rest") > 0).select("id", "mark", F.col("rest").alias("runs"))
+                              .dropDuplicates(["id", "mark"]), "pending")
         if at_end or pending.isEmpty():
             break
     stretches = levels[0]
