@@ -617,3 +617,50 @@ w AS (SELECT * FROM (WITH RECURSIVE walk AS (
 SELECT event_id, {_round("path_length", 6)} AS path_length,
        {_round("POWER(2.0, -path_length / (2 * (LN(15) + 0.5772156649015329) - 2 * 15.0 / 16))", 6)} AS anomaly_score
 FROM w""")
+
+
+def _boosted_tree(levels: int = 3, width: int = 8) -> str:
+    """Levels of a tree: sums by node, feature and bin, the best split of each node, rows moved on."""
+    names = ["total_requests", "avg_latency", "error_count", "active_days", "total_tokens", "days_since_last",
+             "tier_enterprise", "tier_free", "tier_pro"]
+    values = ", ".join(f"CAST({n} AS DOUBLE)" if not n.startswith("tier_")
+                       else f"CAST(user_tier = '{n[5:]}' AS DOUBLE)" for n in names)
+    over = " + ".join(f"CASE WHEN lo + (hi - lo) * {k} / {width} < v THEN 1 ELSE 0 END" for k in range(1, width))
+    sql = f"""{_ACTIVITY}, x AS (
+SELECT user_id, UNNEST(range({len(names)})) AS f, UNNEST([{values}]) AS v FROM cf),
+e AS (SELECT f, MIN(v) AS lo, MAX(v) AS hi FROM x GROUP BY f),
+b AS (SELECT user_id, f, {over} AS bin FROM x JOIN e USING (f)),
+q AS (SELECT user_id, churned - p AS g, p * (1 - p) AS h FROM cf, (SELECT AVG(churned) AS p FROM cf)),
+r0 AS (SELECT user_id, 0 AS node FROM cf)"""
+    for n in range(levels):
+        sql += f""",
+c{n} AS (
+SELECT *, SUM(g) OVER w AS gl, SUM(h) OVER w AS hl, SUM(n) OVER w AS nl,
+       SUM(g) OVER (PARTITION BY node, f) AS gt, SUM(h) OVER (PARTITION BY node, f) AS ht,
+       SUM(n) OVER (PARTITION BY node, f) AS nt
+FROM (SELECT node, f, bin, SUM(g) AS g, SUM(h) AS h, COUNT(*) AS n
+      FROM r{n} JOIN b USING (user_id) JOIN q USING (user_id) GROUP BY node, f, bin)
+WINDOW w AS (PARTITION BY node, f ORDER BY bin)),
+s{n} AS (
+SELECT DISTINCT ON (node) * FROM (
+    SELECT *, ROUND(gl * gl / (hl + 1) + (gt - gl) * (gt - gl) / (ht - hl + 1) - gt * gt / (ht + 1), 6) AS gain
+    FROM c{n} WHERE nl < nt)
+WHERE gain > 0 ORDER BY node, gain DESC, f, bin),
+r{n + 1} AS (
+SELECT r{n}.user_id, 2 * r{n}.node + CASE WHEN b.bin > s{n}.bin THEN 2 ELSE 1 END AS node
+FROM r{n} JOIN s{n} USING (node) JOIN b ON b.user_id = r{n}.user_id AND b.f = s{n}.f)"""
+    every = " UNION ALL ".join(f"SELECT * FROM s{n}" for n in range(levels))
+    return f"""{sql}
+SELECT CAST(node AS BIGINT) AS node, {names}[f + 1] AS feature,
+       {_round(f"lo + (hi - lo) * (bin + 1) / {width}", 6)} AS threshold, {_round("gain", 6)} AS gain,
+       CAST(nl AS BIGINT) AS rows_left, CAST(nt - nl AS BIGINT) AS rows_right,
+       {_round("gl / (hl + 1)", 6)} AS value_left, {_round("(gt - gl) / (ht - hl + 1)", 6)} AS value_right
+FROM ({every}) JOIN e USING (f)"""
+
+
+_orders("boosted_tree", _boosted_tree())
+
+_usage("events_of_users", """
+SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", CAST(user_id AS VARCHAR) AS user_id, endpoint
+FROM usage WHERE user_id BETWEEN 1 AND 13
+  AND "timestamp" >= TIMESTAMP '2024-01-05 06:00:00' AND "timestamp" < TIMESTAMP '2024-01-20 18:30:00'""")

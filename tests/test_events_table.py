@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from usagelens.schema import RAW_SCHEMA, conform, stage
 from usagelens.sources.events_table import (
-    compact, cull_report, cull_table, insert_new, new_rows, read_events, retain_recent,
+    compact, cull_report, cull_table, event_by_id, events_of_users, insert_new, new_rows, read_events, retain_recent,
 )
 
 
@@ -125,3 +125,33 @@ def test_cull_table_drops_days_and_rewrites_the_border(spark, raw, tmp_path, edg
     spark.catalog.clearCache()
     assert set(stored(spark, path)) == ({"new", "edge"} if edge_kept else {"new"})
     assert cull_table(spark, path, "2024-01-30 12:00:00", 10) == 0
+
+
+def rows_read(df):
+    """Rows that the scan gave out, after row groups were skipped."""
+    execution = df._jdf.queryExecution()
+    execution.toRdd().count()
+    return execution.executedPlan().collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_without_a_user_are_skipped(spark, raw, tmp_path):
+    path = str(tmp_path / "events")
+    # Every file has users around all others, so least and greatest say nothing.
+    for n in range(4):
+        insert_new(raw([{"event_id": f"e{n}-{i}", "user_id": u, "timestamp": f"2024-01-0{i % 3 + 1} 0{n}:00:00"}
+                        for i, u in enumerate(["a", "z", f"u{n}"] * 4)]), path)
+    spark.catalog.clearCache()
+    assert read_events(spark, path).count() == 48
+    found = events_of_users(spark, path, ["u2", *[f"x{i}" for i in range(20)]])
+    assert {r["user_id"] for r in found.collect()} == {"u2"} and found.count() == 4
+    assert rows_read(found) <= 12
+    assert rows_read(events_of_users(spark, path, ["m"])) == 0 and rows_read(event_by_id(spark, path, "e1-55")) == 0
+    assert [r["event_id"] for r in event_by_id(spark, path, "e1-5").collect()] == ["e1-5"]
+    some = events_of_users(spark, path, ["a", "u1"], "2024-01-02 01:00:00", "2024-01-03 02:00:00")
+    assert sorted(r["event_id"] for r in some.collect()) == sorted(
+        r["event_id"] for r in read_events(spark, path).collect()
+        if r["user_id"] in ("a", "u1") and dt.datetime(2024, 1, 2, 1) <= r["timestamp"].replace(tzinfo=None)
+        < dt.datetime(2024, 1, 3, 2))
+    assert events_of_users(spark, path, []).count() == 0
+    compact(spark, path, ["2024-01-01", "2024-01-02", "2024-01-03"])
+    assert rows_read(events_of_users(spark, path, ["m"])) == 0

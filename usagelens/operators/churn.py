@@ -5,30 +5,29 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from usagelens.operators.boosting import BoostedTrees, fit_boosted_trees
 from usagelens.operators.splits import stratified_split
-from usagelens.session import ensure_checkpoint_dir, materialize
+from usagelens.session import materialize
 
 
 @dataclass(frozen=True)
 class ChurnModel:
-    model: GBTClassificationModel
+    model: BoostedTrees
     features: tuple[str, ...]
     label: str
     test: DataFrame
 
     def predict(self, df: DataFrame) -> DataFrame:
-        return self.model.transform(assemble(df, self.features))
+        return self.model.transform(df.na.fill(0, subset=list(self.features)))
 
     def importances(self) -> DataFrame:
-        """``feature, importance``, largest first; the importances add up to 1."""
-        weights = self.model.featureImportances.toArray()
-        rows = [(name, float(w)) for name, w in zip(self.features, weights, strict=True)]
+        """``feature, importance``, largest first: shares of the gain of all splits."""
+        total = sum(self.model.gains) or 1.0
+        rows = [(name, gain / total) for name, gain in zip(self.features, self.model.gains, strict=True)]
         spark = self.test.sparkSession
         return spark.createDataFrame(rows, "feature string, importance double").orderBy(
             F.desc("importance"), "feature"
@@ -39,12 +38,9 @@ class ChurnModel:
         return evaluate(self.predict(self.test), self.label)
 
 
-def assemble(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    filled = df.na.fill(0, subset=list(features))
-    return VectorAssembler(inputCols=list(features), outputCol="features").transform(filled)
-
-
 def evaluate(predictions: DataFrame, label: str) -> DataFrame:
+    # The evaluators would take a column called probability for a vector.
+    predictions = predictions.select(label, "rawPrediction", "prediction")
     accuracy = MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
     auc = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC")
     values = [("accuracy", accuracy.evaluate(predictions)), ("roc_auc", auc.evaluate(predictions))]
@@ -64,15 +60,11 @@ def train_churn(
 
     Fails when either class is missing, instead of inventing labels.
     """
-    ensure_checkpoint_dir(df.sparkSession)
     features_once = materialize(df, "churn-features")
     split = materialize(stratified_split(features_once, label, key, test, seed), "churn-split")
     train, held_out = split.filter(~F.col("is_test")), split.filter("is_test")
     classes = {r[label] for r in train.select(label).distinct().limit(3).collect()}
     if classes != {0, 1}:
         raise ValueError(f"training needs both labels 0 and 1, found {sorted(classes)}")
-    gbt = GBTClassifier(
-        labelCol=label, maxIter=rounds, maxDepth=3, stepSize=0.1, seed=seed,
-        checkpointInterval=10,
-    )
-    return ChurnModel(gbt.fit(assemble(train, features)), tuple(features), label, held_out)
+    model = fit_boosted_trees(train.na.fill(0, subset=list(features)), features, label, rounds)
+    return ChurnModel(model, tuple(features), label, held_out)

@@ -7,6 +7,7 @@ string, date, boolean, timestamp without zone) and unrounded ones with six digit
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 
 from usagelens.functions.numeric import half_up
 from usagelens.functions.wire import decode_events, encode_event, rejected
-from usagelens.operators import cohorts, filters, gaps, quality, splits, users
+from usagelens.operators import boosting, cohorts, filters, gaps, quality, splits, users
 from usagelens.operators.churn import evaluate
 from usagelens.operators.isolation_forest import NODE_SCHEMA, IsolationForestModel, path_lengths
 from usagelens.operators.keyed import first_per_key, latest_per_key
@@ -360,6 +361,15 @@ def insert_new(spark, sf_dir):
     return table.read().exceptAll(first)
 
 
+@query
+def events_of_users(spark, sf_dir):
+    # From a stored table; more users than one pushed-down list has.
+    path = scratch_path(spark, "user-events")
+    events_table.insert_new(conform(_sent(spark, sf_dir)), path)
+    return events_table.events_of_users(spark, path, range(1, 14), "2024-01-05 06:00:00", "2024-01-20 18:30:00").select(
+        "event_id", "timestamp", "user_id", "endpoint")
+
+
 @query
 def retain_recent(spark, sf_dir):
     return events_table.retain_recent(events(spark, sf_dir), "2024-01-31 12:00:00", 10).select(
@@ -577,6 +587,24 @@ def churn_model(spark, sf_dir):
     return _churn(spark.sparkContext.applicationId, sf_dir).metrics()
 
 
+@query
+def boosted_tree(spark, sf_dir):
+    # The first tree of a churn model, with bins of one width: its splits, their gains and both values.
+    rows = users.churn_features(order_days(spark, sf_dir), ORDERS_AS_OF)
+    names = users.feature_columns()
+    rows = materialize(rows.select(F.col("churned").cast("double").alias("churned"), *names), "boosted-tree")
+    edges = boosting.equal_edges(rows, names, 8)
+    share = rows.agg(F.avg("churned")).first()[0]
+    base = math.log(share / (1 - share))
+    binned = boosting.bins(rows, names, edges)
+    splits = boosting.grow_tree(boosting.gradients(binned, "churned", f"{base!r}D"), len(names), depth=3)
+    found = [(s.node, names[s.feature], edges[s.feature][s.bin], s.gain, s.left[2], s.right[2], *s.values())
+             for s in splits.values()]
+    return _rounded(spark.createDataFrame(
+        found, "node long, feature string, threshold double, gain double, rows_left long, rows_right long, "
+               "value_left double, value_right double"))
+
+
 @query
 def model_metrics(spark, sf_dir):
     # The metrics of a score that is a formula of the data: the days since the last activity.

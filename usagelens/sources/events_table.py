@@ -7,10 +7,12 @@ The table is partitioned by ``event_date`` and has one writer at a time. Uniquen
 from __future__ import annotations
 
 import datetime as dt
+import functools
+import operator
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,7 +55,43 @@ def _stored(rows: DataFrame, existing: DataFrame, key: str) -> DataFrame:
 
 
 def event_table(spark: SparkSession, path: str) -> KeyedTable:
-    return KeyedTable(spark, path, TABLE_SCHEMA, "event_id", "event_date", ("timestamp", "user_id"))
+    return KeyedTable(spark, path, TABLE_SCHEMA, "event_id", "event_date", ("timestamp", "user_id"),
+                      lookups=("event_id", "user_id"))
+
+
+#: Values of one pushed-down list; longer ones would only be pushed as a range.
+PUSHED = 10
+
+
+def _among(column: str, values: Sequence[str]) -> Column:
+    """Whether a column has one of ``values``, as lists that reach the Bloom filters."""
+    parts = [F.col(column).isin(list(values[i:i + PUSHED])) for i in range(0, len(values), PUSHED)]
+    return functools.reduce(operator.or_, parts, F.lit(False))
+
+
+def events_of_users(
+    spark: SparkSession, path: str, users: Sequence[str], start: dt.datetime | str | None = None,
+    end: dt.datetime | str | None = None,
+) -> DataFrame:
+    """The stored events of some users in ``[start, end)``.
+
+    Days come from the folders, times from the files' statistics, and row groups without one of the
+    users are skipped by their Bloom filters. ``users`` is part of the plan, so for a list from a caller;
+    many users are better joined.
+    """
+    rows = read_events(spark, path).where(_among("user_id", [str(u) for u in users]))
+    if start is not None:
+        rows = rows.where((F.col("timestamp") >= dates.instant(start))
+                          & (F.col("event_date") >= dates.instant(start).cast("date")))
+    if end is not None:
+        rows = rows.where((F.col("timestamp") < dates.instant(end))
+                          & (F.col("event_date") <= dates.instant(end).cast("date")))
+    return rows
+
+
+def event_by_id(spark: SparkSession, path: str, event_id: str) -> DataFrame:
+    """The stored event of an id, if there is one, found by the Bloom filters."""
+    return read_events(spark, path).where(F.col("event_id") == event_id)
 
 
 def insert_new(
@@ -96,9 +134,7 @@ def compact(spark: SparkSession, path: str, days: Sequence[dt.date | str]) -> No
     """
     chosen = read_events(spark, path).filter(F.col("event_date").isin([dates.day(d) for d in days]))
     copy = materialize(chosen, "compact")
-    copy.hint("rebalance", F.col("event_date")).sortWithinPartitions(
-        "event_date", "timestamp", "user_id").write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("event_date").parquet(path)
+    event_table(spark, path).writer(copy).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _cutoff(as_of: dt.datetime | dt.date | str, keep_days: int):
@@ -143,8 +179,8 @@ def cull_table(
     kept = retain_recent(border, as_of, keep_days)
     rewrite = not kept.isEmpty()
     if rewrite:
-        kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-            "event_date").parquet(path)
+        event_table(spark, path).writer(kept).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").parquet(path)
 
     for name in list_names(spark, path):
         if not name.startswith("event_date="):

@@ -21,7 +21,7 @@ from collections import defaultdict
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,7 +62,8 @@ class Run:
 @dataclass(frozen=True)
 class KeyedTable:
     """``schema`` has all columns of the table, ``day`` is its partition column, if it has one, and
-    ``sort`` the order of rows in a file."""
+    ``sort`` the order of rows in a file. Columns of ``lookups`` get Bloom filters, by which readers skip
+    the row groups without a value."""
 
     spark: SparkSession
     path: str
@@ -70,6 +71,7 @@ class KeyedTable:
     key: str
     day: str | None = None
     sort: tuple[str, ...] = ()
+    lookups: tuple[str, ...] = ()
     bucket_rows: int = BUCKET_ROWS
 
     def read(self) -> DataFrame:
@@ -158,12 +160,16 @@ class KeyedTable:
                 delete(self.spark, self._at(run))
             return self._merge()
 
+    def writer(self, rows: DataFrame) -> DataFrameWriter:
+        """A writer of ``rows`` in the table's layout."""
+        if self.day:
+            # Rebalancing splits a day with a third of all rows and merges small ones.
+            rows = rows.hint("rebalance", F.col(self.day)).sortWithinPartitions(self.day, *self.sort)
+        writer = rows.write.partitionBy(self.day) if self.day else rows.write
+        return writer.options(**{f"parquet.bloom.filter.enabled#{c}": "true" for c in self.lookups})
+
     def _add_rows(self, rows: DataFrame) -> None:
-        if not self.day:
-            return rows.write.mode("append").parquet(self.path)
-        # Rebalancing splits a day with a third of all rows and merges small ones.
-        dealt = rows.hint("rebalance", F.col(self.day)).sortWithinPartitions(self.day, *self.sort)
-        dealt.write.mode("append").partitionBy(self.day).parquet(self.path)
+        self.writer(rows).mode("append").parquet(self.path)
 
     def _write(self, keys: DataFrame, rows: int, kind: str) -> Run | None:
         if rows == 0:
