@@ -7,7 +7,7 @@ from usagelens.operators import filters
 from usagelens.operators.keyed import latest_per_key
 from usagelens.plans import reports
 from usagelens.schema import conform, stage
-from usagelens.session import materialize, scratch_path, shared_root
+from usagelens.session import materialize, path_exists, scratch, scratch_path, shared_root
 from usagelens.sources import testtables
 from usagelens.sources.events_table import insert_new, new_rows, read_events, retain_recent
 
@@ -38,6 +38,19 @@ def test_shared_folder_is_the_configured_one(spark):
     assert materialize(spark.range(3), "numbers").count() == 3
 
 
+def test_scratch_tables_go_with_their_block(spark, tmp_path):
+    out = str(tmp_path / "out")
+    outer = materialize(spark.range(2), "stays")
+    with scratch(spark):
+        first = materialize(spark.range(3), "goes")
+        with scratch(spark):
+            materialize(first, "goes-too").write.parquet(out)
+        paths = [f for df in (first,) for f in df.inputFiles()]
+        assert first.count() == 3
+    assert not any(path_exists(spark, p) for p in paths)
+    assert spark.read.parquet(out).count() == 3 and outer.count() == 2
+
+
 def test_date_filters_reach_the_partitions(table):
     for df in (
         filters.last_days(stage(table), "2024-01-10", 3),

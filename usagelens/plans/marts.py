@@ -16,7 +16,7 @@ from usagelens.operators.measures import user_days
 from usagelens.operators.quality import Check, check_rows, in_set, not_null, unique
 from usagelens.plans import reports
 from usagelens.schema import ENDPOINTS, USER_TIERS
-from usagelens.session import materialize, path_exists
+from usagelens.session import materialize, path_exists, scratch
 
 STAGING_VIEW = "stg_api_events"
 ROLLUP = "user_days"
@@ -87,7 +87,8 @@ def build_marts(
     for name, build in FROM_ROLLUP.items():
         build(daily(ROLLUP)).write.mode("overwrite").parquet(paths[name])
     reports.endpoint_metrics(staged, parts=daily(PARTS)).write.mode("overwrite").parquet(paths["endpoints"])
-    _write_months(spark, daily(ROLLUP), paths[MONTHS], since)
+    with scratch(spark):
+        _write_months(spark, daily(ROLLUP), paths[MONTHS], since)
     cohorts_of_months(spark.read.parquet(paths[MONTHS])).write.mode("overwrite").parquet(paths["cohort_retention"])
     return {name: path for name, path in paths.items() if name not in (PARTS, MONTHS)}
 

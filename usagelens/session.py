@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,9 +19,6 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Do not record a Python stack for every column expression.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
-    # Stream state lives on disk, so it may outgrow the executor heap.
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -61,10 +61,31 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     reading them again.
     """
     path = scratch_path(df.sparkSession, name)
+    if made := getattr(_INSIDE, "made", None):
+        made[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_INSIDE = threading.local()
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove what :func:`materialize` writes inside, when the block ends.
+
+    For work whose results are written by then; frames made inside cannot be read afterwards. Outside of
+    such a block the tables stay, as lazy results still read them. Blocks of other threads are apart.
+    """
+    made = _INSIDE.made = getattr(_INSIDE, "made", [])
+    made.append([])
+    try:
+        yield
+    finally:
+        for path in made.pop():
+            delete(spark, path)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Give iterative algorithms a reliable place to cut their lineage."""
     if spark.sparkContext.getCheckpointDir() is None:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from usagelens.functions import dates
 from usagelens.operators.keyed import first_per_key
 from usagelens.schema import RAW_SCHEMA
-from usagelens.session import delete, list_names, materialize, path_exists
+from usagelens.session import delete, list_names, materialize, path_exists, scratch
 from usagelens.sources.keyed_table import KeyedTable
 
 TABLE_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField("event_date", T.DateType())])
@@ -123,7 +123,8 @@ def insert_new(
 
     pruned = prune_by_date and path_exists(spark, path)
     rows = with_event_date(first_per_key(batch, "event_id", order))
-    event_table(spark, path).append(rows, on_its_days if pruned else None)
+    with scratch(spark):
+        event_table(spark, path).append(rows, on_its_days if pruned else None)
     return span["n"]
 
 
@@ -133,8 +134,10 @@ def compact(spark: SparkSession, path: str, days: Sequence[dt.date | str]) -> No
     The rows are first copied to the shared folder, so that a failure leaves the table readable.
     """
     chosen = read_events(spark, path).filter(F.col("event_date").isin([dates.day(d) for d in days]))
-    copy = materialize(chosen, "compact")
-    event_table(spark, path).writer(copy).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    with scratch(spark):
+        copy = materialize(chosen, "compact")
+        event_table(spark, path).writer(copy).mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").parquet(path)
 
 
 def _cutoff(as_of: dt.datetime | dt.date | str, keep_days: int):

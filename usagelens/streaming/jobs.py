@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 from usagelens.functions.numeric import ratio
 from usagelens.operators.keyed import first_per_key
 from usagelens.schema import RAW_SCHEMA, conform
-from usagelens.session import delete, list_names, path_exists, rename
+from usagelens.session import delete, list_names, path_exists, rename, scratch
 from usagelens.sources.events_table import insert_new
 from usagelens.sources.keyed_table import KeyedTable
 
@@ -52,7 +52,8 @@ def dedup_stream(
     """
 
     def insert(batch: DataFrame, batch_id: int) -> None:
-        KeyedTable(batch.sparkSession, sink, batch.schema, key).append(first_per_key(batch, key, order))
+        with scratch(batch.sparkSession):
+            KeyedTable(batch.sparkSession, sink, batch.schema, key).append(first_per_key(batch, key, order))
 
     return _drain(stream, insert, checkpoint)
 
@@ -124,7 +125,11 @@ def live_metrics(
     run = hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark, name = batch.sparkSession, f"{run}-{batch_id}"
+        with scratch(batch.sparkSession):
+            add_part(batch, f"{run}-{batch_id}")
+
+    def add_part(batch: DataFrame, name: str) -> None:
+        spark = batch.sparkSession
         _merge_generation(spark, sink, keys, keep=name)
         batch = batch.withColumn("event_date", F.to_date("timestamp"))
         table = KeyedTable(spark, events, batch.schema, "event_id", "event_date", ("timestamp",))
