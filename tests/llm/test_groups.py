@@ -143,6 +143,26 @@ def test_substring_dedup_equals_brute_force(spark, group_rows):
             assert sum(s["last"] - s["first"] + 1 for s in r["removed"]) == r["n_removed"]
 
 
+def test_word_hashes_follow_the_words_alone(monkeypatch):
+    rng = random.Random(4)
+    words = ["a", "b", "ab", "ba", "é", "\x00", "x" * 40, "y" * 90, *("".join(rng.choices("abc", k=6)) for _ in range(40))]
+    known = {}
+    for block in (64, 1 << 22):
+        monkeypatch.setattr(substring_dedup, "BLOCK", block)
+        for _ in range(200):
+            chosen = rng.choices(words, k=rng.randrange(30))
+            text = rng.choice(["", " ", "\n\t"]) + "".join(w + "".join(rng.choices(" \t\n\x0b\f\r", k=rng.randrange(1, 4)))
+                                                         for w in chosen)
+            hashes = substring_dedup.word_hashes(text).tolist()
+            assert len(hashes) == len(chosen)
+            for w, h in zip(chosen, hashes):
+                # Words of a block's length or more are hashed in another way.
+                assert known.setdefault((w, len(w.encode()) >= block), h) == h
+    short = {k: h for k, h in known.items() if not k[1]}
+    assert len(set(short.values())) == len(short)
+    assert len(substring_dedup.word_hashes(None)) == len(substring_dedup.word_hashes(" \n")) == 0
+
+
 def test_substring_dedup_of_nothing(spark):
     assert substring_dedup.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
     out = substring_dedup.dedup(spark.createDataFrame([(1, None), (2, "short")], SCHEMA))

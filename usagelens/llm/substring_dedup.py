@@ -14,7 +14,9 @@ its least document keeps it. Neighbouring repeated windows join to maximal repea
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.llm.common import WordTable, map_texts, text_bytes
+from usagelens.llm.common import SPACES, map_texts, text_bytes
 from usagelens.session import materialize
 
 WINDOW = 50
@@ -31,8 +33,51 @@ LAST = (1 << 63) - 1
 BASE = 0x9E3779B97F4A7C15
 
 
-def word_hashes() -> WordTable:
-    return WordTable(lambda words: np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words)))
+#: Bytes whose words are hashed together; a longer word is hashed by itself.
+BLOCK = 1 << 22
+IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES.encode(), np.uint8))
+
+
+@cache
+def byte_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base, and of its inverse, for blocks of up to 2^bits bytes."""
+    one = np.full((1 << bits) - 1, BASE, np.uint64)
+    back = np.full((1 << bits) - 1, pow(BASE, -1, 1 << 64), np.uint64)
+    return tuple(np.concatenate([[np.uint64(1)], np.multiply.accumulate(x)]) for x in (one, back))
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return values ^ (values >> np.uint64(32))
+
+
+def block_hashes(block: np.ndarray) -> np.ndarray:
+    """A hash of each word of some bytes, which does not depend on its place: a polynomial, mixed."""
+    edges = np.diff((~IS_SPACE[block]).view(np.int8), prepend=np.int8(0), append=np.int8(0))
+    starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
+    powers, back = byte_powers(max(8, (len(block) - 1).bit_length()))
+    sums = np.concatenate([[np.uint64(0)], np.cumsum((block.astype(np.uint64) + np.uint64(1)) * powers[:len(block)])])
+    return mixed((sums[ends] - sums[starts]) * back[starts])
+
+
+def word_hashes(text: str | None) -> np.ndarray:
+    """A hash of each word of a text. Hashes only choose groups, in which the words themselves are compared."""
+    data, at, out = text_bytes(text), 0, [np.zeros(0, np.uint64)]
+    while at < len(data):
+        end = min(at + BLOCK, len(data))
+        if end < len(data):
+            # The block ends after its last space; without one it is a word of BLOCK bytes or more.
+            last = max(data.rfind(c, at, end) for c in SPACES.encode())
+            if last < 0:
+                gap = re.compile(rb"[ \t\n\x0b\f\r]").search(data, end)
+                end = gap.start() if gap else len(data)
+                out.append(np.array([xxhash.xxh64_intdigest(data[at:end])], np.uint64))
+                at = end
+                continue
+            end = last + 1
+        out.append(block_hashes(np.frombuffer(data, np.uint8, end - at, at)))
+        at = end
+    return np.concatenate(out)
 
 
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
@@ -45,10 +90,7 @@ def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:
     powers = np.multiply.accumulate(np.full(len(hashes), power, np.uint64))
     back = np.multiply.accumulate(np.full(n, inverse, np.uint64))
     sums = np.concatenate([[np.uint64(0)], np.add.accumulate(hashes * powers)])
-    value = (sums[length:length + n] - sums[:n]) * back
-    value ^= value >> np.uint64(32)
-    value *= np.uint64(0xD6E8FEB86659FD93)
-    return value ^ (value >> np.uint64(32))
+    return mixed((sums[length:length + n] - sums[:n]) * back)
 
 
 def least_in_run(values: np.ndarray, width: int) -> np.ndarray:
@@ -94,25 +136,29 @@ def pending_marks(size: int, runs: list[dict] | None) -> np.ndarray:
     return marks
 
 
-def document_anchors(texts: list[str | None], pending: list, table: WordTable, length: int,
-                     window: int) -> list[list[dict]]:
-    """The anchors (key, at) of each text's pending windows."""
-    out = []
+def document_anchors(texts: list[str | None], pending: list, length: int,
+                     window: int) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """The anchors of each text's pending windows: keys, and places."""
+    keys, places = [], []
     for text, runs in zip(texts, pending, strict=True):
-        at, values = anchored(table.lookup(text_bytes(text).split()), length, window)
-        chosen = np.unique(at[pending_marks(len(at), runs)])
-        out.append([{"key": k, "at": a} for k, a in zip(values[chosen].view(np.int64).tolist(), chosen.tolist(), strict=True)])
-    return out
+        at, values = anchored(word_hashes(text), length, window)
+        if runs is not None:
+            at = at[pending_marks(len(at), runs)]
+        # Anchors of following windows never step back.
+        chosen = at[np.flatnonzero(np.diff(at, prepend=-1))]
+        keys.append(values[chosen].view(np.int64))
+        places.append(chosen.astype(np.int32))
+    return keys, places
 
 
-def document_stretches(texts: list[str | None], pending: list, shared: list, table: WordTable, length: int,
+def document_stretches(texts: list[str | None], pending: list, shared: list, length: int,
                        window: int) -> tuple[list[list[dict]], list[list[dict]]]:
     """For each text the stretches (key, first, words) of its shared anchors, and the runs of windows
     whose anchors have too large a group."""
     stretches, left = [], []
     for text, runs, marks in zip(texts, pending, shared, strict=True):
         words = text_bytes(text).split()
-        at, values = anchored(table.lookup(words), length, window)
+        at, values = anchored(word_hashes(text), length, window)
         state = np.zeros(len(values), np.int8)
         for mark in marks:
             state[mark["at"]] = 2 if mark["large"] else 1
@@ -213,13 +259,12 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             else docs.join(pending, ["id", "mark"])
 
         def start_anchors(length: int = length) -> Callable[..., list]:
-            table = word_hashes()
-            return lambda texts, runs: [document_anchors(texts, runs, table, length, window)]
+            return lambda texts, runs: list(document_anchors(texts, runs, length, window))
 
         anchors = materialize(
-            map_texts(source, "text", "anchors array<struct<key: long, at: int>>", start_anchors, ("runs",))
-            .drop("text", "runs").where(F.size("anchors") > 0), "anchors")
-        places = anchors.select("id", "mark", F.inline("anchors"))
+            map_texts(source, "text", "key array<long>, at array<int>", start_anchors, ("runs",))
+            .drop("text", "runs").where(F.size("key") > 0), "anchors")
+        places = anchors.select("id", "mark", F.inline(F.arrays_zip("key", "at")))
         large = F.lit(False) if at_end else F.col("n") > group_rows
         # Stored, so that the join has a plain exchange on both sides and a very common key can be split.
         common = materialize(
@@ -230,8 +275,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             F.collect_set(F.struct("at", "large")).alias("shared"))
 
         def start_stretches(length: int = length) -> Callable[..., list]:
-            table = word_hashes()
-            return lambda texts, runs, shared: list(document_stretches(texts, runs, shared, table, length, window))
+            return lambda texts, runs, shared: list(document_stretches(texts, runs, shared, length, window))
 
         found = materialize(
             map_texts(source.join(marks, ["id", "mark"]), "text",
