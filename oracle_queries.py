@@ -584,6 +584,8 @@ for _same_as, _name in (
     ("endpoint_metrics", "endpoint_metrics_from_marts"),
     ("current_metrics", "current_metrics_from_marts"),
     ("cohort_mart_orders", "cohort_mart_incremental"),
+    ("newest_100", "newest_100_of_days"),
+    ("token_usage", "sink_json"), ("daily_errors", "sink_csv"), ("rollout_report", "sink_text"),
     ("endpoint_metrics", "mart_endpoints"),
     ("user_day_rollup", "mart_user_days"),
     *((name, f"mart_{name}") for name in (
@@ -664,3 +666,14 @@ _usage("events_of_users", """
 SELECT CAST(event_id AS VARCHAR) AS event_id, "timestamp", CAST(user_id AS VARCHAR) AS user_id, endpoint
 FROM usage WHERE user_id BETWEEN 1 AND 13
   AND "timestamp" >= TIMESTAMP '2024-01-05 06:00:00' AND "timestamp" < TIMESTAMP '2024-01-20 18:30:00'""")
+
+_usage("append_batches", f"""{_SLOTS}, h AS (
+SELECT slot, sha1(unhex('a1b2c3d4e5f67890abcdef1234567890') || encode(strftime(slot, '%Y-%m-%d %H:%M'))) AS d
+FROM hit WHERE slot >= TIMESTAMP '2024-01-10' AND slot < TIMESTAMP '2024-01-12')
+SELECT d[1:8] || '-' || d[9:12] || '-5' || d[14:16] || '-'
+    || CASE WHEN d[17:17] IN ('0','4','8','c') THEN '8' WHEN d[17:17] IN ('1','5','9','d') THEN '9'
+            WHEN d[17:17] IN ('2','6','a','e') THEN 'a' ELSE 'b' END
+    || d[18:20] || '-' || d[21:32] AS event_id, CAST(slot AS TIMESTAMP) AS "timestamp", CAST(NULL AS VARCHAR) AS user_id
+FROM h
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), "timestamp", CAST(user_id AS VARCHAR) FROM usage""")

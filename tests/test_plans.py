@@ -75,6 +75,16 @@ def test_newest_day_prunes_partitions(table):
     assert scans and all("Subquery" in line for line in scans)
 
 
+def test_newest_rows_come_from_the_newest_days(table):
+    rows = stage(table)
+    for n in (1, 3, 10, 50):
+        got = filters.newest_of_days(rows, n)
+        assert got.collect() == filters.newest(rows, n).collect()
+    text = plan(filters.newest_of_days(rows, 2), formatted=True)
+    assert any("event_date" in line and "Subquery" in line for line in text.splitlines() if "PartitionFilters" in line)
+    assert filters.newest_of_days(rows.limit(0), 2).count() == 0
+
+
 def test_top_k_is_not_a_full_sort(table):
     for df in (filters.newest(stage(table), 3), reports.errors_top(stage(table))):
         text = plan(df)

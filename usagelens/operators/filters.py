@@ -42,6 +42,21 @@ def newest(df: DataFrame, n: int = 10_000, ts: str = "timestamp", key: str = "ev
     return df.orderBy(F.desc(ts), F.desc(key)).limit(n)
 
 
+def newest_of_days(
+    df: DataFrame, n: int = 10_000, ts: str = "timestamp", key: str = "event_id", date: str = "event_date"
+) -> DataFrame:
+    """:func:`newest` of a table with a folder per day: the days from the newest on that have ``n`` rows.
+
+    Counting by day reads no column, and the day found prunes the folders while the query runs.
+    """
+    days = df.groupBy(date).agg(F.count(F.lit(1)).alias("n")).where(F.col(date).isNotNull())
+    up_to = F.sum("n").over(W.orderBy(F.desc(date)))
+    # Without enough rows there is no such day, and all are read.
+    enough = days.select(date, up_to.alias("n")).where(F.col("n") >= n).agg(F.max(date)).scalar()
+    first = F.coalesce(enough, F.lit("0001-01-01").cast("date"))
+    return newest(df.filter(F.col(date) >= first), n, ts, key)
+
+
 def mark_partial(daily: DataFrame, as_of: dt.date | str, date: str = "event_date") -> DataFrame:
     """Flag days still in progress, and the last complete day that a chart joins them to.
 

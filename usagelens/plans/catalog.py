@@ -23,7 +23,7 @@ from usagelens.operators.keyed import first_per_key, latest_per_key
 from usagelens.plans import marts, reports, training
 from usagelens.schema import WIRE_SCHEMA, conform, stage
 from usagelens.session import materialize, scratch_path
-from usagelens.sources import events_table, kafka, testtables
+from usagelens.sources import events_table, files, kafka, testtables
 from usagelens.sources.keyed_table import KeyedTable
 from usagelens.streaming import jobs
 
@@ -221,6 +221,16 @@ def newest_100(spark, sf_dir):
     return filters.newest(events(spark, sf_dir), 100).select("event_id", "timestamp", "user_id")
 
 
+@query
+def newest_100_of_days(spark, sf_dir):
+    # From a table with a folder per day.
+    path = scratch_path(spark, "events-by-day")
+    rows = events(spark, sf_dir).select("event_id", "timestamp", "user_id", "event_date")
+    rows.write.partitionBy("event_date").parquet(path)
+    stored = spark.read.schema(rows.schema).parquet(path)
+    return filters.newest_of_days(stored, 100).select("event_id", "timestamp", "user_id")
+
+
 @query
 def latest_tier_per_user(spark, sf_dir):
     # Tiers change from order to order.
@@ -418,6 +428,39 @@ def slot_event_id(spark, sf_dir):
     return gaps.backfill_keys(gaps.existing_slots(events(spark, sf_dir)))
 
 
+@query
+def append_batches(spark, sf_dir):
+    # Backfilled events, which have no user yet, and other events as one batch.
+    keys = gaps.backfill_keys(gaps.existing_slots(events(spark, sf_dir), "2024-01-10", "2024-01-12"))
+    others = events(spark, sf_dir).select(F.col("event_id").cast("string").alias("event_id"), "timestamp",
+                                          F.col("user_id").cast("string").alias("user_id"))
+    return gaps.append_events(keys.withColumnRenamed("slot", "timestamp"), others)
+
+
+# Report sinks, read back.
+
+
+@query
+def sink_json(spark, sf_dir):
+    report, path = reports.token_usage(days(spark, sf_dir)), scratch_path(spark, "report-json")
+    files.write_json(report, path)
+    return spark.read.schema(report.schema).json(path)
+
+
+@query
+def sink_csv(spark, sf_dir):
+    report, path = reports.daily_errors(events(spark, sf_dir)), scratch_path(spark, "report-csv")
+    files.write_csv(report, path)
+    return spark.read.schema(report.schema).csv(path, header=True, enforceSchema=False)
+
+
+@query
+def sink_text(spark, sf_dir):
+    path = scratch_path(spark, "report-text")
+    files.write_text(training.rollout_report(_rollout_effect(spark, sf_dir)), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
 @query
 def hourly_profile(spark, sf_dir):
     return _rounded(gaps.hourly_profile(events(spark, sf_dir)))
