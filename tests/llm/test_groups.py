@@ -147,7 +147,7 @@ def test_word_hashes_follow_the_words_alone(monkeypatch):
     rng = random.Random(4)
     words = ["a", "b", "ab", "ba", "é", "\x00", "x" * 40, "y" * 90, *("".join(rng.choices("abc", k=6)) for _ in range(40))]
     known = {}
-    for block in (64, 1 << 22):
+    for block in (64, 1 << 19):
         monkeypatch.setattr(substring_dedup, "BLOCK", block)
         for _ in range(200):
             chosen = rng.choices(words, k=rng.randrange(30))

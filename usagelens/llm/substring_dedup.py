@@ -34,7 +34,7 @@ BASE = 0x9E3779B97F4A7C15
 
 
 #: Bytes whose words are hashed together; a longer word is hashed by itself.
-BLOCK = 1 << 22
+BLOCK = 1 << 19
 IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES.encode(), np.uint8))
 
 
