@@ -31,6 +31,8 @@ FOLDER = "_keys"
 RUN, PENDING, MERGING = "run", "pending", "merging"
 #: Rows of a bucket, about, and how many runs of one size are merged.
 BUCKET_ROWS, FAN = 250_000, 8
+#: Buckets are folders, so a very large run has larger ones instead of more than 2^14.
+MOST_BITS = 14
 
 
 @dataclass(frozen=True)
@@ -174,7 +176,7 @@ class KeyedTable:
     def _write(self, keys: DataFrame, rows: int, kind: str) -> Run | None:
         if rows == 0:
             return None
-        buckets = 1 << max(0, (rows // self.bucket_rows).bit_length())
+        buckets = 1 << min(MOST_BITS, (rows // self.bucket_rows).bit_length())
         run = Run(f"{kind}-{rows}-{buckets}-{uuid.uuid4().hex}")
         dealt = keys.withColumn("bucket", self._bucket(buckets)).hint("rebalance", F.col("bucket"))
         dealt.sortWithinPartitions("bucket", self.key).write.partitionBy("bucket").parquet(self._at(run))
