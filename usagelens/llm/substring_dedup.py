@@ -30,6 +30,8 @@ from usagelens.session import materialize
 WINDOW = 50
 LENGTHS = (10, 20, 30, 40, 50)
 LAST = (1 << 63) - 1
+#: Characters that a task works on at a time, about.
+CHUNK = 1_000_000
 BASE = 0x9E3779B97F4A7C15
 
 
@@ -262,7 +264,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
             return lambda texts, runs: list(document_anchors(texts, runs, length, window))
 
         anchors = materialize(
-            map_texts(source, "text", "key array<long>, at array<int>", start_anchors, ("runs",))
+            map_texts(source, "text", "key array<long>, at array<int>", start_anchors, ("runs",), CHUNK)
             .drop("text", "runs").where(F.size("key") > 0), "anchors")
         places = anchors.select("id", "mark", F.inline(F.arrays_zip("key", "at")))
         large = F.lit(False) if at_end else F.col("n") > group_rows
@@ -280,7 +282,7 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", windo
         found = materialize(
             map_texts(source.join(marks, ["id", "mark"]), "text",
                       "stretches array<struct<key: long, first: int, words: string>>, "
-                      "rest array<struct<first: int, last: int>>", start_stretches, ("runs", "shared"))
+                      "rest array<struct<first: int, last: int>>", start_stretches, ("runs", "shared"), CHUNK)
             .select("id", "mark", "stretches", "rest"), "stretches")
         levels.append(found.select("id", "mark", F.inline("stretches")).withColumnRenamed("first", "start"))
         # Stored, so that its size is known when the texts are joined with it, and a small one is broadcast.
@@ -346,5 +348,5 @@ def dedup(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int
 
     added = "n_words long, n_removed long, removed array<struct<first: int, last: int>>, kept string"
     joined = base.join(found, ["id", "mark"], "left").select("row", "text", "runs")
-    out = map_texts(joined, "text", added, lambda: make, ("runs",))
+    out = map_texts(joined, "text", added, lambda: make, ("runs",), CHUNK)
     return out.select("row.*", "n_words", "n_removed", "removed", "kept")
