@@ -90,3 +90,24 @@ def test_nothing_to_split(spark):
     model = boosting.fit_boosted_trees(df, ["a"], "label", rounds=3)
     assert len(model.nodes) == 0
     assert model.transform(df).first()["probability"] == pytest.approx(2 / 3)
+
+
+def test_rows_lie_in_files_of_bounded_size(spark, table, monkeypatch):
+    _, _, df = table
+    stored, write = [], boosting.materialize
+    monkeypatch.setattr(boosting, "FILE_ROWS", 100)
+    monkeypatch.setattr(boosting, "materialize", lambda rows, name: stored.append(write(rows, name)) or stored[-1])
+    boosting.fit_boosted_trees(df.toDF("label", "a", "b", "c"), ["a", "b", "c"], "label", rounds=10, depth=1)
+    assert [len(rows.inputFiles()) for rows in stored] == [5, 5]
+
+
+def test_predictions_are_no_walk_of_arrays(spark, table):
+    _, _, df = table
+    model = boosting.fit_boosted_trees(df.toDF("label", "a", "b", "c"), ["a", "b", "c"], "label", rounds=2)
+    rows = spark.createDataFrame([(None, 1, 1), (9, None, 1)], "a int, b int, c int")
+    scored = model.transform(rows)
+    plan = scored._jdf.queryExecution().toString()
+    assert "ArrowEvalPython" in plan and "lambda" not in plan
+    # A missing value is not below any threshold, so it goes where the greatest one does.
+    first, second = (r["rawPrediction"] for r in scored.collect())
+    assert first == pytest.approx(model.transform(rows.na.fill(9)).first()["rawPrediction"]) and second is not None

@@ -2,29 +2,33 @@
 
 Features are cut into bins once. A level sums the gradients and their weights of the rows by node,
 feature and bin, combined before the shuffle; from these sums, of which there are nodes times features
-times bins, the driver takes each node's best split. Rows keep their bins and their margin only. The
-margin grows by an expression for each tree and is written anew from time to time, so that plans
-stay small and a lost executor costs a few trees.
+features and bins, the driver takes each node's best split. Rows keep their bins and their margin only. The
+margin grows in the tasks by the trees that came since and is written anew from time to time, so that
+a level costs a few trees at most and so does a lost executor. Tasks sum their rows with numpy, and rows lie in files of
+bounded size, so that a level has as many tasks as the rows ask for.
 """
 
 from __future__ import annotations
 
 import math
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from usagelens.operators.isolation_forest import NODE_SCHEMA, path_lengths
+from usagelens.operators.isolation_forest import NODE_SCHEMA
 from usagelens.session import materialize
 
 #: Added to the weights of a side, and the decimals to which gains are compared.
 PENALTY, DECIMALS = 1.0, 6
-#: Trees between two writes of the margin.
-STORED = 10
+#: Trees between two writes of the margin, and rows of a file of them.
+STORED, FILE_ROWS = 10, 50_000
+#: What tasks give of a level: sums of the rows of a node in a bin of a feature.
+CELL_SCHEMA = "node int, feature int, bin int, gradient double, weight double, rows long"
 
 
 @dataclass(frozen=True)
@@ -46,6 +50,10 @@ class Split:
         return tuple(g / (h + PENALTY) for g, h, _ in (self.left, self.right))
 
 
+#: A finished tree: its splits, and what its leaves add to the margin.
+Addition = tuple[dict[int, Split], dict[int, float]]
+
+
 def bins(df: DataFrame, features: Sequence[str], edges: Sequence[Sequence[float]]) -> DataFrame:
     """Add ``_b0, _b1, ...``: how many edges of its feature a row's value is greater than."""
 
@@ -97,15 +105,68 @@ def tree_case(splits: dict[int, Split], leaf, node: int = 0) -> str:
     return f"CASE WHEN _b{split.feature} <= {split.bin} THEN {left} ELSE {right} END"
 
 
-def grow_tree(rows: DataFrame, features: int, depth: int) -> dict[int, Split]:
-    """Splits by node, the root being 0, of ``rows`` (gradient, weight, _b0, _b1, ...)."""
+def nodes_of(bins: np.ndarray, splits: dict[int, Split]) -> np.ndarray:
+    """The node that each row of ``bins`` ends at."""
+    node = np.zeros(len(bins), np.int64)
+    for n in sorted(splits):
+        own = np.flatnonzero(node == n)
+        node[own] = 2 * n + 1 + (bins[own, splits[n].feature] > splits[n].bin)
+    return node
+
+
+def cell_sums(
+    level: Sequence[int], splits: dict[int, Split], features: int, added: Sequence[Addition],
+) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Sums of a task's rows by node of ``level``, feature and bin; see :func:`grow_tree`."""
+    first, nodes = min(level), max(level) - min(level) + 1
+    names = [f"_b{i}" for i in range(features)]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((3, nodes, features, 0))
+        for batch in batches:
+            bins = batch[names].to_numpy(np.int64)
+            if "gradient" in batch:
+                gradient, weight = (batch[c].to_numpy(np.float64) for c in ("gradient", "weight"))
+            else:
+                margin = batch["margin"].to_numpy(np.float64)
+                for tree, values in added:
+                    at = np.zeros(max(values) + 1)
+                    at[list(values)] = list(values.values())
+                    margin = margin + at[nodes_of(bins, tree)]
+                p = 1 / (1 + np.exp(-margin))
+                gradient, weight = batch["label"].to_numpy(np.float64) - p, p * (1 - p)
+            node = nodes_of(bins, splits)
+            own = np.isin(node, level)
+            if not own.any():
+                continue
+            bins, node = bins[own], node[own]
+            if (more := int(bins.max()) + 1 - total.shape[-1]) > 0:
+                total = np.pad(total, ((0, 0), (0, 0), (0, 0), (0, more)))
+            cell = (((node - first)[:, None] * features + np.arange(features)) * total.shape[-1] + bins).ravel()
+            for k, values in enumerate((gradient, weight, None)):
+                weights = None if values is None else np.repeat(values[own], features)
+                total[k] += np.bincount(cell, weights, total[k].size).reshape(total[k].shape)
+        node, feature, at = np.nonzero(total[2])
+        sums = dict(zip(("gradient", "weight", "rows"), total[:, node, feature, at]))
+        yield pd.DataFrame({"node": node + first, "feature": feature, "bin": at, **sums}).astype({"rows": "int64"})
+
+    return run
+
+
+def grow_tree(rows: DataFrame, features: int, depth: int, added: Sequence[Addition] = ()) -> dict[int, Split]:
+    """Splits by node, the root being 0, of ``rows`` (gradient, weight, _b0, _b1, ...).
+
+    In place of the first two ``rows`` may have label and margin, to which the trees ``added`` still come.
+    Trees are given to the tasks as data: the plan is the same for every level, so its code is compiled once.
+    """
     splits: dict[int, Split] = {}
     level = [0]
-    cells = F.array(*[F.struct(F.lit(i).alias("feature"), F.col(f"_b{i}").alias("bin")) for i in range(features)])
+    given = ("gradient", "weight") if "gradient" in rows.columns else ("label", "margin")
+    cells = rows.select(*[F.coalesce(c, F.lit(0.0)).alias(c) for c in given],
+                        *[F.col(f"_b{i}").cast("short").alias(f"_b{i}") for i in range(features)])
     for _ in range(depth):
-        placed = rows.select(F.expr(tree_case(splits, str)).alias("node"), "gradient", "weight", F.explode(cells).alias("cell"))
-        summed = placed.where(F.col("node").isin(level)).groupBy("node", "cell.feature", "cell.bin").agg(
-            F.sum("gradient"), F.sum("weight"), F.count("*"))
+        summed = cells.mapInPandas(cell_sums(level, splits, features, added), CELL_SCHEMA).groupBy(
+            "node", "feature", "bin").agg(F.sum("gradient"), F.sum("weight"), F.sum("rows"))
         sums = defaultdict(lambda: defaultdict(dict))
         for node, feature, at, *values in summed.collect():
             sums[node][feature][at] = tuple(values)
@@ -124,6 +185,30 @@ def leaf_values(splits: dict[int, Split]) -> dict[int, float]:
     return out
 
 
+def leaf_sum(nodes: pd.DataFrame, depth: int) -> Callable[[pd.DataFrame], pd.Series]:
+    """For rows of features the sum over all trees of what their leaves hold.
+
+    A row without a feature's value goes to the right, as it is not below any threshold.
+    """
+    laid = nodes.sort_values(["tree", "node"], ignore_index=True)
+    base = laid.index.to_numpy() - laid["node"].to_numpy()
+    roots = np.flatnonzero(laid["node"] == 0)
+    left, right = (laid[side].to_numpy() + base for side in ("left", "right"))
+    feature, threshold, path = np.maximum(laid["feature"].to_numpy(), 0), laid["threshold"].to_numpy(), laid["path"].to_numpy()
+
+    def run(values: pd.DataFrame) -> pd.Series:
+        x, every = values.to_numpy(np.float64), np.arange(len(values))
+        total = np.zeros(len(values))
+        for root in roots:
+            at = np.full(len(values), root)
+            for _ in range(depth):
+                at = np.where(x[every, feature[at]] <= threshold[at], left[at], right[at])
+            total += path[at]
+        return pd.Series(total)
+
+    return run
+
+
 @dataclass(frozen=True)
 class BoostedTrees:
     """``nodes``: all trees as a forest's node table, leaves holding what they add to the margin."""
@@ -136,14 +221,17 @@ class BoostedTrees:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add ``rawPrediction`` (the margin), ``probability`` of label 1, and ``prediction``."""
+        margin = F.lit(self.base)
         if len(self.nodes):
-            nodes = df.sparkSession.createDataFrame(self.nodes, NODE_SCHEMA)
-            paths = path_lengths(df, nodes, self.features, self.depth)
-            margin = F.col("path_length") * float(self.nodes["tree"].nunique()) + self.base
-            scored = paths.withColumn("rawPrediction", margin).drop("path_length")
-        else:
-            scored = df.withColumn("rawPrediction", F.lit(self.base))
-        return scored.withColumns({
+            values = F.struct(*[F.col(f).cast("double").alias(f"_{i}") for i, f in enumerate(self.features)])
+            run = leaf_sum(self.nodes, self.depth)
+
+            @F.pandas_udf("double")
+            def leaves(values: pd.DataFrame) -> pd.Series:
+                return run(values)
+
+            margin = leaves(values) + self.base
+        return df.withColumn("rawPrediction", margin).withColumns({
             "probability": 1 / (1 + F.exp(-F.col("rawPrediction"))),
             "prediction": (F.col("rawPrediction") > 0).cast("double"),
         })
@@ -177,24 +265,25 @@ def fit_boosted_trees(
     """
     features = list(features)
     edges = quantile_edges(df, features, most_bins)
-    share = df.agg(F.avg(F.col(label).cast("double"))).first()[0]
+    share, size = df.agg(F.avg(F.col(label).cast("double")), F.count("*")).first()
     base = math.log(share / (1 - share))
     names = [f"_b{i}" for i in range(len(features))]
+    # A file is read by one task at least, so its rows are bounded.
+    files = size // FILE_ROWS + 1
     rows = materialize(bins(df, features, edges).select(
         F.col(label).cast("double").alias("label"), *[F.col(b).cast("short").alias(b) for b in names],
-        F.lit(base).alias("margin")).hint("rebalance"), "boosting")
-    margin, nodes, gains = "margin", [], [0.0] * len(features)
+        F.lit(base).alias("margin")).repartition(files), "boosting")
+    added, nodes, gains = [], [], [0.0] * len(features)
     for number in range(rounds):
-        splits = grow_tree(gradients(rows, "label", margin), len(features), depth)
+        splits = grow_tree(rows, len(features), depth, added)
         if not splits:
             break
-        values = leaf_values(splits)
-        margin += f" + {tree_case(splits, lambda n: repr(step * values[n]) + 'D')}"
+        added.append((splits, {n: step * v for n, v in leaf_values(splits).items()}))
         nodes += _node_rows(number, splits, edges, step)
         for s in splits.values():
             gains[s.feature] += s.gain
         if number % STORED == STORED - 1:
-            rows = materialize(rows.withColumn("margin", F.expr(margin)).hint("rebalance"), "boosting")
-            margin = "margin"
+            margin = " + ".join(["margin", *[tree_case(s, lambda n: repr(v[n]) + "D") for s, v in added]])
+            rows, added = materialize(rows.withColumn("margin", F.expr(margin)).repartition(files), "boosting"), []
     columns = [c.split()[0] for c in NODE_SCHEMA.split(", ")]
     return BoostedTrees(tuple(features), pd.DataFrame(nodes, columns=columns), tuple(gains), base, depth)

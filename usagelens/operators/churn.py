@@ -35,7 +35,9 @@ class ChurnModel:
 
     def metrics(self) -> DataFrame:
         """Accuracy and ROC AUC measured on the test part."""
-        return evaluate(self.predict(self.test), self.label)
+        scored = self.predict(self.test).select(self.label, "rawPrediction", "prediction")
+        # The evaluators read it several times.
+        return evaluate(materialize(scored, "churn-scores"), self.label)
 
 
 def evaluate(predictions: DataFrame, label: str) -> DataFrame:
