@@ -242,6 +242,40 @@ def test_automata_find_the_same_format_elsewhere(spark):
     assert not any("api_key" in t for t in clean)
 
 
+def test_automata_learn_from_every_credential(spark):
+    # The 400 credentials of lowest hash have one format, three times as many others another.
+    rng = random.Random(9)
+    lower = ["x" + "".join(rng.choice("qwertzuiop12") for _ in range(26)) for _ in range(900)]
+    ranked = {r["v"]: r["h"] for r in spark.createDataFrame(
+        [(c,) for c in lower + credentials(4000, 5)], "v string").select("v", F.xxhash64("v").alias("h")).collect()}
+    first = sorted(lower, key=ranked.get)[:400]
+    border = max(ranked[c] for c in first)
+    other = [c for c in credentials(4000, 5) if ranked[c] > border][:1200]
+    unknown = credentials(40, 6)
+    docs = frame(spark, [f'api_key = "{c}"' for c in first + other] + [f"please use {c} for now" for c in unknown])
+    automata = secrets.train(docs)
+    got = by_text(secrets.find_spans(docs, automata), "spans")
+    assert sum(any(s["kind"] == "format" for s in got[f"please use {c} for now"][0]) for c in unknown) >= 36
+
+
+def test_distributed_counts_are_those_of_all_credentials(spark):
+    values = credentials(300, 7) + ["aa", "ab", "b" * 200, "b" * 199 + "c"]
+    stored = spark.createDataFrame([("assign", v) for v in values], "kind string, value string").repartition(5)
+    ((moves, stop),) = secrets.infer_all(stored, ["assign"]).values()
+    visits = [Counter() for _ in moves]
+    for v in values:
+        state = 0
+        for symbol in v:
+            visits[state][symbol] += 1
+            state = moves[state][symbol][1]
+        visits[state][""] += 1
+    for state, seen in enumerate(visits):
+        total = sum(seen.values())
+        assert stop[state] == pytest.approx(seen[""] / total)
+        assert {s: p for s, (p, _) in moves[state].items()} == pytest.approx(
+            {s: n / total for s, n in seen.items() if s})
+
+
 def test_an_automaton_is_a_distribution():
     moves, stop = secrets.infer([c for c in credentials(150, 3)])
     for state, move in enumerate(moves):

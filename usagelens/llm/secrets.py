@@ -2,7 +2,8 @@
 
 The credentials of each kind form a prefix tree with counts. States whose frequencies agree within
 Hoeffding's bound, and whose successors agree likewise, are merged; what is left is a deterministic
-probabilistic automaton of the format. Every candidate string of a text is scored by its likelihood
+probabilistic automaton of the format. The tree of all credentials is counted and compared by Spark,
+only the automaton itself is on the driver. Every candidate string of a text is scored by its likelihood
 under the automata, a character at a time, and reported where it is as likely as the labelled ones.
 """
 
@@ -10,14 +11,16 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import map_texts
+from usagelens.operators.rank_select import exact_percentile
 from usagelens.session import materialize
 
 KINDS = ("assign", "access", "hex")
@@ -56,7 +59,8 @@ class Automaton(NamedTuple):
 
 
 def infer(samples: list[str], alpha: float = 0.05) -> tuple[list[dict[str, tuple[float, int]]], list[float]]:
-    """The automaton of ``samples`` by state merging, in the order of the prefix tree's levels."""
+    """The automaton of a few ``samples`` by state merging, in the order of the prefix tree's levels:
+    the plain form of :func:`infer_all`."""
     edges: list[dict[str, int]] = [{}]
     passed, ended = [0], [0]
     for sample in samples:
@@ -123,6 +127,166 @@ def infer(samples: list[str], alpha: float = 0.05) -> tuple[list[dict[str, tuple
     return moves, [ended[r] / passed[r] for r in red]
 
 
+Moves = dict[tuple[int, str], int]
+#: Code points by which prefixes are lengthened at a time, so that long credentials stay cheap.
+DEPTH = 32
+
+
+def follow(moves: Moves, state: int, word: str) -> tuple[int, int]:
+    """Where ``word`` leads from a state: the last state, and how many symbols were read till there."""
+    for i, symbol in enumerate(word):
+        if (after := moves.get((state, symbol))) is None:
+            return state, i
+        state = after
+    return state, len(word)
+
+
+def _paths(credentials: DataFrame, moves: dict[str, Moves]) -> DataFrame:
+    """Counts of (kind, state, symbol) that the credentials pass, the symbol "" being the end; and, where a
+    symbol leads to no state yet, also counts with the ``rest`` that follows it."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            counts = Counter()
+            for kind, value in zip(batch["kind"], batch["value"]):
+                state = 0
+                for i, symbol in enumerate(value):
+                    counts[kind, state, symbol, None] += 1
+                    if (kind_moves := moves[kind].get((state, symbol))) is None:
+                        counts[kind, state, symbol, value[i + 1:]] += 1
+                        break
+                    state = kind_moves
+                else:
+                    counts[kind, state, "", None] += 1
+            yield pd.DataFrame([(*k, n) for k, n in counts.items()], columns=["kind", "state", "symbol", "rest", "n"])
+
+    schema = "kind string, state int, symbol string, rest string, n long"
+    return credentials.mapInPandas(run, schema).groupBy("kind", "state", "symbol", "rest").agg(F.sum("n").alias("n"))
+
+
+def _tree(paths: DataFrame) -> DataFrame:
+    """Nodes (kind, state, symbol, at) below the edges without a state, ``at`` being the string from there,
+    with ``used``: how often each symbol follows, "" being the end.
+
+    Only nodes that are passed twice or more: by the bound, a node that is passed once differs from none.
+    """
+    edge = ["kind", "state", "symbol"]
+    rests, out, depth = paths.where("rest is not null"), None, 0
+    while True:
+        steps = F.sequence(F.lit(depth), F.least(F.length("rest"), F.lit(depth + DEPTH - 1)))
+        places = F.transform(steps, lambda i: F.struct(
+            F.substring("rest", F.lit(1), i).alias("at"), F.substring("rest", i + 1, F.lit(1)).alias("next")))
+        counted = rests.where(F.length("rest") >= depth).select(*edge, "n", F.explode(places).alias("p")).groupBy(
+            *edge, "p.at", "p.next").agg(F.sum("n").alias("n"))
+        nodes = materialize(counted.groupBy(*edge, "at").agg(
+            F.map_from_entries(F.collect_list(F.struct("next", "n"))).alias("used"), F.sum("n").alias("passed")
+        ).where("passed > 1"), "credential-tree")
+        out = nodes if out is None else out.unionByName(nodes)
+        depth += DEPTH
+        # What still has company this deep is followed further.
+        deep = nodes.where(F.length("at") == depth - 1).select(*edge, "at")
+        if deep.isEmpty():
+            return out
+        rests = materialize(rests.withColumn("at", F.substring("rest", 1, depth - 1)).join(
+            deep, [*edge, "at"], "left_semi").drop("at"), "credential-rests")
+
+
+def _differ(bound: float, a: str, b: str) -> Column:
+    """Whether two maps of counts differ in some share by more than Hoeffding's bound."""
+    total = lambda m: F.aggregate(F.map_values(m), F.lit(0).cast("long"), lambda s, v: s + v).cast("double")
+    n1, n2 = total(a), total(b)
+    share = lambda m, n, k: F.coalesce(F.element_at(m, k), F.lit(0)) / n
+    return F.exists(F.array_union(F.map_keys(a), F.map_keys(b)), lambda k: F.abs(
+        share(a, n1, k) - share(b, n2, k)) > bound * (1 / F.sqrt(n1) + 1 / F.sqrt(n2)))
+
+
+def _clashes(tree: DataFrame, reds: dict[str, list[Counter]], moves: dict[str, Moves], bound: float) -> set[tuple]:
+    """(kind, state, symbol, red) for each edge without a state and each state that it cannot be merged with."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        totals = {kind: [sum(c.values()) for c in states] for kind, states in reds.items()}
+        for batch in batches:
+            out = []
+            for kind, state, symbol, at, used, passed in batch.itertuples(index=False):
+                used = dict(used)
+                for red in range(len(reds[kind])):
+                    there, read = follow(moves[kind], red, at)
+                    if read < len(at):
+                        out.append((kind, state, symbol, red, used, there, at[read], at[read + 1:]))
+                        continue
+                    seen, n = reds[kind][there], totals[kind][there]
+                    if n and any(abs(seen[s] / n - used.get(s, 0) / passed) > bound * (n ** -0.5 + passed ** -0.5)
+                                 for s in seen.keys() | used.keys()):
+                        out.append((kind, state, symbol, red, None, None, None, None))
+            yield pd.DataFrame(out, columns=names)
+
+    names = ["kind", "state", "symbol", "red", "used", "to_state", "to_symbol", "to_at"]
+    found = tree.select("kind", "state", "symbol", "at", "used", "passed").mapInPandas(
+        run, "kind string, state int, symbol string, red int, used map<string,long>, to_state int, to_symbol string, to_at string")
+    other = tree.select("kind", F.col("state").alias("to_state"), F.col("symbol").alias("to_symbol"),
+                        F.col("at").alias("to_at"), F.col("used").alias("other"))
+    joined = found.join(other, ["kind", "to_state", "to_symbol", "to_at"], "left")
+    clash = F.col("to_state").isNull() | (F.col("other").isNotNull() & _differ(bound, "used", "other"))
+    return {tuple(r) for r in joined.where(clash).select("kind", "state", "symbol", "red").distinct().collect()}
+
+
+def _edges_apart(tree: DataFrame, edges: DataFrame, bound: float) -> set[tuple]:
+    """(kind, state, symbol, state, symbol) for pairs of ``edges`` that cannot be merged with each other."""
+    own = tree.join(F.broadcast(edges), ["kind", "state", "symbol"], "left_semi")
+    a, b = (own.select("kind", "at", *[F.col(c).alias(f"{c}{i}") for c in ("state", "symbol", "used")]) for i in (1, 2))
+    pairs = a.join(b, ["kind", "at"]).where("(state1, symbol1) < (state2, symbol2)").where(_differ(bound, "used1", "used2"))
+    return {tuple(r) for r in pairs.select("kind", "state1", "symbol1", "state2", "symbol2").distinct().collect()}
+
+
+def infer_all(credentials: DataFrame, kinds: list[str], alpha: float = 0.05) -> dict[str, tuple[list, list[float]]]:
+    """The automata of all ``credentials`` (kind, value) by state merging, for all kinds at once.
+
+    In each round the credentials run through the automata found so far. An edge that leads to no state yet
+    is merged with the first state it agrees with, on the counts of that round. Of the edges that agree with
+    none those become states that agree with no new one either; the rest wait for the next round. So the
+    rounds follow the automaton's depth, and the driver holds counts by state and symbol only.
+    """
+    bound = math.sqrt(0.5 * math.log(2 / alpha))
+    moves: dict[str, Moves] = {kind: {} for kind in kinds}
+    states = {kind: 1 for kind in kinds}
+    credentials = credentials.where(F.col("kind").isin(kinds))
+    while True:
+        paths = materialize(_paths(credentials, moves), "credential-paths")
+        reds = {kind: [Counter() for _ in range(states[kind])] for kind in kinds}
+        for kind, state, symbol, n in paths.where("rest is null").select("kind", "state", "symbol", "n").collect():
+            reds[kind][state][symbol] = n
+        blue = [(kind, state, symbol) for kind in kinds for state, seen in enumerate(reds[kind])
+                for symbol in sorted(seen) if symbol and (state, symbol) not in moves[kind]]
+        if not blue:
+            break
+        tree = _tree(paths)
+        clashes = _clashes(tree, reds, moves, bound)
+        left = []
+        for kind, state, symbol in blue:
+            fits = (r for r in range(len(reds[kind])) if (kind, state, symbol, r) not in clashes)
+            if (red := next(fits, None)) is None:
+                left.append((kind, state, symbol))
+            else:
+                moves[kind][state, symbol] = red
+        apart = set()
+        if len(left) > 1:
+            apart = _edges_apart(tree, credentials.sparkSession.createDataFrame(
+                left, "kind string, state int, symbol string"), bound)
+        made = defaultdict(list)
+        for kind, *edge in left:
+            if all((kind, *min(edge, e), *max(edge, e)) in apart for e in made[kind]):
+                made[kind].append(edge)
+                moves[kind][tuple(edge)] = states[kind]
+                states[kind] += 1
+    out = {}
+    for kind in kinds:
+        totals = [sum(seen.values()) or 1 for seen in reds[kind]]
+        out[kind] = ([{s: (n / totals[state], moves[kind][state, s]) for s, n in seen.items() if s}
+                      for state, seen in enumerate(reds[kind])],
+                     [seen[""] / totals[state] for state, seen in enumerate(reds[kind])])
+    return out
+
+
 #: Probability of a symbol that a state has never seen.
 RARE = 1e-4
 
@@ -137,13 +301,12 @@ def likelihood(text: str, moves: list[dict[str, tuple[float, int]]], stop: list[
     return (total + math.log(max(stop[state], RARE))) / (len(text) + 1)
 
 
-def train(docs: DataFrame, text: str = "text", max_samples: int = 400, margin: float = 0.02) -> list[Automaton]:
+def train(docs: DataFrame, text: str = "text", margin: float = 0.02) -> list[Automaton]:
     """Automata of the credentials that the fixed patterns find in ``docs``.
 
-    Of each kind the ``max_samples`` distinct credentials of lowest hash are used; the bound keeps
-    the merging on one machine. Half of them build the automaton. The threshold lets pass all but a
-    share of ``margin`` of the other half, so it is not fitted to strings already seen. A kind with
-    fewer than ten credentials has no automaton.
+    All distinct credentials are used. Half of them, by hash, build the automaton of their kind. The
+    threshold lets pass all but a share of ``margin`` of the other half, so it is not fitted to strings
+    already seen. A kind with fewer than ten credentials, or with one half empty, has no automaton.
     """
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -151,17 +314,29 @@ def train(docs: DataFrame, text: str = "text", max_samples: int = 400, margin: f
             out = {(span[0], value) for t in batch[text] if t for span, value in base_spans(t)}
             yield pd.DataFrame(sorted(out), columns=["kind", "value"])
 
-    found = materialize(docs.select(text).mapInPandas(label, "kind string, value string").distinct(), "credentials")
-    automata = []
-    for kind in KINDS:
-        rows = found.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(max_samples)
-        samples = [r["value"] for r in rows.collect()]
-        if len(samples) < 10:
-            continue
-        moves, stop = infer(samples[::2])
-        scores = sorted(likelihood(s, moves, stop) for s in samples[1::2])
-        automata.append(Automaton(kind, moves, stop, scores[int(margin * len(scores))]))
-    return automata
+    found = materialize(docs.select(text).mapInPandas(label, "kind string, value string").distinct().withColumn(
+        "builds", F.xxhash64("value") % 2 == 0), "credentials")
+    halves = Counter()
+    for kind, builds, n in found.groupBy("kind", "builds").count().collect():
+        halves[kind, builds] = n
+    kinds = [k for k in KINDS if halves[k, True] and halves[k, False] and halves[k, True] + halves[k, False] >= 10]
+    if not kinds:
+        return []
+    inferred = infer_all(found.where("builds").select("kind", "value"), kinds)
+
+    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame({"kind": batch["kind"], "score": [
+                likelihood(v, *inferred[k]) for k, v in zip(batch["kind"], batch["value"])]})
+
+    others = found.where(~F.col("builds") & F.col("kind").isin(kinds)).select("kind", "value")
+    scores = materialize(others.mapInPandas(score, "kind string, score double"), "credential-scores")
+    cut = exact_percentile(scores, ["kind"], "score", margin, "cut")
+    # The cut may lie between two scores; the lower one still passes.
+    least = scores.join(cut, "kind").groupBy("kind").agg(
+        F.coalesce(F.max(F.when(F.col("score") <= F.col("cut"), F.col("score"))), F.min("score")))
+    thresholds = {r[0]: r[1] for r in least.collect()}
+    return [Automaton(kind, *inferred[kind], thresholds[kind]) for kind in kinds]
 
 
 def learned_spans(text: str, base: list[Span], automata: list[Automaton]) -> list[Span]:
