@@ -348,6 +348,20 @@ def test_quality_model_on_held_out_rows(spark):
     assert sum((scored[i] >= 0.5) == bool(q) for i, q in want.items()) >= 0.97 * len(want)
 
 
+def test_quality_model_learns_from_every_labelled_row(spark):
+    # The rows of lowest hash tell nothing; with twenty a class they are all that a sample would hold.
+    docs, labels = labelled(spark, 400)
+    order = [r["doc_id"] for r in labels.orderBy(F.xxhash64("doc_id")).collect()]
+    quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
+    blank = [i for q in (0, 1) for i in [j for j in order if quality[j] == q][:20]]
+    known = docs.withColumn("text", F.when(F.col("doc_id").isin(blank), "same").otherwise(F.col("text")))
+    learned = labels.where((F.col("doc_id") % 3 > 0) | F.col("doc_id").isin(blank))
+    model = quality_model.train(known, learned, per_class=20)
+    scored = {r["doc_id"]: r["score"] for r in quality_model.classify(docs, model).collect()}
+    rest = [i for i in scored if i % 3 == 0 and i not in blank]
+    assert sum((scored[i] >= 0.5) == bool(quality[i]) for i in rest) >= 0.9 * len(rest)
+
+
 def test_quality_scores_equal_the_plain_model(spark):
     shape = quality_model.Features(bits=8)
     rng = np.random.default_rng(1)

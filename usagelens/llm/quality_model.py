@@ -2,9 +2,10 @@
 
 Words, pairs of neighbouring words and the character n-grams of each word are hashed into buckets.
 Every bucket has a learned vector; a document is the mean of its vectors, and a softmax over two
-classes follows. Training is stochastic gradient descent in numpy on a bounded number of labelled
-documents. Because the output is linear in the mean, a trained model scores a bucket by one number,
-and a document by the mean of these: scoring needs one table lookup a word and one a pair.
+classes follows. Training is stochastic gradient descent in numpy, in groups of a bounded number of
+labelled documents, a task each. Because the output is linear in the mean, a trained model scores a
+bucket by one number, and a document by the mean of these: scoring needs one table lookup a word and
+one a pair, and the models of all groups are averaged bucket by bucket.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from usagelens.llm.common import WordTable, map_texts, segment_sums, text_bytes
+from usagelens.session import materialize
 
 #: Bucket of a pair of equal words: repetition looks alike whatever the word.
 REPEAT = 0
@@ -97,20 +99,6 @@ def document_features(text: str | None, shape: Features) -> tuple[np.ndarray, np
     return place.astype(np.int32), (n / n.sum()).astype(np.float32)
 
 
-def sample_features(docs: DataFrame, chosen: DataFrame, text: str, shape: Features) -> pd.DataFrame:
-    """Features of the documents in ``chosen`` (sample_key, sample_label), one for each key."""
-
-    def make(texts: list[str | None]) -> list:
-        rows = [document_features(t, shape) for t in texts]
-        return [[place.tobytes() for place, _ in rows], [share.tobytes() for _, share in rows]]
-
-    # The chosen keys are bounded, so they go to the documents. Features come packed, so the driver
-    # gets eight bytes for each bucket of a document.
-    sample = docs.join(F.broadcast(chosen), "sample_key").dropDuplicates(["sample_key"])
-    return map_texts(sample, text, "place binary, share binary", lambda: make).select(
-        F.col("sample_label").alias("label"), "place", "share").toPandas()
-
-
 def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12, rate: float = 0.5,
         seed: int = 7) -> Model:
     """Gradient descent over single documents in a fixed random order, both classes weighing alike."""
@@ -145,22 +133,55 @@ def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12,
                  float(bias[1] - bias[0]), shape)
 
 
+def fit_groups(sample: DataFrame, text: str, shape: Features) -> DataFrame:
+    """For each ``group`` of ``sample`` (group, sample_label, text) the ``scores`` and the ``bias`` of its fit.
+
+    A group without one of the labels has none.
+    """
+
+    def learn(rows: pd.DataFrame) -> pd.DataFrame:
+        if rows["sample_label"].nunique() < 2:
+            return pd.DataFrame({"scores": [], "bias": []})
+        made = [document_features(t, shape) for t in rows[text]]
+        model = fit(pd.DataFrame({"label": rows["sample_label"], "place": [place.tobytes() for place, _ in made],
+                                  "share": [share.tobytes() for _, share in made]}), shape)
+        return pd.DataFrame({"scores": [model.scores], "bias": [model.bias]})
+
+    return sample.groupBy("group").applyInPandas(learn, "scores array<float>, bias double")
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text",
           label: str = "quality", per_class: int = 1_500, shape: Features = Features()) -> Model:
-    """Learn from documents that ``labels`` (key, label 0 or 1) covers.
+    """Learn from all documents that ``labels`` (key, label 0 or 1) covers.
 
-    At most ``per_class`` documents of each label are used, those of lowest hash; the bound keeps the
-    fit on one machine and the chosen keys small enough to broadcast.
+    They are dealt by the hash of their key into groups of about ``per_class`` documents of the more
+    frequent label; those of the other label go into several groups where they would be fewer, into all
+    of them at most. Every group is fitted by a task, and the log-odds of the groups are averaged, so only
+    a number for each bucket comes to the driver.
     A key labelled twice counts once, with its lower label; null labels and keys are ignored. With
     no document of one class the model is undecided: every score is one half.
     """
+    size = 1 << shape.bits
     once = (labels.where(F.col(key).isNotNull() & F.col(label).isin(0, 1))
             .groupBy(F.col(key).alias("sample_key")).agg(F.min(label).cast("int").alias("sample_label")))
     keyed = docs.select(F.col(key).alias("sample_key"), F.col(text))
     there = once.join(keyed.select("sample_key"), "sample_key", "left_semi")
-    chosen = [there.where(F.col("sample_label") == value)
-              .orderBy(F.xxhash64("sample_key"), "sample_key").limit(per_class) for value in (0, 1)]
-    return fit(sample_features(keyed, chosen[0].union(chosen[1]), text, shape), shape)
+    counts = {r["sample_label"]: r["count"] for r in there.groupBy("sample_label").count().collect()}
+    if len(counts) < 2:
+        return Model(np.zeros(size, np.float32), 0.0, shape)
+    groups = -(-max(counts.values()) // per_class)
+    copies = [min(groups, groups * per_class // counts[value]) for value in (0, 1)]
+    own = F.pmod(F.xxhash64("sample_key"), F.lit(groups))
+    every = F.sequence(F.lit(0), F.when(F.col("sample_label") == 1, copies[1]).otherwise(copies[0]) - 1)
+    sample = keyed.join(once, "sample_key").dropDuplicates(["sample_key"])
+    dealt = sample.select("sample_label", text, F.explode(F.transform(every, lambda k: (own + k) % groups)).alias("group"))
+    fits = materialize(fit_groups(dealt, text, shape), "quality-fits")
+    bias = fits.agg(F.avg("bias")).first()[0]
+    if bias is None:
+        return Model(np.zeros(size, np.float32), 0.0, shape)
+    mean = fits.select(F.posexplode("scores").alias("place", "score")).groupBy("place").agg(F.avg("score").alias("score"))
+    scores = mean.toPandas().set_index("place")["score"].reindex(range(size))
+    return Model(scores.to_numpy(np.float32), bias, shape)
 
 
 def score_texts(texts: list[str | None], model: Model, table: WordTable) -> np.ndarray:
