@@ -125,3 +125,10 @@ def test_a_busy_user_is_split_in_the_join(spark):
     execution = testtables.with_users(copies, SF_DIR)._jdf.queryExecution()
     assert execution.toRdd().count() == events.count() * 300
     assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+
+
+def test_customers_are_not_sent_through_the_driver(spark):
+    # However small their file looks, it is the nations that are broadcast.
+    text = testtables.users(spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    (join,) = [line for line in text.splitlines() if "BroadcastHashJoin [c_nationkey" in line]
+    assert "BuildRight" in join

@@ -112,7 +112,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tier and region per user."""
     customer, nation, region = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     places = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    return customer.join(places, F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
+    # Nations do not grow; left to its estimates, Spark may send all customers through the driver instead.
+    return customer.join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")).selectExpr(
         "c_custkey AS user_id",
         f"{_case('c_mktsegment', TIER_OF_SEGMENT, repr('free'))} AS user_tier",
         "r_name AS region",
