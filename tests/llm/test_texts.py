@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -373,6 +375,77 @@ def test_quality_scores_equal_the_plain_model(spark):
         assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-6)
 
 
+def plain_fit(labels, features, size, dims=8, epochs=12, rate=0.5, seed=7):
+    """The descent of quality_model.fit with the vectors read and written as rows of numbers."""
+    places, shares = [f[0] for f in features], [f[1] for f in features]
+    weight = len(labels) / (2 * np.bincount(labels, minlength=2))
+    rng = np.random.default_rng(seed)
+    vectors = rng.uniform(-1 / dims, 1 / dims, (size, dims))
+    output, bias = np.zeros((dims, 2)), np.zeros(2)
+    rows = sorted(range(len(labels)), key=lambda i: (labels[i], len(places[i]), places[i].tobytes()))
+    for epoch in range(epochs):
+        for k, i in enumerate(rng.permutation(rows)):
+            done = (epoch * len(rows) + k) / (epochs * len(rows))
+            pace = rate * (1 - done) * min(weight[labels[i]], 8.0)
+            mean = shares[i] @ vectors[places[i]]
+            z = mean @ output + bias
+            p = np.exp(z - z.max())
+            p /= p.sum()
+            p[labels[i]] -= 1
+            step = output @ p
+            output -= pace * np.outer(mean, p)
+            bias -= 0.1 * pace * p
+            vectors[places[i]] -= (pace * 20) * shares[i][:, None] * step
+    return vectors @ (output[:, 1] - output[:, 0]), bias[1] - bias[0]
+
+
+def test_quality_fit_equals_the_plain_descent_in_less_time():
+    shape = quality_model.Features(bits=14)
+    rng = random.Random(3)
+    texts = [" ".join("".join(rng.choices("abcdefgh" if i % 3 else "efghijkl", k=6)) for _ in range(400)) for i in range(60)]
+    texts += [None, "", "one", "ab\ufffd \ud800"]
+    labels = np.array([int(i % 3 > 0) for i in range(len(texts))])
+    made = [quality_model.document_features(t, shape) for t in texts]
+    sample = pd.DataFrame({"label": labels, "place": [p.tobytes() for p, _ in made], "share": [s.tobytes() for _, s in made]})
+    took = {"plain": [], "fit": []}
+    for _ in range(3):
+        for name, run in (("plain", lambda: plain_fit(labels, made, 1 << shape.bits)),
+                          ("fit", lambda: quality_model.fit(sample, shape)[:2])):
+            began = time.thread_time()
+            scores, bias = run()
+            took[name].append(time.thread_time() - began)
+            if name == "plain":
+                want = scores, bias
+    assert np.allclose(scores, want[0], rtol=1e-5, atol=1e-7) and bias == pytest.approx(want[1], rel=1e-9)
+    assert min(took["fit"]) < 0.8 * min(took["plain"])
+
+
+def test_quality_features_hash_a_word_once(monkeypatch):
+    # Words are decoded together, which may change nothing: odd bytes at the ends of words, and framing signs.
+    text = "ab <> > \ud800x x\udfff \ufffd é\u0301 \U0001f600\U0001f600 a\x0bb ab ab"
+    shape, hashed = quality_model.Features(bits=12), []
+    digest = quality_model.xxhash.xxh64_intdigest
+    monkeypatch.setattr(quality_model.xxhash, "xxh64_intdigest", lambda w: hashed.append(w) or digest(w))
+    place, share = quality_model.document_features(text, shape)
+    words = [w.encode("utf-8", "surrogatepass") for w in re.split("[ \x0b]", text)]
+    assert hashed == words
+    counts, number = Counter(), [digest(w) for w in words]
+    for w, h in zip(words, number):
+        keys, framed = [h], [ord(c) for c in "<" + w.decode("utf-8", "replace") + ">"]
+        for n in (3, 4):
+            for at in range(len(framed) - n + 1):
+                key = n
+                for c in framed[at:at + n]:
+                    key = key * 0x100000001B3 % 2**64 ^ c
+                keys.append(key ^ key >> 29)
+        counts.update(max(k * 0x9E3779B97F4A7C15 % 2**64 >> 52, 1) for k in keys)
+    for a, b in zip(number, number[1:]):
+        mixed = (a * 0xC2B2AE3D27D4EB4F % 2**64 ^ b) * 0x9E3779B97F4A7C15 % 2**64
+        counts[0 if a == b else max(mixed >> 52, 1)] += 1
+    assert dict(zip(place.tolist(), share.tolist())) == {
+        k: float(np.float32(n / counts.total())) for k, n in counts.items()}
+
+
 def test_quality_model_without_labels(spark):
     docs, labels = labelled(spark, 8)
     for none in (labels.limit(0), labels.where("quality = 1")):

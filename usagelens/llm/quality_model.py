@@ -35,7 +35,7 @@ class Features(NamedTuple):
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter((xxhash.xxh64_intdigest(w) for w in words), np.uint64, len(words))
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -44,16 +44,17 @@ def _place(hashes: np.ndarray, bits: int) -> np.ndarray:
     return np.maximum(mixed >> np.uint64(64 - bits), np.uint64(1)).astype(np.int64)
 
 
-def word_buckets(words: list[bytes], shape: Features) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of all words one after another, and how many each word has: one for itself and
-    one for each character n-gram of ``<word>``."""
+def owned_buckets(words: list[bytes], hashes: np.ndarray, shape: Features) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words in no particular order, and the number of the word that each belongs to: one
+    for itself and one for each character n-gram of ``<word>``."""
     if not words:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    framed = ["<" + w.decode("utf-8", "replace") + ">" for w in words]
-    sizes = np.fromiter(map(len, framed), np.int64, len(framed))
-    chars = np.frombuffer("".join(framed).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    owner = np.repeat(np.arange(len(words)), sizes)
-    parts, owners = [_place(word_hashes(words), shape.bits)], [np.arange(len(words))]
+    # Decoded at once: no word has a line feed, and bytes beside an ASCII one decode as they do at an end.
+    framed = (b"<" + b">\n<".join(words) + b">").decode("utf-8", "replace")
+    chars = np.frombuffer(framed.encode("utf-32-le", "surrogatepass"), np.uint32)
+    within = chars != ord("\n")
+    owner, chars = np.cumsum(~within)[within], chars[within].astype(np.uint64)
+    parts, owners = [_place(hashes, shape.bits)], [np.arange(len(words))]
     for n in range(shape.shortest, shape.longest + 1):
         last = len(chars) - n + 1
         if last <= 0:
@@ -62,9 +63,15 @@ def word_buckets(words: list[bytes], shape: Features) -> tuple[np.ndarray, np.nd
         for k in range(n):
             key = key * np.uint64(0x100000001B3) ^ chars[k:last + k]
         inside = owner[:last] == owner[n - 1:]
-        parts.append(_place(key[inside] ^ (key[inside] >> np.uint64(29)), shape.bits))
+        key = key[inside]
+        parts.append(_place(key ^ (key >> np.uint64(29)), shape.bits))
         owners.append(owner[:last][inside])
-    place, owner = np.concatenate(parts), np.concatenate(owners)
+    return np.concatenate(parts), np.concatenate(owners)
+
+
+def word_buckets(words: list[bytes], hashes: np.ndarray, shape: Features) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of all words one after another, and how many each word has."""
+    place, owner = owned_buckets(words, hashes, shape)
     order = np.argsort(owner, kind="stable")
     return place[order], np.bincount(owner, minlength=len(words))
 
@@ -91,10 +98,11 @@ def document_features(text: str | None, shape: Features) -> tuple[np.ndarray, np
     words = text_bytes(text).split()
     if not words:
         return np.zeros(0, np.int32), np.zeros(0, np.float32)
-    own, _ = word_buckets(words, shape)
+    hashes = word_hashes(words)
+    own, _ = owned_buckets(words, hashes, shape)
     starts = np.zeros(len(words), bool)
     starts[0] = True
-    pairs = pair_buckets(word_hashes(words), starts, shape)
+    pairs = pair_buckets(hashes, starts, shape)
     place, n = np.unique(np.concatenate([own, pairs[1:]]), return_counts=True)
     return place.astype(np.int32), (n / n.sum()).astype(np.float32)
 
@@ -109,6 +117,8 @@ def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12,
         return Model(np.zeros(size, np.float32), 0.0, shape)
     random = np.random.default_rng(seed)
     vectors = random.uniform(-1 / dims, 1 / dims, (size, dims))
+    # A vector as one item: single items are put back faster than rows of numbers.
+    items = vectors.view(f"V{dims * vectors.itemsize}")[:, 0]
     output, bias = np.zeros((dims, 2)), np.zeros(2)
     places = [np.frombuffer(p, np.int32) for p in sample["place"]]
     shares = [np.frombuffer(s, np.float32) for s in sample["share"]]
@@ -119,16 +129,19 @@ def fit(sample: pd.DataFrame, shape: Features, dims: int = 8, epochs: int = 12,
     for epoch in range(epochs):
         for k, i in enumerate(random.permutation(rows)):
             pace = rate * (1 - (epoch * len(rows) + k) / steps) * min(weight[labels[i]], 8.0)
-            mean = shares[i] @ vectors[places[i]]
-            z = mean @ output + bias
-            p = np.exp(z - z.max())
-            p /= p.sum()
+            at = places[i].astype(np.int64)
+            own = vectors.take(at, axis=0)
+            mean = shares[i] @ own
+            low, high = (mean @ output + bias).tolist()
+            less = float(np.exp(-abs(high - low)))
+            p = np.array([1.0, less] if low > high else [less, 1.0]) / (1 + less)
             p[labels[i]] -= 1
             step = output @ p
-            output -= pace * np.outer(mean, p)
+            output -= pace * (mean[:, None] * p)
             bias -= 0.1 * pace * p
             # Vectors move by their share; the factor keeps rare buckets of long texts learning.
-            vectors[places[i]] -= (pace * 20) * shares[i][:, None] * step
+            own -= np.dot((pace * 20) * shares[i][:, None], step[None, :])
+            items.put(at, own.view(items.dtype)[:, 0])
     return Model((vectors @ (output[:, 1] - output[:, 0])).astype(np.float32),
                  float(bias[1] - bias[0]), shape)
 
@@ -203,8 +216,9 @@ def word_scores(model: Model) -> WordTable:
     def compute(words: list[bytes]) -> np.ndarray:
         out = np.zeros(len(words), [("hash", np.uint64), ("sum", np.float32), ("n", np.int32)])
         if words:
-            place, sizes = word_buckets(words, model.shape)
-            out["hash"], out["n"] = word_hashes(words), sizes
+            hashes = word_hashes(words)
+            place, sizes = word_buckets(words, hashes, model.shape)
+            out["hash"], out["n"] = hashes, sizes
             out["sum"] = segment_sums(model.scores[place], sizes)
         return out
 
